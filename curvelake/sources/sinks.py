@@ -106,9 +106,11 @@ def compact(
             F.ceil(F.col("count") / F.col("_total") * F.lit(tasks)).cast("int").alias("_slots"),
         )
         same = [F.col(quoted(b)).eqNullSafe(F.col(f"_key_{i}")) for i, b in enumerate(by)]
-        spread = df.join(slots, _all(same), "left").withColumn(
-            "_slot",
-            F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.col("_slots").cast("bigint")),
+        # The row number is set at the scan: files are read the same way when a task is repeated.
+        spread = (
+            df.withColumn("_row", F.monotonically_increasing_id())
+            .join(slots, _all(same), "left")
+            .withColumn("_slot", F.col("_row") % F.col("_slots"))
         )
         keys = [F.col(quoted(b)) for b in by]
         df = spread.repartition(tasks, *keys, "_slot").select(*[F.col(quoted(c)) for c in df.columns])
