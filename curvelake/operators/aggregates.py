@@ -6,13 +6,13 @@ of all rows costs one partial row per task in the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from .joins import attach_group_values, attach_scalars, join_on_keys, keep_groups, ordered_lookup
+from .joins import attach_scalars, join_on_keys, keep_groups, ordered_lookup
 from .quantiles import exact_quantiles
 
 
@@ -203,7 +203,9 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = (), accuracy: int =
         F.count(F.when(~inside, v)).alias("outliers"),
         F.count(v).alias("count"),
     )
-    return join_on_keys(quartiles, ends, by) if by else quartiles.crossJoin(ends)  # one row each
+    if by:
+        return join_on_keys(quartiles, ends, by)
+    return attach_scalars(quartiles, ends, **{c: F.max(c) for c in ends.columns})
 
 
 def box_outliers(df: DataFrame, value: str, by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
