@@ -163,7 +163,7 @@ def histogram_bins(df: DataFrame, value: str, bins: int = 10, by: Sequence[str]
     )
     if by:
         frame = counts.select(*[quoted(b) for b in by]).distinct().select(
-            "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin")
+            "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin")
         )
     else:
         frame = df.sparkSession.range(bins).select(F.col("id").alias("bin"))

@@ -20,7 +20,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _rows(pdf: pd.DataFrame) -> list[tuple]:
     pdf = pdf[sorted(pdf.columns)]
-    plain = lambda v: None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else v
+    plain = lambda v: None if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v) else v
     rows = [tuple(plain(v) for v in row) for row in pdf.astype(object).itertuples(index=False, name=None)]
     return sorted(rows, key=lambda t: tuple((v is None, str(type(v).__name__), v if v is not None else 0) for v in t))
 
