@@ -55,7 +55,7 @@ def lm_band(
 
 
 def _local_fit(degree: int) -> Column:
-    """Value at the grid point from weighted sums of u = x - point: s0.. and t0.. (with y)."""
+    """Value at the grid point from weighted sums of the offset u: s0.. and t0.. (with y)."""
     s0, s1, s2, s3, s4, t0, t1, t2 = (F.col(c) for c in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2"))
     mean = F.try_divide(t0, s0)
     line = F.try_divide(s2 * t0 - s1 * t1, s0 * s2 - s1 * s1)
@@ -94,8 +94,9 @@ def loess_grid(
         (F.col("_x") - F.col("grid_x")).alias("u"),
         F.get("_h", F.col("grid_id")).alias("h"),
     )
-    share = F.col("u") / F.nullif(F.col("h"), F.lit(0.0))
-    near = near.where(F.abs("u") < F.col("h")).withColumn("w", F.pow(1 - F.pow(F.abs(share), 3), 3))
+    # Offsets in units of the reach keep the sums of powers of like size.
+    near = near.where(F.abs("u") < F.col("h")).withColumn("u", F.col("u") / F.col("h"))
+    near = near.withColumn("w", F.pow(1 - F.pow(F.abs("u"), 3), 3))
     w, u, yc = F.col("w"), F.col("u"), F.col("_y")
     sums = near.groupBy("grid_id", "grid_x").agg(
         F.sum(w).alias("s0"),

@@ -37,21 +37,21 @@ def _(spark, d):
     return out.withColumns({c: r(c) for c in ("fit", "lower", "upper")}).withColumn("grid_id", F.col("grid_id").cast("bigint"))
 
 
-LOESS_SQL = """x AS (SELECT value AS y, (user_id % 1000) + event_id / 100000.0::DOUBLE AS x FROM events),
-    g AS (SELECT i, 50.0::DOUBLE * i AS gx FROM range(20) t(i)),
+LOESS_SQL = """x AS (SELECT value AS y, user_id + event_id / 100000.0::DOUBLE AS x FROM events),
+    g AS (SELECT i, 7.5::DOUBLE * i AS gx FROM range(20) t(i)),
     dist AS (SELECT i, gx, x - gx AS u, y, abs(x - gx) AS dd FROM x, g),
     ranked AS (SELECT i, dd, row_number() OVER (PARTITION BY i ORDER BY dd) AS rn, count(*) OVER (PARTITION BY i) AS n FROM dist),
     h AS (SELECT i, dd AS h FROM ranked WHERE rn = CAST(floor(n * {span} + 1e-5) AS BIGINT)),
-    w AS (SELECT i, gx, u, y, pow(1 - pow(abs(u / h), 3), 3) AS w FROM dist JOIN h USING (i) WHERE dd < h),
+    w AS (SELECT i, gx, u / h AS u, y, pow(1 - pow(abs(u / h), 3), 3) AS w FROM dist JOIN h USING (i) WHERE dd < h),
     s AS (SELECT i, gx, sum(w) AS s0, sum(w*u) AS s1, sum(w*u*u) AS s2, sum(w*u*u*u) AS s3, sum(w*u*u*u*u) AS s4,
           sum(w*y) AS t0, sum(w*u*y) AS t1, sum(w*u*u*y) AS t2 FROM w GROUP BY ALL)"""
 
 
 def _loess(spark, d, span, degree):
     e = table(spark, d, "events").select(
-        ((F.col("user_id") % 1000) + F.col("event_id") / F.lit(100000.0)).alias("x"), F.col("value").alias("y")
+        (F.col("user_id") + F.col("event_id") / F.lit(100000.0)).alias("x"), F.col("value").alias("y")
     )
-    out = smooth.loess_grid(e, "x", "y", [50.0 * i for i in range(20)], span, degree)
+    out = smooth.loess_grid(e, "x", "y", [7.5 * i for i in range(20)], span, degree)
     return out.select(F.col("grid_id").cast("bigint").alias("grid_id"), "grid_x", r("fit", 5).alias("fit"))
 
 

@@ -1 +1,226 @@
-"""Queries."""
+"""Invertible-map densities on event values and on embedding coordinates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from curvelake.functions.likelihood import diagonal_normal_log_prob
+from curvelake.models import coupling, flows
+from curvelake.models.nets import new_net
+from curvelake.models.regression import standardize
+from curvelake.sources import generators
+
+from .registry import R, query, r, table
+
+# A given chain; the values are near those of a fit to the scaled event values.
+CHAIN = [
+    flows.Block(0.1, 0.9, 0.2, 1.1),
+    flows.Block(-0.2, 1.1, -0.1, 0.95),
+    flows.Block(0.05, 0.8, 0.15, 1.05),
+    flows.Block(0.0, 1.2, -0.2, 0.9),
+    flows.Block(0.3, 1.0, 0.1, 1.0),
+]
+SCALED = "(value - 100) / 100"
+
+
+def scaled(spark, d):
+    return table(spark, d, "events").select("event_id", ((F.col("value") - 100) / 100).alias("x"))
+
+
+def forward_sql(source: str, col: str, keep: str, out: str = "fwd") -> str:
+    """CTEs that map column ``col`` of ``source`` through the chain; result column v."""
+    steps, before = [f"{out}0 AS (SELECT {keep}, {col} AS v FROM {source})"], f"{out}0"
+    for i, b in enumerate(reversed(CHAIN), 1):
+        name = out if i == len(CHAIN) else f"{out}{i}"
+        steps.append(
+            f"{name} AS (SELECT * REPLACE (sinh((asinh(v) + {b.skew}) * {b.tail}::DOUBLE) * {b.scale}::DOUBLE + {b.shift} AS v) FROM {before})"
+        )
+        before = name
+    return ", ".join(steps)
+
+
+def inverse_sql(source: str, col: str, keep: str, out: str = "inv") -> str:
+    """CTEs for the inverse with log determinant; result columns v and det."""
+    steps, before = [f"{out}0 AS (SELECT {keep}, {col} AS v, 0.0::DOUBLE AS det FROM {source})"], f"{out}0"
+    for i, b in enumerate(CHAIN, 1):
+        name = out if i == len(CHAIN) else f"{out}{i}"
+        u, t = f"((v - {b.shift}) / {b.scale}::DOUBLE)", f"(asinh((v - {b.shift}) / {b.scale}::DOUBLE) / {b.tail}::DOUBLE - {b.skew})"
+        steps.append(
+            f"{name} AS (SELECT * REPLACE (sinh({t}) AS v, det - ln({b.scale}::DOUBLE) - ln({b.tail}::DOUBLE) + ln(cosh({t})) - 0.5 * ln(1 + {u} * {u}) AS det) FROM {before})"
+        )
+        before = name
+    return ", ".join(steps)
+
+
+EVENTS_SQL = f"e AS (SELECT event_id, {SCALED} AS x FROM events)"
+LOG_PROB = "(det - 0.5 * ln(2 * pi()) - 0.5 * v * v)"
+
+
+@query(
+    "sinh_arcsinh",
+    "N1",
+    f"""WITH {EVENTS_SQL} SELECT event_id, {R('sinh(asinh(x) + 1)')} AS right_skew, {R('sinh(asinh(x) - 1)')} AS left_skew,
+        {R('sinh(asinh(x) * 0.5)')} AS light_tail FROM e""",
+)
+def _(spark, d):
+    return scaled(spark, d).select(
+        "event_id",
+        r(flows.sinh_arcsinh("x", 1.0, 1.0)).alias("right_skew"),
+        r(flows.sinh_arcsinh("x", -1.0, 1.0)).alias("left_skew"),
+        r(flows.sinh_arcsinh("x", 0.0, 0.5)).alias("light_tail"),
+    )
+
+
+@query("flow_forward", "N2", f"WITH {EVENTS_SQL}, {forward_sql('e', 'x', 'event_id')} SELECT event_id, {R('v')} AS x FROM fwd")
+def _(spark, d):
+    return flows.flow_forward(scaled(spark, d), "x", CHAIN, "x").select("event_id", r("x").alias("x"))
+
+
+@query("flow_inverse", "N3", f"WITH {EVENTS_SQL}, {inverse_sql('e', 'x', 'event_id')} SELECT event_id, {R('v')} AS z FROM inv")
+def _(spark, d):
+    return flows.flow_inverse(scaled(spark, d), "x", CHAIN).select("event_id", r("z").alias("z"))
+
+
+@query(
+    "flow_log_prob",
+    "N4",
+    f"""WITH {EVENTS_SQL}, {inverse_sql('e', 'x', 'event_id')}
+        SELECT event_id, {R(LOG_PROB)} AS log_prob, {R(f'exp({LOG_PROB})')} AS prob FROM inv""",
+)
+def _(spark, d):
+    out = flows.flow_prob(flows.flow_log_prob(scaled(spark, d), "x", CHAIN), "x", CHAIN)
+    return out.select("event_id", r("log_prob").alias("log_prob"), r("prob").alias("prob"))
+
+
+@query("flow_nll", "N5", f"WITH {EVENTS_SQL}, {inverse_sql('e', 'x', 'event_id')} SELECT {R(f'-avg({LOG_PROB})')} AS nll FROM inv")
+def _(spark, d):
+    return flows.flow_nll(scaled(spark, d), "x", CHAIN).select(r("nll").alias("nll"))
+
+
+@query("fit_flow_history", "N6 S10")
+def _(spark, d):
+    waiting = generators_scaled(spark, d)
+    _, history = flows.fit_flow(waiting, "x", 5, {"kind": "constant", "rate": 0.02}, 10)
+    return history
+
+
+def generators_scaled(spark, d):
+    return standardize(table(spark, d, "events").select(F.col("value").alias("x")), ["x"])
+
+
+@query("flow_roundtrip", "N7", "SELECT 0.0::DOUBLE AS sum_error, 0.0::DOUBLE AS max_error")
+def _(spark, d):
+    out = flows.roundtrip_error(scaled(spark, d), "x", CHAIN)
+    return out.select(r("sum_error", 6).alias("sum_error"), r("max_error", 9).alias("max_error"))
+
+
+@query("flow_sample", "N8")
+def _(spark, d):
+    return flows.flow_sample_over(table(spark, d, "events"), "event_id", CHAIN, 42)
+
+
+@query(
+    "flow_curve_on_grid",
+    "N9 S13 N4",
+    f"""WITH ends AS (SELECT min({SCALED}) AS lo, max({SCALED}) AS hi FROM events),
+        e AS (SELECT i AS grid_id, lo + i * (hi - lo) / 999 AS x FROM ends, range(1000) t(i)),
+        {inverse_sql('e', 'x', 'grid_id, x')}, {forward_sql('e', 'x', 'grid_id')}
+        SELECT inv.grid_id, {R('x')} AS x, {R(f'exp({LOG_PROB.replace("v", "inv.v")})')} AS prob, {R('fwd.v')} AS mapped
+        FROM inv JOIN fwd ON inv.grid_id = fwd.grid_id""",
+)
+def _(spark, d):
+    grid = generators.linspace_over(scaled(spark, d), "x", 1000)
+    out = flows.flow_forward(flows.flow_prob(grid, "x", CHAIN), "x", CHAIN, "mapped")
+    return out.select("grid_id", r("x").alias("x"), r("prob").alias("prob"), r("mapped").alias("mapped"))
+
+
+# --- two dimensions -------------------------------------------------------------------
+
+# Deterministic small nets stand for given weights.
+LAYERS = [
+    coupling.Coupling(
+        (0, 1) if i % 2 == 0 else (1, 0),
+        new_net(2, [8, 8, 2], ["relu", "relu", "tanh"], seed=10 + i),
+        new_net(2, [8, 8, 2], ["relu", "relu", "linear"], seed=50 + i),
+    )
+    for i in range(6)
+]
+
+
+def planar(spark, d):
+    return table(spark, d, "embeddings").select(
+        "vec_id", F.col("embedding")[0].cast("double").alias("x1"), F.col("embedding")[1].cast("double").alias("x2")
+    )
+
+
+@query("coupling_to_latent", "N10")
+def _(spark, d):
+    return coupling.coupling_inverse(planar(spark, d), "x1", "x2", LAYERS)
+
+
+@query(
+    "coupling_roundtrip",
+    "N10",
+    f"""SELECT vec_id, {R('embedding[1]::DOUBLE')} AS x1, {R('embedding[2]::DOUBLE')} AS x2 FROM embeddings""",
+)
+def _(spark, d):
+    latent = coupling.coupling_inverse(planar(spark, d), "x1", "x2", LAYERS).select("vec_id", "z1", "z2")
+    back = coupling.coupling_forward(latent, "z1", "z2", LAYERS)
+    return back.select("vec_id", r("x1").alias("x1"), r("x2").alias("x2"))
+
+
+@query("coupling_loss", "N10 N11")
+def _(spark, d):
+    return coupling.coupling_loss(planar(spark, d), "x1", "x2", LAYERS)
+
+
+@query(
+    "diagonal_normal_log_prob",
+    "N11",
+    f"""SELECT {R('avg(-ln(2 * pi()) - ln(2.0::DOUBLE) - 0.5 * pow((embedding[1]::DOUBLE - 0.1) / 2, 2) - 0.5 * pow(embedding[2]::DOUBLE, 2))')} AS mean_log_prob
+        FROM embeddings""",
+)
+def _(spark, d):
+    p = diagonal_normal_log_prob(["x1", "x2"], [0.1, 0.0], [2.0, 1.0])
+    return planar(spark, d).agg(r(F.avg(p)).alias("mean_log_prob"))
+
+
+@query("coupling_layer_trace", "N12 P20")
+def _(spark, d):
+    return coupling.layer_trace(planar(spark, d), "vec_id", "x1", "x2", LAYERS)
+
+
+@query(
+    "swap_coordinates",
+    "N13",
+    "SELECT vec_id, embedding[2]::DOUBLE AS x1, embedding[1]::DOUBLE AS x2 FROM embeddings",
+)
+def _(spark, d):
+    return flows.swap_columns(planar(spark, d), "x1", "x2")
+
+
+@query(
+    "latent_path",
+    "N14",
+    f"""WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings),
+        {inverse_sql('p', 'a', 'vec_id', 'ia')}, {inverse_sql('p', 'b', 'vec_id', 'ib')},
+        path AS (SELECT p.vec_id, i::INTEGER AS step, i / 10.0::DOUBLE * ib.v + (1 - i / 10.0::DOUBLE) * ia.v AS z,
+                 i / 10.0::DOUBLE * b + (1 - i / 10.0::DOUBLE) * a AS straight
+                 FROM p JOIN ia USING (vec_id) JOIN ib USING (vec_id), range(11) t(i)),
+        {forward_sql('path', 'z', 'vec_id, step, straight')}
+        SELECT vec_id, step, {R('straight')} AS straight, {R('v')} AS curved FROM fwd""",
+)
+def _(spark, d):
+    out = flows.latent_path(planar(spark, d), "x1", "x2", CHAIN, 11)
+    return out.select("vec_id", "step", r("straight").alias("straight"), r("curved").alias("curved"))
+
+
+@query(
+    "normalize_columns",
+    "N15 M2",
+    f"""SELECT vec_id, {R('(a - avg(a) OVER ()) / stddev_pop(a) OVER ()')} AS x1, {R('(b - avg(b) OVER ()) / stddev_pop(b) OVER ()')} AS x2
+        FROM (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings)""",
+)
+def _(spark, d):
+    out = standardize(planar(spark, d), ["x1", "x2"])
+    return out.select("vec_id", r("x1").alias("x1"), r("x2").alias("x2"))

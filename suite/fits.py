@@ -1 +1,391 @@
-"""Queries."""
+"""Regression, likelihoods, training histories and predictive bands."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from curvelake.functions import likelihood as lk
+from curvelake.models import nets, predictive
+from curvelake.models import regression as m
+from curvelake.operators import aggregates, joins, sampling
+from curvelake.sources.generators import linspace_over
+
+from .registry import R, query, r, table
+
+
+def items(spark, d):
+    """Price in thousands against quantity."""
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y")
+    )
+
+
+ITEMS_SQL = """i AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem)"""
+
+
+# --- features and scaling -------------------------------------------------------------
+
+@query(
+    "polynomial_features",
+    "M1",
+    """SELECT l_orderkey, l_linenumber, pow(l_quantity, 1) AS f1, pow(l_quantity, 2) AS f2, pow(l_quantity, 3) AS f3 FROM lineitem""",
+)
+def _(spark, d):
+    out = m.poly_features(items(spark, d), "x", 3)
+    return out.select("l_orderkey", "l_linenumber", *[F.col("features")[k].alias(f"f{k + 1}") for k in range(3)])
+
+
+@query(
+    "standardize_by_training_stats",
+    "M2",
+    f"""WITH s AS (SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sx FROM lineitem)
+        SELECT i AS grid_id, {R('(1 + i * 49.0 / 999 - mx) / sx')} AS x FROM s, range(1000) t(i)""",
+)
+def _(spark, d):
+    train = items(spark, d)
+    grid = linspace_over(train, "x", 1000)
+    return m.standardize(grid, ["x"], m.feature_stats(train, ["x"])).select("grid_id", r("x").alias("x"))
+
+
+# --- closed-form fits -----------------------------------------------------------------
+
+LINE_TERMS = "SELECT '{name}' AS model, 0 AS term, {a} AS value FROM {src} UNION ALL SELECT '{name}', 1, {b} FROM {src}"
+
+
+def _terms(name, a, b, src):
+    return LINE_TERMS.format(name=name, a=R(a), b=R(b), src=src)
+
+
+@query("fit_line", "M3", f"WITH {ITEMS_SQL} " + _terms("linear", "regr_intercept(y, x)", "regr_slope(y, x)", "i"))
+def _(spark, d):
+    return m.fit_ols(items(spark, d), "x", "y", 1).withColumn("value", r("value"))
+
+
+@query(
+    "fit_parabola",
+    "M3",
+    f"""WITH {ITEMS_SQL}, s AS (SELECT avg(x) AS mx, avg(x * x) AS mq, avg(y) AS my, covar_pop(x, x) AS cxx, covar_pop(x, x * x) AS cxq,
+            covar_pop(x * x, x * x) AS cqq, covar_pop(x, y) AS cxy, covar_pop(x * x, y) AS cqy FROM i),
+        w AS (SELECT *, (cxy * cqq - cqy * cxq) / (cxx * cqq - cxq * cxq) AS b1, (cqy * cxx - cxy * cxq) / (cxx * cqq - cxq * cxq) AS b2 FROM s)
+        SELECT 0 AS term, {R('my - b1 * mx - b2 * mq')} AS value FROM w UNION ALL SELECT 1, {R('b1')} FROM w UNION ALL SELECT 2, {R('b2')} FROM w""",
+)
+def _(spark, d):
+    return m.fit_ols(items(spark, d), "x", "y", 2).select("term", r("value").alias("value"))
+
+
+RIDGE_SQL = """s AS (SELECT {g}avg(x) AS mx, avg(y) AS my, regr_sxx(y, x) AS sxx, regr_sxy(y, x) AS sxy, count(*) AS n FROM i{by}),
+    w AS (SELECT *, sxy / (sxx + {alpha}) AS ridge,
+          sign(sxy) * greatest(abs(sxy) / n - {lasso}, 0) / (sxx / n) AS lasso, sxy / sxx AS line FROM s)"""
+
+
+@query(
+    "fit_ridge_line",
+    "M4",
+    f"WITH {ITEMS_SQL}, {RIDGE_SQL.format(g='', by='', alpha=50000, lasso=0)} " + _terms("ridge", "my - ridge * mx", "ridge", "w"),
+)
+def _(spark, d):
+    return m.fit_ridge(items(spark, d), "x", "y", 1, 50000.0).withColumn("value", r("value"))
+
+
+@query(
+    "fit_lasso_line",
+    "M5",
+    f"WITH {ITEMS_SQL}, {RIDGE_SQL.format(g='', by='', alpha=0, lasso=20)} " + _terms("lasso", "my - lasso * mx", "lasso", "w"),
+)
+def _(spark, d):
+    return m.fit_lasso(items(spark, d), "x", "y", 1, 20.0).withColumn("value", r("value"))
+
+
+SPECS = {"linear": ("linear", 1, 0.0), "ridge": ("ridge", 1, 5000.0), "lasso": ("lasso", 1, 5.0)}
+
+
+@query(
+    "fit_many_by_group",
+    "M6 M3 M4 M5",
+    f"WITH {ITEMS_SQL}, {RIDGE_SQL.format(g='l_returnflag AS g, ', by=' GROUP BY l_returnflag', alpha=5000, lasso=5)} "
+    + " UNION ALL ".join(
+        f"SELECT g AS \"group\", '{name}' AS model, {term} AS term, {R(value)} AS value FROM w"
+        for name, col in (("linear", "line"), ("ridge", "ridge"), ("lasso", "lasso"))
+        for term, value in ((0, f"my - {col} * mx"), (1, col))
+    ),
+)
+def _(spark, d):
+    return m.fit_many(items(spark, d), "x", "y", SPECS, "l_returnflag").withColumn("value", r("value"))
+
+
+@query("fit_degree_9_with_penalties", "M6 M3 M4 M5 A21 U2")
+def _(spark, d):
+    specs = {"linear": ("linear", 9, 0.0), "ridge": ("ridge", 9, 0.5), "lasso": ("lasso", 9, 0.02)}
+    return aggregates.coefficient_table(m.fit_many(items(spark, d), "x", "y", specs), list(specs))
+
+
+@query(
+    "coefficient_table",
+    "A21",
+    f"""WITH {ITEMS_SQL}, {RIDGE_SQL.format(g='', by='', alpha=5000, lasso=5)}
+        SELECT 0 AS term, {R('my - line * mx')} AS linear, {R('my - ridge * mx')} AS ridge, {R('my - lasso * mx')} AS lasso FROM w
+        UNION ALL SELECT 1, {R('line')}, {R('ridge')}, {R('lasso')} FROM w""",
+)
+def _(spark, d):
+    out = aggregates.coefficient_table(m.fit_many(items(spark, d), "x", "y", SPECS), list(SPECS))
+    return out.select("term", *[r(c).alias(c) for c in SPECS])
+
+
+@query(
+    "predict_on_rows",
+    "M7",
+    f"""WITH {ITEMS_SQL}, s AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM i)
+        SELECT l_orderkey, l_linenumber, {R('a + b * x')} AS yhat FROM i, s""",
+)
+def _(spark, d):
+    data = items(spark, d)
+    return m.predict(data, m.fit_ols(data, "x", "y", 1), "x").select("l_orderkey", "l_linenumber", r("yhat").alias("yhat"))
+
+
+@query(
+    "predict_by_group",
+    "M7 M6",
+    f"""WITH {ITEMS_SQL}, s AS (SELECT l_returnflag, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM i GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, {R('a + b * x')} AS yhat FROM i JOIN s USING (l_returnflag)""",
+)
+def _(spark, d):
+    data = items(spark, d)
+    coefs = m.fit_many(data, "x", "y", {"linear": ("linear", 1, 0.0)}, "l_returnflag")
+    return m.predict(data, coefs, "x", by="l_returnflag").select("l_orderkey", "l_linenumber", r("yhat").alias("yhat"))
+
+
+@query(
+    "mean_squared_error",
+    "M8",
+    f"""WITH {ITEMS_SQL}, s AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM i)
+        SELECT {R('avg(pow(y - a - b * x, 2))')} AS mse FROM i, s""",
+)
+def _(spark, d):
+    data = items(spark, d)
+    out = m.evaluate(m.predict(data, m.fit_ols(data, "x", "y", 1), "x"), "y", "yhat")
+    return out.select(r("mse").alias("mse"))
+
+
+# --- gradient descent -----------------------------------------------------------------
+
+EXPONENTIAL = {"kind": "exponential", "rate": 0.2, "decay": 0.96, "steps": 10}
+GD_SQL = """z AS (SELECT (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, y FROM i),
+    s AS (SELECT avg(x) AS mx, avg(x * x) AS mxx, avg(y) AS my, avg(x * y) AS mxy, avg(y * y) AS myy FROM z),
+    gd AS (SELECT 0 AS step, 0.5::DOUBLE AS a, -0.5::DOUBLE AS b FROM s
+        UNION ALL
+        SELECT step + 1, a - 0.2 * pow(0.96, step / 10.0) * 2 * (a + b * mx - my),
+               b - 0.2 * pow(0.96, step / 10.0) * 2 * (a * mx + b * mxx - mxy) FROM gd, s WHERE step < 40)"""
+
+
+def _gradient(spark, d):
+    data = m.standardize(items(spark, d).select("x", "y"), ["x"])
+    return m.fit_gradient(data, ["x"], "y", EXPONENTIAL, 40, init=[0.5, -0.5])
+
+
+@query(
+    "gradient_descent_coefficients",
+    "M9",
+    f"WITH RECURSIVE {ITEMS_SQL}, {GD_SQL} SELECT 0 AS term, {R('a')} AS value FROM gd WHERE step = 40 UNION ALL SELECT 1, {R('b')} FROM gd WHERE step = 40",
+)
+def _(spark, d):
+    return _gradient(spark, d)[0].select("term", r("value").alias("value"))
+
+
+@query(
+    "gradient_descent_loss",
+    "M9 M24",
+    f"""WITH RECURSIVE {ITEMS_SQL}, {GD_SQL}
+        SELECT step, {R('a * a + 2 * a * b * mx + b * b * mxx - 2 * a * my - 2 * b * mxy + myy')} AS loss FROM gd, s WHERE step < 40""",
+)
+def _(spark, d):
+    return _gradient(spark, d)[1].select("step", r("loss").alias("loss"))
+
+
+@query(
+    "learning_rates",
+    "M10",
+    f"""SELECT o_orderkey AS step, {R('0.0007 * pow(0.96, o_orderkey / 2000)', 15)} AS smooth,
+        {R('0.4 * pow(0.96, floor(o_orderkey / 1000))', 12)} AS floored,
+        CASE WHEN o_orderkey > 10000 THEN 0.000005::DOUBLE WHEN o_orderkey > 1000 THEN 0.0001 WHEN o_orderkey > 100 THEN 0.001 ELSE 0.01 END AS step_table
+        FROM orders""",
+)
+def _(spark, d):
+    smooth = {"kind": "exponential", "rate": 0.0007, "decay": 0.96, "steps": 2000}
+    floored = {"kind": "exponential", "rate": 0.4, "decay": 0.96, "steps": 1000, "floored": True}
+    return table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("step"),
+        r(lk.learning_rate("o_orderkey", smooth), 15).alias("smooth"),
+        r(lk.learning_rate("o_orderkey", floored), 12).alias("floored"),
+        lk.learning_rate("o_orderkey", {"kind": "table"}).alias("step_table"),
+    )
+
+
+@query(
+    "early_stop_per_run",
+    "M11",
+    """WITH h AS (SELECT event_type AS run, CAST(user_id AS INTEGER) AS step, max(value) AS loss FROM events GROUP BY ALL),
+       b AS (SELECT *, min(loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM h),
+       g AS (SELECT *, max(CASE WHEN best IS NULL OR loss < best THEN step END) OVER (PARTITION BY run ORDER BY step) AS gain FROM b),
+       s AS (SELECT run, coalesce(min(CASE WHEN step - gain >= 30 THEN step END), max(step)) AS stop_step FROM g GROUP BY run)
+       SELECT run, max(gain) AS best_step, min(loss) AS best_loss, max(stop_step) AS stop_step
+       FROM g JOIN s USING (run) WHERE step <= stop_step GROUP BY run""",
+)
+def _(spark, d):
+    history = table(spark, d, "events").groupBy(F.col("event_type").alias("run"), F.col("user_id").cast("int").alias("step")).agg(
+        F.max("value").alias("loss")
+    )
+    return m.early_stop(history, patience=30, by=["run"])
+
+
+# --- likelihood -----------------------------------------------------------------------
+
+@query(
+    "constant_sigma_nll",
+    "M12",
+    f"""WITH {ITEMS_SQL} SELECT {R('sum(0.5 * ln(2 * pi()) + ln(3.0::DOUBLE) + 0.5 * pow((y - x) / 3, 2))', 2)} AS nll FROM i""",
+)
+def _(spark, d):
+    import math
+
+    return items(spark, d).agg(r(F.sum(lk.normal_nll("y", "x", F.lit(math.log(3.0)))), 2).alias("nll"))
+
+
+@query(
+    "varying_sigma_nll",
+    "M13",
+    f"""WITH {ITEMS_SQL} SELECT {R('sum(0.5 * ln(2 * pi()) + (0.5 + x / 50) + 0.5 * pow((y - x) / exp(0.5 + x / 50), 2))', 2)} AS nll FROM i""",
+)
+def _(spark, d):
+    return items(spark, d).agg(r(F.sum(lk.normal_nll("y", "x", 0.5 + F.col("x") / 50)), 2).alias("nll"))
+
+
+@query(
+    "linked_scale_nll",
+    "M14 P23",
+    f"""WITH {ITEMS_SQL}, l AS (SELECT l_orderkey, l_linenumber, x, y, 0.001 + ln(1 + exp(0.05 * x)) AS s FROM i)
+        SELECT l_orderkey, l_linenumber, {R('0.5 * ln(2 * pi()) + ln(s) + 0.5 * pow((y - x) / s, 2)')} AS softplus,
+        {R('0.5 * ln(2 * pi()) + x / 50 + 0.5 * pow((y - x) / exp(x / 50), 2)')} AS exponential FROM l""",
+)
+def _(spark, d):
+    return items(spark, d).select(
+        "l_orderkey",
+        "l_linenumber",
+        r(lk.linked_nll("y", "x", "x", "softplus")).alias("softplus"),
+        r(lk.linked_nll("y", "x", F.col("x") / 50, "exp")).alias("exponential"),
+    )
+
+
+@query(
+    "fit_gaussian_model",
+    "M15",
+    f"""WITH {ITEMS_SQL}, s AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a,
+            sqrt((regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x)) / count(*)) AS sd, count(*) AS n FROM i)
+        SELECT 0 AS term, {R('a', 5)} AS value FROM s UNION ALL SELECT 1, {R('b', 5)} FROM s UNION ALL SELECT -1, {R('sd', 5)} FROM s
+        UNION ALL SELECT -2, {R('-n * (0.5 * ln(2 * pi()) + ln(sd) + 0.5)', 2)} FROM s""",
+)
+def _(spark, d):
+    out = m.fit_gaussian(items(spark, d), ["x"], "y")
+    return out.select("term", F.when(F.col("term") == -2, r("value", 2)).otherwise(r("value", 5)).alias("value"))
+
+
+@query("fit_varying_sigma", "M16")
+def _(spark, d):
+    data = m.standardize(items(spark, d).select("x", "y"), ["x"])
+    return m.fit_hetero(data, ["x"], ["x"], "y", 8)[0]
+
+
+# --- bands and draws ------------------------------------------------------------------
+
+@query(
+    "sigma_band",
+    "M17",
+    f"""WITH {ITEMS_SQL} SELECT l_returnflag, {R('avg(y) - 2 * stddev_pop(y)')} AS lower, {R('avg(y) + 2 * stddev_pop(y)')} AS upper
+        FROM i GROUP BY ALL""",
+)
+def _(spark, d):
+    stats = items(spark, d).groupBy("l_returnflag").agg(F.avg("y").alias("mu"), F.stddev_pop("y").alias("sd"))
+    return m.sigma_band(stats, "mu", "sd").select("l_returnflag", r("lower").alias("lower"), r("upper").alias("upper"))
+
+
+DRAWS_SQL = """d AS (SELECT c_custkey, i, c_acctbal / 1000 + i / 10.0::DOUBLE AS mu, (c_custkey % 7 + i) / 20.0::DOUBLE AS ls
+                   FROM customer, range(20) t(i))"""
+
+
+def _run_outputs(spark, d):
+    runs = joins.repeat_runs(table(spark, d, "customer").select("c_custkey", "c_acctbal"), 20)
+    return runs.select(
+        "c_custkey",
+        "run",
+        (F.col("c_acctbal") / 1000 + F.col("run") / 10).alias("mu"),
+        ((F.col("c_custkey") % 7 + F.col("run")) / 20).alias("ls"),
+    )
+
+
+@query(
+    "run_averaged_sigma_band",
+    "M17 J5",
+    f"""WITH {DRAWS_SQL} SELECT c_custkey, {R('avg(mu)')} AS mu, {R('avg(mu) - 2 * (SELECT avg(exp(ls)) FROM d)')} AS lower,
+        {R('avg(mu) + 2 * (SELECT avg(exp(ls)) FROM d)')} AS upper FROM d GROUP BY c_custkey""",
+)
+def _(spark, d):
+    out = m.averaged_sigma_band(_run_outputs(spark, d), ["c_custkey"], "mu", "ls")
+    return out.select("c_custkey", *[r(c).alias(c) for c in ("mu", "lower", "upper")])
+
+
+@query("predictive_draws", "M18 J5")
+def _(spark, d):
+    grid = linspace_over(items(spark, d), "x", 1000)
+    model = grid.withColumns({"mu": 1.5 * F.col("x"), "sigma": 1 + F.col("x") / 10})
+    return predictive.predictive_draws(model, "grid_id", "mu", "sigma", 20, 1)
+
+
+@query(
+    "draw_summary",
+    "M19 A19",
+    f"""WITH {DRAWS_SQL} SELECT c_custkey, {R('avg(mu)')} AS mean, {R('quantile_cont(mu, 0.025)')} AS lower,
+        {R('quantile_cont(mu, 0.975)')} AS upper FROM d GROUP BY c_custkey""",
+)
+def _(spark, d):
+    out = predictive.draw_summary(_run_outputs(spark, d), ["c_custkey"], "mu")
+    return out.select("c_custkey", *[r(c).alias(c) for c in ("mean", "lower", "upper")])
+
+
+@query("weight_draws", "M20 M19")
+def _(spark, d):
+    grid = linspace_over(items(spark, d), "x", 200)
+    drawn = predictive.weight_draws(grid, ["x"], [0.5, 1.4], [0.3, 0.05], 50, 3)
+    return predictive.draw_summary(drawn, ["grid_id"])
+
+
+DROPOUT_NET = nets.new_net(1, [10, 20, 6, 2], ["sigmoid", "sigmoid", "sigmoid", "linear"], seed=4)
+
+
+@query("dropout_draws", "M21 M19")
+def _(spark, d):
+    grid = linspace_over(items(spark, d), "x", 200).withColumn("x", F.col("x") / 50)
+    drawn = predictive.dropout_draws(grid, "grid_id", ["x"], DROPOUT_NET, 0.2, 20, 5)
+    return predictive.draw_summary(drawn, ["grid_id"], "mu")
+
+
+# --- nets -----------------------------------------------------------------------------
+
+@query("net_training_history", "M22 M24 L6")
+def _(spark, d):
+    data = m.standardize(items(spark, d).select("l_orderkey", "x", "y"), ["x", "y"])
+    parts = sampling.hash_split(data, "l_orderkey", 0.2, 1)
+    net = nets.new_net(1, [5, 10, 5, 1], ["tanh", "tanh", "tanh", "linear"], seed=1)
+    _, history = nets.fit_net(
+        parts.where("part = 'train'"), ["x"], "y", net, "mse", {"kind": "constant", "rate": 0.1}, 8,
+        validation=parts.where("part = 'validation'"),
+    )
+    return history
+
+
+@query("two_head_training_history", "M23 M24")
+def _(spark, d):
+    data = m.standardize(items(spark, d).select("x", "y"), ["x", "y"])
+    mean_net = nets.new_net(1, [6, 1], ["tanh", "linear"], seed=1)
+    sigma_net = nets.new_net(1, [6, 1], ["sigmoid", "linear"], seed=2)
+    rate = {"kind": "constant", "rate": 0.1}
+    _, history = nets.fit_two_heads(data, ["x"], "y", mean_net, sigma_net, rate, rate, 8, sigma_start=4)
+    return history
