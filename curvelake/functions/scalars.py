@@ -106,8 +106,21 @@ def rounded(c: ColumnLike, digits: int = 0, half: str = "up") -> Column:
     return (F.round if half == "up" else F.bround)(as_col(c), digits)
 
 
+def _log(c: ColumnLike, function) -> Column:
+    """Logarithm with the floating-point limits: -Infinity at 0 and NaN below, where the
+    built-in functions give null."""
+    x = as_col(c).cast("double")
+    return (
+        F.when(x > 0, function(x)).when(x == 0, F.lit(float("-inf"))).when(x < 0, F.lit(float("nan")))
+    )
+
+
+def natural_log(c: ColumnLike) -> Column:
+    return _log(c, F.log)
+
+
 def log10_axis(c: ColumnLike) -> Column:
-    return F.log10(as_col(c).cast("double"))
+    return _log(c, F.log10)
 
 
 def tick_sequence(lo: float, hi: float, by: float) -> Column:

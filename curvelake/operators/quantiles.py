@@ -2,8 +2,10 @@
 
 The built-in exact percentile keeps all values of a group in one buffer. Here a sketch
 gives, per group and target, two values that enclose the wanted rank; one pass counts the
-rows below and inside; only the few rows inside are sorted. The result is exact, and
-whenever a sketch missed its rank the query fails instead of giving a near value.
+rows below and inside. The rows inside (about 6 / accuracy of a group) are counted per value
+and per slice of the enclosed range, and only the slice with the wanted rank is sorted. The
+result is exact, and should a sketch miss its rank, the query fails instead of giving a
+near value.
 """
 
 from __future__ import annotations
@@ -17,16 +19,15 @@ from ..functions.scalars import quoted
 from .joins import attach_scalars, join_on_keys
 
 Rank = Callable[[Column], Column]
+Target = tuple[float, Sequence[Rank]]
+
+SLICES = 256
 
 
 def select_ranks(
-    df: DataFrame,
-    value: str,
-    targets: Sequence[tuple[float, Sequence[Rank]]],
-    by: Sequence[str] = (),
-    accuracy: int = 10_000,
+    df: DataFrame, value: str, targets: Sequence[Target], by: Sequence[str] = (), accuracy: int = 10_000
 ) -> DataFrame:
-    """Values at given 0-based ranks of the sorted column.
+    """Values at given 0-based ranks of a sorted numeric column.
 
     A target is a fraction near which its ranks lie, and functions from the group's row count
     to the ranks. Returns the keys, ``n``, the target's number ``t`` and ``values``, the array of
@@ -38,81 +39,109 @@ def select_ranks(
     # The sketch errs by at most 1/accuracy of the ranks; the bracket allows three times that.
     slack = 3.0 / accuracy
     edges = [max(p - slack, 0.0) for p, _ in targets] + [min(p + slack, 1.0) for p, _ in targets]
-    sketch = dict(
-        n=F.count("_v"), _edges=F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), accuracy)
-    )
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), accuracy)
     if by:
-        brackets = data.groupBy(*keys).agg(*[c.alias(a) for a, c in sketch.items()])
-        framed = join_on_keys(data, brackets, by)
+        framed = join_on_keys(data, data.groupBy(*keys).agg(sketch.alias("_edges")), by)
     else:
-        framed = attach_scalars(data, data, **sketch)
-
+        framed = attach_scalars(data, data, _edges=sketch)
     low = [F.col("_edges")[i] for i in range(k)]
     high = [F.col("_edges")[k + i] for i in range(k)]
-    v = F.col("_v")
-    counts = framed.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("t"),
-                    F.count(F.when(v < low[i], 1)).alias("below"),
-                    F.count(F.when((v >= low[i]) & (v <= high[i]), 1)).alias("inside"),
-                    F.max(F.when(v < low[i], v)).alias("before"),
-                    F.min(F.when(v > high[i], v)).alias("after"),
-                )
-                for i in range(k)
-            ]
-        ).alias("_targets"),
+    return pick_ranks(framed, targets, low, high, by)
+
+
+def pick_ranks(
+    framed: DataFrame, targets: Sequence[Target], low: Sequence[Column], high: Sequence[Column], by: Sequence[str]
+) -> DataFrame:
+    """The same from rows ``_v`` that already know the ends of each target's bracket."""
+    keys = [F.col(quoted(b)) for b in by]
+    v, slots = F.col("_v"), max(len(ranks) for _, ranks in targets)
+
+    def inside(i: int) -> Column:
+        return (v >= low[i]) & (v <= high[i])
+
+    counts = (
+        framed.groupBy(*keys)
+        .agg(
+            F.count("_v").alias("n"),
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("t"),
+                        F.count(F.when(v < low[i], 1)).alias("_below"),
+                        F.count(F.when(inside(i), 1)).alias("_inside"),
+                        F.max(F.when(v < low[i], v)).alias("_before"),
+                        F.min(F.when(v > high[i], v)).alias("_after"),
+                    )
+                    for i in range(len(targets))
+                ]
+            ).alias("_targets"),
+        )
+        .select(*keys, "n", F.inline("_targets"))
     )
-    counts = counts.select(*keys, "n", F.inline("_targets"))
+    # Wanted places, counted from the first row inside the bracket.
+    place = F.lit(None)
+    for i, (_, ranks) in enumerate(targets):
+        padded = [*ranks, *[ranks[-1]] * (slots - len(ranks))]
+        at = F.array(*[r(F.col("n")).cast("bigint") - F.col("_below") for r in padded])
+        place = F.when(F.col("t") == i, at).otherwise(place)
+    counts = counts.withColumn("_at", place)
+
+    # Equal values are counted together first, so a frequent value is one row from here on.
+    def slice_of(i: int) -> Column:
+        share = F.try_divide((v - low[i]).cast("double"), (high[i] - low[i]).cast("double"))
+        return F.least(F.coalesce(F.floor(share * SLICES), F.lit(0)), F.lit(SLICES - 1)).cast("int")
 
     hits = F.filter(
-        F.array(*[F.when((v >= low[i]) & (v <= high[i]), F.lit(i)) for i in range(k)]),
-        lambda t: t.isNotNull(),
+        F.array(
+            *[
+                F.when(inside(i), F.struct(F.lit(i).alias("t"), slice_of(i).alias("_slice")))
+                for i in range(len(targets))
+            ]
+        ),
+        lambda h: h.isNotNull(),
     )
-    # Equal values are counted together first, so a frequent value is one row from here on.
-    inside = (
-        framed.select(*keys, "_v", F.explode(hits).alias("t"))
-        .groupBy(*keys, "t", "_v")
+    valued = (
+        framed.select(*keys, "_v", F.explode(hits).alias("_hit"))
+        .groupBy(*keys, F.col("_hit.t").alias("t"), F.col("_hit._slice").alias("_slice"), "_v")
         .agg(F.count("*").alias("_rows"))
     )
-    order = Window.partitionBy(*keys, "t").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = inside.withColumn("_end", F.sum("_rows").over(order))
 
-    wanted = counts.withColumn(
-        "_ranks",
-        F.element_at(
-            F.create_map(
-                *[
-                    x
-                    for i, (_, ranks) in enumerate(targets)
-                    for x in (F.lit(i), F.array(*[r(F.col("n")).cast("bigint") for r in ranks]))
-                ]
-            ),
-            F.col("t"),
-        ),
-    ).select("*", F.posexplode("_ranks").alias("_slot", "_rank"))
-    at = join_on_keys(wanted, placed, [*by, "t"], "left")
-    rank = F.col("_rank") - F.col("below")
-    found = F.max(F.when((rank >= F.col("_end") - F.col("_rows")) & (rank < F.col("_end")), v))
-    picked = at.groupBy(*keys, "n", "t", "_slot", "_rank", "below", "inside", "before", "after").agg(
-        found.alias("_found")
+    # Which slices hold a wanted place? At most SLICES + 1 rows per group and target.
+    slices = valued.groupBy(*keys, "t", "_slice").agg(F.sum("_rows").alias("_rows"))
+    spine = slices.withColumn("_at", F.lit(None).cast("array<bigint>")).unionByName(
+        counts.select(*keys, "t", F.lit(-1).alias("_slice"), F.lit(0).cast("bigint").alias("_rows"), "_at")
     )
-    missed = F.raise_error(F.lit("rank outside its bracket; raise the accuracy"))
-    picked = picked.withColumn(
-        "_value",
-        F.when(rank == -1, F.col("before"))
-        .when(rank == F.col("inside"), F.col("after"))
-        .when((rank >= 0) & (rank < F.col("inside")), F.col("_found"))
-        .otherwise(missed),
+    upto = Window.partitionBy(*keys, "t").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    spine = spine.withColumns({"_end": F.sum("_rows").over(upto), "_at": F.first("_at", True).over(upto)})
+    holds = F.exists("_at", lambda r: (r >= F.col("_end") - F.col("_rows")) & (r < F.col("_end")))
+    chosen = spine.where(holds).select(*keys, "t", "_slice", (F.col("_end") - F.col("_rows")).alias("_start"), "_at")
+
+    order = Window.partitionBy(*keys, "t", "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    sorted_rows = join_on_keys(valued, chosen, [*by, "t", "_slice"]).withColumn(
+        "_end", F.col("_start") + F.sum("_rows").over(order)
     )
-    # One entry per requested rank: bounded by the number of targets, not by the data.
-    return picked.groupBy(*keys, "n", "t").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_slot", "_value"))), lambda s: s["_value"]
-        ).alias("values")
+
+    def found(i: int) -> Column:
+        r = F.col("_at")[i]
+        return F.when((r >= F.col("_end") - F.col("_rows")) & (r < F.col("_end")), v)
+
+    names = [f"_found_{i}" for i in range(slots)]
+    hit_rows = sorted_rows.select(*keys, "t", *[found(i).alias(n) for i, n in enumerate(names)])
+    frame = ["n", "_inside", "_before", "_after", "_at"]
+    merged = (
+        counts.select(*keys, "t", *frame)
+        .unionByName(hit_rows, allowMissingColumns=True)
+        .groupBy(*keys, "t")
+        .agg(*[F.max(c).alias(c) for c in [*frame, *names]])
     )
+    missed = F.raise_error(F.lit("a rank lies outside its bracket; raise the accuracy"))
+    values = [
+        F.when(F.col("_at")[i] == -1, F.col("_before"))
+        .when(F.col("_at")[i] == F.col("_inside"), F.col("_after"))
+        .otherwise(F.coalesce(F.col(n), missed))
+        for i, n in enumerate(names)
+    ]
+    return merged.select(*keys, "n", "t", F.array(*values).alias("values"))
 
 
 def exact_quantiles(

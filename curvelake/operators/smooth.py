@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import quoted
-from .joins import attach_scalars, join_on_keys, spread_over_grid
-from .quantiles import select_ranks
+from .joins import attach_scalars, spread_over_grid
+from .quantiles import pick_ranks
 
 
 def group_lm(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -66,22 +67,56 @@ def _local_fit(degree: int) -> Column:
     return F.coalesce(F.try_divide(top, det), line, mean)
 
 
+def _reach_brackets(
+    edges: np.ndarray, n: int, points: Sequence[float], k: int, error: float
+) -> tuple[list[float], list[float]]:
+    """Distances that enclose the k-th nearest row of each point, from approximate quantiles.
+
+    The number of rows within a distance lies between bounds read off the quantiles; the
+    lower end has surely fewer than k rows, the upper end surely k or more.
+    """
+    shares = np.linspace(0.0, 1.0, len(edges))
+    most, least = np.append((shares + error) * n, n), np.concatenate([[0.0], (shares - error) * n])
+    least[-1] = n
+    low, high = [], []
+    for g in points:
+        reach = np.unique(np.abs(edges - g))
+        right, left = g + reach, g - reach
+        upto_r, upto_l = np.searchsorted(edges, right, "right"), np.searchsorted(edges, left, "left")
+        at_most = most[upto_r] - np.maximum(least[upto_l], 0.0)
+        before = np.where(upto_l == 0, 0.0, most[upto_l])
+        at_least = np.maximum(least[upto_r], 0.0) - before
+        fewer, enough = reach[at_most < k], reach[at_least >= k]
+        low.append(float(fewer.max()) if len(fewer) else 0.0)
+        high.append(float(enough.min()) if len(enough) else float(reach.max()))
+    return low, high
+
+
 def loess_grid(
     df: DataFrame, x: str, y: str, grid: Sequence[float], span: float = 0.75, degree: int = 1, accuracy: int = 10_000
 ) -> DataFrame:
     """Local polynomial of degree 1 or 2 with tricube weights at each point of a small grid.
 
-    The window of a point reaches to its k-th nearest row, k = floor(span n). That distance
-    is an exact order statistic of |x - point|, found without sorting the table per point; the
-    local sums are then one aggregation with as many groups as grid points.
+    The window of a point reaches to its k-th nearest row, k = floor(span n). One sketch of x
+    (a fixed number of quantiles goes to the driver) encloses that distance for every point;
+    the exact order statistic of |x - point| is then picked inside, so no point sorts the table.
+    The local sums are one aggregation with as many groups as grid points.
     """
     if degree not in (1, 2):
         raise ValueError("degree must be 1 or 2")
     points = [float(g) for g in grid]
     data = df.select(F.col(quoted(x)).cast("double").alias("_x"), F.col(quoted(y)).cast("double").alias("_y")).dropna()
-    away = spread_over_grid(data, points).withColumn("_d", F.abs(F.col("_x") - F.col("grid_x")))
-    kth = lambda n: F.greatest(F.floor(n * F.lit(span) + F.lit(1e-5)) - 1, F.lit(0))
-    reach = select_ranks(away, "_d", [(span, (kth,))], ["grid_id"], accuracy).select(
+    shares = F.split(F.lit(",".join(str(i / 2000) for i in range(2001))), ",").cast("array<double>")
+    row = data.agg(F.count("*").alias("n"), F.percentile_approx("_x", shares, accuracy).alias("edges")).first()
+    k = max(math.floor(row["n"] * span + 1e-5), 1)
+    low, high = _reach_brackets(np.array(row["edges"] or [0.0]), row["n"], points, k, 2.0 / accuracy)
+
+    def of_point(values: Sequence[float]) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("grid_id"))
+
+    away = spread_over_grid(data, points).select("grid_id", F.abs(F.col("_x") - F.col("grid_x")).alias("_v"))
+    kth = (0.0, (lambda n: F.lit(k - 1),))
+    reach = pick_ranks(away, [kth], [of_point(low)], [of_point(high)], ["grid_id"]).select(
         "grid_id", F.col("values")[0].alias("h")
     )
     # One number per grid point, put in grid order into one array.

@@ -88,8 +88,8 @@ def _(spark, d):
         SELECT event_id, {R(LOG_PROB)} AS log_prob, {R(f'exp({LOG_PROB})')} AS prob FROM inv""",
 )
 def _(spark, d):
-    out = flows.flow_prob(flows.flow_log_prob(scaled(spark, d), "x", CHAIN), "x", CHAIN)
-    return out.select("event_id", r("log_prob").alias("log_prob"), r("prob").alias("prob"))
+    out = flows.flow_log_prob(scaled(spark, d), "x", CHAIN)
+    return out.select("event_id", r("log_prob").alias("log_prob"), r(F.exp("log_prob")).alias("prob"))
 
 
 @query("flow_nll", "N5", f"WITH {EVENTS_SQL}, {inverse_sql('e', 'x', 'event_id')} SELECT {R(f'-avg({LOG_PROB})')} AS nll FROM inv")

@@ -204,7 +204,7 @@ def _(spark, d):
 @query(
     "learning_rates",
     "M10",
-    f"""SELECT o_orderkey AS step, {R('0.0007 * pow(0.96, o_orderkey / 2000)', 15)} AS smooth,
+    f"""SELECT o_orderkey AS step, {R('0.0007 * pow(0.96, o_orderkey / 2000)', 12)} AS smooth,
         {R('0.4 * pow(0.96, floor(o_orderkey / 1000))', 12)} AS floored,
         CASE WHEN o_orderkey > 10000 THEN 0.000005::DOUBLE WHEN o_orderkey > 1000 THEN 0.0001 WHEN o_orderkey > 100 THEN 0.001 ELSE 0.01 END AS step_table
         FROM orders""",
@@ -214,7 +214,7 @@ def _(spark, d):
     floored = {"kind": "exponential", "rate": 0.4, "decay": 0.96, "steps": 1000, "floored": True}
     return table(spark, d, "orders").select(
         F.col("o_orderkey").alias("step"),
-        r(lk.learning_rate("o_orderkey", smooth), 15).alias("smooth"),
+        r(lk.learning_rate("o_orderkey", smooth), 12).alias("smooth"),
         r(lk.learning_rate("o_orderkey", floored), 12).alias("floored"),
         lk.learning_rate("o_orderkey", {"kind": "table"}).alias("step_table"),
     )

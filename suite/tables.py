@@ -512,7 +512,7 @@ def _(spark, d):
         "event_id",
         r(F.sin(v)).alias("s"),
         r(F.exp(-v / 100)).alias("e"),
-        r(F.log(v)).alias("l"),
+        r(s.natural_log(v)).alias("l"),
         r(F.sqrt(v)).alias("q"),
         r(v * v, 4).alias("sq"),
         r(F.pow(v, F.lit(3.0)), 2).alias("cube"),
