@@ -54,6 +54,10 @@ def indexed_growth(
 ) -> DataFrame:
     """Wide table: one row per period with the mean and the mean relative to the base period
     for every group, as ``avg_<value>_<group>`` and ``<value>_to_base_<group>``."""
+    if groups is None:
+        # Columns come from the groups that are left; asking the indexed table would run all of it twice.
+        found = period_stats(df.select(period, group, value), period, group, value, min_n)
+        groups = [r[0] for r in found.select(group).distinct().orderBy(group).collect()]
     long = indexed_long(df, period, group, value, min_n, base)
     return pivot_measures(long, period, group, [f"avg_{value}", f"{value}_to_base"], groups)
 
