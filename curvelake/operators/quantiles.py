@@ -50,10 +50,19 @@ def select_ranks(
 
 
 def pick_ranks(
-    framed: DataFrame, targets: Sequence[Target], low: Sequence[Column], high: Sequence[Column], by: Sequence[str]
+    framed: DataFrame,
+    targets: Sequence[Target],
+    low: Sequence[Column],
+    high: Sequence[Column],
+    by: Sequence[str],
+    weight: str | None = None,
 ) -> DataFrame:
-    """The same from rows ``_v`` that already know the ends of each target's bracket."""
+    """The same from rows ``_v`` that already know the ends of each target's bracket.
+
+    ``weight`` names a column that says how many equal rows a row stands for.
+    """
     keys = [F.col(quoted(b)) for b in by]
+    copies = F.lit(1).cast("bigint") if weight is None else F.col(weight)
     v, slots = F.col("_v"), max(len(ranks) for _, ranks in targets)
 
     def inside(i: int) -> Column:
@@ -62,13 +71,13 @@ def pick_ranks(
     counts = (
         framed.groupBy(*keys)
         .agg(
-            F.count("_v").alias("n"),
+            F.sum(copies).alias("n"),
             F.array(
                 *[
                     F.struct(
                         F.lit(i).alias("t"),
-                        F.count(F.when(v < low[i], 1)).alias("_below"),
-                        F.count(F.when(inside(i), 1)).alias("_inside"),
+                        F.sum(F.when(v < low[i], copies).otherwise(0)).alias("_below"),
+                        F.sum(F.when(inside(i), copies).otherwise(0)).alias("_inside"),
                         F.max(F.when(v < low[i], v)).alias("_before"),
                         F.min(F.when(v > high[i], v)).alias("_after"),
                     )
@@ -101,9 +110,9 @@ def pick_ranks(
         lambda h: h.isNotNull(),
     )
     valued = (
-        framed.select(*keys, "_v", F.explode(hits).alias("_hit"))
+        framed.select(*keys, "_v", copies.alias("_rows"), F.explode(hits).alias("_hit"))
         .groupBy(*keys, F.col("_hit.t").alias("t"), F.col("_hit._slice").alias("_slice"), "_v")
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.sum("_rows").alias("_rows"))
     )
 
     # Which slices hold a wanted place? At most SLICES + 1 rows per group and target.

@@ -114,34 +114,37 @@ def loess_grid(
     def of_point(values: Sequence[float]) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("grid_id"))
 
-    away = spread_over_grid(data, points).select("grid_id", F.abs(F.col("_x") - F.col("grid_x")).alias("_v"))
+    # Rows with equal x act as one row with their count and summed y; nothing is lost.
+    merged = data.groupBy("_x").agg(F.count("*").alias("_c"), F.sum("_y").alias("_y"))
+    away = spread_over_grid(merged, points).select("grid_id", "_c", F.abs(F.col("_x") - F.col("grid_x")).alias("_v"))
     kth = (0.0, (lambda n: F.lit(k - 1),))
-    reach = pick_ranks(away, [kth], [of_point(low)], [of_point(high)], ["grid_id"]).select(
+    reach = pick_ranks(away, [kth], [of_point(low)], [of_point(high)], ["grid_id"], "_c").select(
         "grid_id", F.col("values")[0].alias("h")
     )
     # One number per grid point, put in grid order into one array.
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("grid_id", "h"))), lambda s: s["h"])
-    near = attach_scalars(data, reach, _h=ordered)
+    near = attach_scalars(merged, reach, _h=ordered)
     near = spread_over_grid(near, points).select(
         "grid_id",
         "grid_x",
         "_y",
+        "_c",
         (F.col("_x") - F.col("grid_x")).alias("u"),
         F.get("_h", F.col("grid_id")).alias("h"),
     )
     # Offsets in units of the reach keep the sums of powers of like size.
     near = near.where(F.abs("u") < F.col("h")).withColumn("u", F.col("u") / F.col("h"))
-    near = near.withColumn("w", F.pow(1 - F.pow(F.abs("u"), 3), 3))
-    w, u, yc = F.col("w"), F.col("u"), F.col("_y")
+    near = near.withColumn("k", F.pow(1 - F.pow(F.abs("u"), 3), 3)).withColumn("w", F.col("k") * F.col("_c"))
+    w, u, ky = F.col("w"), F.col("u"), F.col("k") * F.col("_y")
     sums = near.groupBy("grid_id", "grid_x").agg(
         F.sum(w).alias("s0"),
         F.sum(w * u).alias("s1"),
         F.sum(w * u * u).alias("s2"),
         F.sum(w * u * u * u).alias("s3"),
         F.sum(w * u * u * u * u).alias("s4"),
-        F.sum(w * yc).alias("t0"),
-        F.sum(w * u * yc).alias("t1"),
-        F.sum(w * u * u * yc).alias("t2"),
+        F.sum(ky).alias("t0"),
+        F.sum(u * ky).alias("t1"),
+        F.sum(u * u * ky).alias("t2"),
     )
     return sums.select("grid_id", "grid_x", _local_fit(degree).alias("fit"))
 

@@ -37,8 +37,8 @@ def _(spark, d):
     return out.withColumns({c: r(c) for c in ("fit", "lower", "upper")}).withColumn("grid_id", F.col("grid_id").cast("bigint"))
 
 
-LOESS_SQL = """x AS (SELECT value AS y, user_id + event_id / 100000.0::DOUBLE AS x FROM events),
-    g AS (SELECT i, 7.5::DOUBLE * i AS gx FROM range(20) t(i)),
+LOESS_SQL = """x AS (SELECT l_extendedprice / 1000 AS y, l_quantity AS x FROM lineitem),
+    g AS (SELECT i, 2.5::DOUBLE * (i + 1) AS gx FROM range(20) t(i)),
     dist AS (SELECT i, gx, x - gx AS u, y, abs(x - gx) AS dd FROM x, g),
     ranked AS (SELECT i, dd, row_number() OVER (PARTITION BY i ORDER BY dd) AS rn, count(*) OVER (PARTITION BY i) AS n FROM dist),
     h AS (SELECT i, dd AS h FROM ranked WHERE rn = CAST(floor(n * {span} + 1e-5) AS BIGINT)),
@@ -48,10 +48,8 @@ LOESS_SQL = """x AS (SELECT value AS y, user_id + event_id / 100000.0::DOUBLE AS
 
 
 def _loess(spark, d, span, degree):
-    e = table(spark, d, "events").select(
-        (F.col("user_id") + F.col("event_id") / F.lit(100000.0)).alias("x"), F.col("value").alias("y")
-    )
-    out = smooth.loess_grid(e, "x", "y", [7.5 * i for i in range(20)], span, degree)
+    cars = table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"))
+    out = smooth.loess_grid(cars, "x", "y", [2.5 * (i + 1) for i in range(20)], span, degree)
     return out.select(F.col("grid_id").cast("bigint").alias("grid_id"), "grid_x", r("fit", 5).alias("fit"))
 
 
@@ -136,7 +134,7 @@ def _dated(spark, d):
     ) + " FROM i GROUP BY year",
 )
 def _(spark, d):
-    out = growth.indexed_growth(_dated(spark, d), "year", "g", "price", 500)
+    out = growth.indexed_growth(_dated(spark, d), "year", "g", "price", 500, ["F", "O", "P"])
     return out.select("year", *[r(c, 6 if c.startswith("avg") else 9).alias(c) for c in out.columns if c != "year"])
 
 
