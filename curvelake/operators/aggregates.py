@@ -93,13 +93,22 @@ def pivot_measures(
         *[F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.col(quoted(m))).alias(m) for m in measures],
     )
     if values is None:
-        values = [r[0] for r in checked.select(quoted(columns)).distinct().dropna().orderBy(quoted(columns)).collect()]
+        values = pivot_values(df, columns)
     wide = checked.groupBy(quoted(index)).pivot(quoted(columns), list(values)).agg(
         *[F.first(quoted(m)).alias(m) for m in measures]
     )
     return flatten_names(wide, index, measures, values)
 
 
+def pivot_values(df: DataFrame, columns: str) -> list:
+    """Sorted values of a pivot column; more than ``spark.sql.pivotMaxValues`` are an error."""
+    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = df.select(quoted(columns)).dropna().distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"{columns} has more than {limit} values")
+    return sorted(r[0] for r in found)
+
+
 def flatten_names(wide: DataFrame, index: str, measures: Sequence[str], values: Sequence) -> DataFrame:
     """Columns of a pivot as ``measure_value``, all values of a measure side by side."""
     if len(measures) == 1:

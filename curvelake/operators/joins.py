@@ -47,9 +47,14 @@ def keep_groups(df: DataFrame, groups: DataFrame, on: Sequence[str]) -> DataFram
 def ordered_lookup(
     df: DataFrame, ranked: DataFrame, on: str, rank: str, then: Sequence[str] = (), reverse: bool = False
 ) -> DataFrame:
-    """Rows of the listed keys, in the order of the list or its reverse."""
-    joined = df.join(ranked.select(on, rank), on, "inner")
-    return joined.orderBy(F.desc(rank) if reverse else F.asc(rank), *then)
+    """Rows of the listed keys, in the order of the list or its reverse.
+
+    A row number ends the sort key: without it all rows of a frequent key would be sorted in
+    one task.
+    """
+    tie = fresh("tie")
+    joined = df.withColumn(tie, F.monotonically_increasing_id()).join(ranked.select(on, rank), on, "inner")
+    return joined.orderBy(F.desc(rank) if reverse else F.asc(rank), *then, tie).drop(tie)
 
 
 def attach_scalars(df: DataFrame, source: DataFrame, **values: Column) -> DataFrame:

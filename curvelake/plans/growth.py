@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import percent_change, percent_label, quoted, recode
-from ..operators.aggregates import group_mean, having_count, pivot_measures
+from ..operators.aggregates import group_mean, having_count, pivot_measures, pivot_values
 from ..operators.joins import keep_groups
 from ..operators.windows import index_to_base, last_row
 
@@ -56,8 +56,7 @@ def indexed_growth(
     for every group, as ``avg_<value>_<group>`` and ``<value>_to_base_<group>``."""
     if groups is None:
         # Columns come from the groups that are left; asking the indexed table would run all of it twice.
-        found = period_stats(df.select(period, group, value), period, group, value, min_n)
-        groups = [r[0] for r in found.select(group).distinct().orderBy(group).collect()]
+        groups = pivot_values(period_stats(df, period, group, value, min_n), group)
     long = indexed_long(df, period, group, value, min_n, base)
     return pivot_measures(long, period, group, [f"avg_{value}", f"{value}_to_base"], groups)
 

@@ -108,6 +108,36 @@ def generators_scaled(spark, d):
     return standardize(table(spark, d, "events").select(F.col("value").alias("x")), ["x"])
 
 
+def _one_block_sql(steps: int, rate: float) -> str:
+    """Gradient steps for one block, written out by the chain rule."""
+    ctes = [
+        "z AS (SELECT (value - avg(value) OVER ()) / stddev_pop(value) OVER () AS x FROM events)",
+        "p0 AS (SELECT 0.0::DOUBLE AS shift, 1.0::DOUBLE AS scale, 0.0::DOUBLE AS skew, 1.0::DOUBLE AS tail)",
+    ]
+    for k in range(steps):
+        ctes.append(
+            f"""u{k} AS (SELECT (x - shift) / scale AS u, p{k}.* FROM z, p{k}),
+            t{k} AS (SELECT *, asinh(u) / tail - skew AS t FROM u{k}),
+            d{k} AS (SELECT *, -sinh(t) * cosh(t) + tanh(t) AS dt FROM t{k}),
+            g{k} AS (SELECT *, dt / (tail * sqrt(1 + u * u)) - u / (1 + u * u) AS du FROM d{k}),
+            p{k + 1} AS (SELECT
+                avg(ln(scale) + ln(tail) - ln(cosh(t)) + 0.5 * ln(1 + u * u) + 0.5 * ln(2 * pi()) + 0.5 * sinh(t) * sinh(t)) AS loss,
+                any_value(shift) + {rate} * avg(-du / scale) AS shift,
+                any_value(scale) + {rate} * avg(-du * u / scale - 1 / scale) AS scale,
+                any_value(skew) + {rate} * avg(-dt) AS skew,
+                any_value(tail) + {rate} * avg(-dt * asinh(u) / (tail * tail) - 1 / tail) AS tail FROM g{k})"""
+        )
+    return f"WITH {', '.join(ctes)} " + " UNION ALL ".join(
+        f"SELECT {k} AS step, {R('loss')} AS loss FROM p{k + 1}" for k in range(steps)
+    )
+
+
+@query("fit_flow_steps", "N6", _one_block_sql(5, 0.02))
+def _(spark, d):
+    _, history = flows.fit_flow(generators_scaled(spark, d), "x", 1, {"kind": "constant", "rate": 0.02}, 5)
+    return history.select("step", r("loss").alias("loss"))
+
+
 @query("flow_roundtrip", "N7", "SELECT 0.0::DOUBLE AS sum_error, 0.0::DOUBLE AS max_error")
 def _(spark, d):
     out = flows.roundtrip_error(scaled(spark, d), "x", CHAIN)
@@ -140,22 +170,51 @@ def _(spark, d):
 LAYERS = [
     coupling.Coupling(
         (0, 1) if i % 2 == 0 else (1, 0),
-        new_net(2, [8, 8, 2], ["relu", "relu", "tanh"], seed=10 + i),
-        new_net(2, [8, 8, 2], ["relu", "relu", "linear"], seed=50 + i),
+        new_net(2, [4, 2], ["relu", "tanh"], seed=10 + i),
+        new_net(2, [4, 2], ["relu", "linear"], seed=50 + i),
     )
-    for i in range(6)
+    for i in range(4)
 ]
 
 
+def _net_sql(net, feeding: str, unit: int) -> str:
+    """One output of a net whose only live input is the passing coordinate."""
+    hidden, last = net
+    live = 0 if feeding == "x1" else 1
+    num = lambda v: f"({float(v)!r}::DOUBLE)"
+    units = [
+        f"{num(last.weights[j, unit])} * greatest({num(hidden.weights[live, j])} * {feeding} + {num(hidden.bias[j])}, 0)"
+        for j in range(len(hidden.bias))
+    ]
+    total = " + ".join([*units, num(last.bias[unit])])
+    return f"tanh({total})" if last.act == "tanh" else f"({total})"
+
+
+def _coupling_sql(forward: bool) -> str:
+    """CTEs c0, c1, ... with x1, x2 and det after each layer."""
+    ctes = ["c0 AS (SELECT vec_id, embedding[1]::DOUBLE AS x1, embedding[2]::DOUBLE AS x2, 0.0::DOUBLE AS det FROM embeddings)"]
+    for k, layer in enumerate(LAYERS if forward else LAYERS[::-1], 1):
+        passing, moved, unit = ("x1", "x2", 1) if layer.mask[0] else ("x2", "x1", 0)
+        s, t = _net_sql(layer.scale_net, passing, unit), _net_sql(layer.shift_net, passing, unit)
+        new = f"{moved} * exp({s}) + {t}" if forward else f"({moved} - {t}) * exp(-{s})"
+        ctes.append(f"c{k} AS (SELECT * REPLACE ({new} AS {moved}, det - {s} AS det) FROM c{k - 1})")
+    return "WITH " + ", ".join(ctes)
+
+
 def planar(spark, d):
     return table(spark, d, "embeddings").select(
         "vec_id", F.col("embedding")[0].cast("double").alias("x1"), F.col("embedding")[1].cast("double").alias("x2")
     )
 
 
-@query("coupling_to_latent", "N10")
+@query(
+    "coupling_to_latent",
+    "N10",
+    _coupling_sql(False) + f" SELECT vec_id, {R('x1')} AS z1, {R('x2')} AS z2, {R('det')} AS log_det FROM c{len(LAYERS)}",
+)
 def _(spark, d):
-    return coupling.coupling_inverse(planar(spark, d), "x1", "x2", LAYERS)
+    out = coupling.coupling_inverse(planar(spark, d), "x1", "x2", LAYERS)
+    return out.select("vec_id", *[r(c).alias(c) for c in ("z1", "z2", "log_det")])
 
 
 @query(
@@ -169,9 +228,13 @@ def _(spark, d):
     return back.select("vec_id", r("x1").alias("x1"), r("x2").alias("x2"))
 
 
-@query("coupling_loss", "N10 N11")
+@query(
+    "coupling_loss",
+    "N10 N11",
+    _coupling_sql(False) + f" SELECT {R('avg(ln(2 * pi()) + 0.5 * x1 * x1 + 0.5 * x2 * x2 - det)')} AS loss FROM c{len(LAYERS)}",
+)
 def _(spark, d):
-    return coupling.coupling_loss(planar(spark, d), "x1", "x2", LAYERS)
+    return coupling.coupling_loss(planar(spark, d), "x1", "x2", LAYERS).select(r("loss").alias("loss"))
 
 
 @query(
@@ -185,9 +248,20 @@ def _(spark, d):
     return planar(spark, d).agg(r(F.avg(p)).alias("mean_log_prob"))
 
 
-@query("coupling_layer_trace", "N12 P20")
+@query(
+    "coupling_layer_trace",
+    "N12 P20",
+    _coupling_sql(True)
+    + f""", q AS (SELECT vec_id, CASE WHEN x1 > 0 AND x2 > 0 THEN 'upper right' WHEN x1 < 0 AND x2 > 0 THEN 'upper left'
+        WHEN x1 < 0 AND x2 < 0 THEN 'lower left' ELSE 'other' END AS start_quadrant FROM c0) """
+    + " UNION ALL ".join(
+        f"SELECT vec_id, start_quadrant, {k} AS layer, {R('x1')} AS x1, {R('x2')} AS x2 FROM c{k} JOIN q USING (vec_id)"
+        for k in range(len(LAYERS) + 1)
+    ),
+)
 def _(spark, d):
-    return coupling.layer_trace(planar(spark, d), "vec_id", "x1", "x2", LAYERS)
+    out = coupling.layer_trace(planar(spark, d), "vec_id", "x1", "x2", LAYERS)
+    return out.withColumns({"x1": r("x1"), "x2": r("x2")})
 
 
 @query(

@@ -223,7 +223,7 @@ def _(spark, d):
 @query(
     "early_stop_per_run",
     "M11",
-    """WITH h AS (SELECT event_type AS run, CAST(user_id AS INTEGER) AS step, max(value) AS loss FROM events GROUP BY ALL),
+    """WITH h AS (SELECT event_type AS run, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS step, max(value) AS loss FROM events GROUP BY ALL),
        b AS (SELECT *, min(loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM h),
        g AS (SELECT *, max(CASE WHEN best IS NULL OR loss < best THEN step END) OVER (PARTITION BY run ORDER BY step) AS gain FROM b),
        s AS (SELECT run, coalesce(min(CASE WHEN step - gain >= 30 THEN step END), max(step)) AS stop_step FROM g GROUP BY run)
@@ -231,7 +231,8 @@ def _(spark, d):
        FROM g JOIN s USING (run) WHERE step <= stop_step GROUP BY run""",
 )
 def _(spark, d):
-    history = table(spark, d, "events").groupBy(F.col("event_type").alias("run"), F.col("user_id").cast("int").alias("step")).agg(
+    minute = F.hour("ts") * 60 + F.minute("ts")  # at most 1440 steps per run
+    history = table(spark, d, "events").groupBy(F.col("event_type").alias("run"), minute.alias("step")).agg(
         F.max("value").alias("loss")
     )
     return m.early_stop(history, patience=30, by=["run"])
@@ -288,10 +289,31 @@ def _(spark, d):
     return out.select("term", F.when(F.col("term") == -2, r("value", 2)).otherwise(r("value", 5)).alias("value"))
 
 
-@query("fit_varying_sigma", "M16")
+def _hetero_sql(updates: int) -> str:
+    """Fisher scoring written out step by step for one feature."""
+    ctes = [
+        "z AS (SELECT (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, y FROM i)",
+        """p0 AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b,
+            0.5 * ln((regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x)) / count(*)) AS c, 0.0::DOUBLE AS e FROM z)""",
+    ]
+    for k in range(updates):
+        ctes.append(
+            f"""r{k} AS (SELECT x, y, exp(-2 * (c + e * x)) AS w, pow(y - a - b * x, 2) * exp(-2 * (c + e * x)) - 1 AS q, c, e FROM z, p{k}),
+            s{k} AS (SELECT sum(w) AS w0, sum(w*x) AS w1, sum(w*x*x) AS w2, sum(w*y) AS v0, sum(w*x*y) AS v1, sum(q) AS g0, sum(q*x) AS g1,
+                2.0 * count(*) AS h0, 2 * sum(x) AS h1, 2 * sum(x*x) AS h2, any_value(c) AS c, any_value(e) AS e FROM r{k}),
+            p{k + 1} AS (SELECT (v0*w2 - v1*w1) / (w0*w2 - w1*w1) AS a, (w0*v1 - w1*v0) / (w0*w2 - w1*w1) AS b,
+                c + (g0*h2 - g1*h1) / (h0*h2 - h1*h1) AS c, e + (h0*g1 - h1*g0) / (h0*h2 - h1*h1) AS e FROM s{k})"""
+        )
+    rows = [("hetero_mean", 0, "a"), ("hetero_mean", 1, "b"), ("hetero_log_sigma", 0, "c"), ("hetero_log_sigma", 1, "e")]
+    return f"WITH {ITEMS_SQL}, {', '.join(ctes)} " + " UNION ALL ".join(
+        f"SELECT '{model}' AS model, {term} AS term, {R(col)} AS value FROM p{updates}" for model, term, col in rows
+    )
+
+
+@query("fit_varying_sigma", "M16", _hetero_sql(4))
 def _(spark, d):
     data = m.standardize(items(spark, d).select("x", "y"), ["x"])
-    return m.fit_hetero(data, ["x"], ["x"], "y", 8)[0]
+    return m.fit_hetero(data, ["x"], ["x"], "y", 5)[0].withColumn("value", r("value"))
 
 
 # --- bands and draws ------------------------------------------------------------------
@@ -389,3 +411,70 @@ def _(spark, d):
     rate = {"kind": "constant", "rate": 0.1}
     _, history = nets.fit_two_heads(data, ["x"], "y", mean_net, sigma_net, rate, rate, 8, sigma_start=4)
     return history
+
+
+TINY = nets.new_net(1, [2, 1], ["tanh", "linear"], seed=6)
+
+
+def _tiny_net_sql(steps: int, rate: float) -> str:
+    """Back-propagation of a net with two hidden units, written out step by step."""
+    (u, w), b = TINY[0].weights[0], TINY[0].bias
+    (s, t), c = TINY[1].weights[:, 0], TINY[1].bias
+    start = dict(u=u, w=w, bu=b[0], bw=b[1], s=s, t=t, c=c[0])
+    num = lambda v: f"({float(v)!r}::DOUBLE)"
+    ctes = [
+        "z AS (SELECT (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM i)",
+        "p0 AS (SELECT " + ", ".join(f"{num(v)} AS {k}" for k, v in start.items()) + ")",
+    ]
+    for k in range(steps):
+        ctes.append(
+            f"""h{k} AS (SELECT x, y, tanh(u * x + bu) AS hu, tanh(w * x + bw) AS hw, p{k}.* FROM z, p{k}),
+            r{k} AS (SELECT *, s * hu + t * hw + c - y AS r FROM h{k}),
+            p{k + 1} AS (SELECT avg(r * r) AS loss,
+                any_value(s) - {rate} * 2 * avg(r * hu) AS s, any_value(t) - {rate} * 2 * avg(r * hw) AS t, any_value(c) - {rate} * 2 * avg(r) AS c,
+                any_value(u) - {rate} * 2 * avg(r * s * (1 - hu * hu) * x) AS u, any_value(w) - {rate} * 2 * avg(r * t * (1 - hw * hw) * x) AS w,
+                any_value(bu) - {rate} * 2 * avg(r * s * (1 - hu * hu)) AS bu, any_value(bw) - {rate} * 2 * avg(r * t * (1 - hw * hw)) AS bw
+                FROM r{k})"""
+        )
+    return f"WITH {ITEMS_SQL}, {', '.join(ctes)} " + " UNION ALL ".join(
+        f"SELECT {k} AS step, {R('loss')} AS loss FROM p{k + 1}" for k in range(steps)
+    )
+
+
+@query("net_training_steps", "M22 M24", _tiny_net_sql(4, 0.3))
+def _(spark, d):
+    data = m.standardize(items(spark, d).select("x", "y"), ["x", "y"])
+    _, history = nets.fit_net(data, ["x"], "y", TINY, "mse", {"kind": "constant", "rate": 0.3}, 4)
+    return history.select("step", r("loss").alias("loss"))
+
+
+LINE_HEADS = [nets.new_net(1, [1], ["linear"], seed=k) for k in (8, 9)]
+
+
+def _two_head_sql(steps: int, rate: float, sigma_start: int) -> str:
+    """Gradient steps for a line as mean and a line as log sigma that starts later."""
+    num = lambda v: f"({float(v)!r}::DOUBLE)"
+    a, e = (net[0].weights[0, 0] for net in LINE_HEADS)
+    ctes = [
+        "z AS (SELECT (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM i)",
+        f"p0 AS (SELECT {num(a)} AS a, 0.0::DOUBLE AS b, {num(e)} AS e, 0.0::DOUBLE AS f)",
+    ]
+    for k in range(steps):
+        late = rate if k >= sigma_start else 0.0
+        ctes.append(
+            f"""r{k} AS (SELECT x, a, b, e, f, e * x + f AS ls, a * x + b - y AS r, exp(-2 * (e * x + f)) AS w FROM z, p{k}),
+            p{k + 1} AS (SELECT avg(ls + 0.5 * r * r * w + 0.5 * ln(2 * pi())) AS loss, any_value(a) - {rate} * avg(r * w * x) AS a,
+                any_value(b) - {rate} * avg(r * w) AS b, any_value(e) - {late} * avg((1 - r * r * w) * x) AS e,
+                any_value(f) - {late} * avg(1 - r * r * w) AS f FROM r{k})"""
+        )
+    return f"WITH {ITEMS_SQL}, {', '.join(ctes)} " + " UNION ALL ".join(
+        f"SELECT {k} AS step, {R('loss')} AS loss FROM p{k + 1}" for k in range(steps)
+    )
+
+
+@query("two_head_training_steps", "M23 M24", _two_head_sql(5, 0.1, 2))
+def _(spark, d):
+    data = m.standardize(items(spark, d).select("x", "y"), ["x", "y"])
+    rate = {"kind": "constant", "rate": 0.1}
+    _, history = nets.fit_two_heads(data, ["x"], "y", *LINE_HEADS, rate, rate, 5, sigma_start=2)
+    return history.select("step", r("loss").alias("loss"))

@@ -564,7 +564,7 @@ def _(spark, d):
     return sampling.head_rows(o, 1000, F.desc("o_totalprice"), F.asc("o_orderkey"))
 
 
-@query("seeded_shuffle", "L4")
+@query("seeded_shuffle", "L4", "SELECT o_orderkey FROM orders")
 def _(spark, d):
     return sampling.seeded_shuffle(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 1234)
 
