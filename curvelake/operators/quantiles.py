@@ -10,6 +10,7 @@ near value.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -109,8 +110,11 @@ def pick_ranks(
         ),
         lambda h: h.isNotNull(),
     )
+    # The plain condition first: only the few rows in some bracket build arrays.
+    near = functools.reduce(Column.__or__, [inside(i) for i in range(len(targets))])
     valued = (
-        framed.select(*keys, "_v", copies.alias("_rows"), F.explode(hits).alias("_hit"))
+        framed.where(near)
+        .select(*keys, "_v", copies.alias("_rows"), F.explode(hits).alias("_hit"))
         .groupBy(*keys, F.col("_hit.t").alias("t"), F.col("_hit._slice").alias("_slice"), "_v")
         .agg(F.sum("_rows").alias("_rows"))
     )
