@@ -57,18 +57,17 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = No
 
 @dataclass(frozen=True)
 class Moments:
-    """Sums over one group: rows, T_k (k <= 2m), T_k y (k <= m) and y^2, with x's range."""
+    """Sums over a batch of groups: rows, T_k (k <= 2m), T_k y (k <= m), with x's common range."""
 
-    n: int
+    n: np.ndarray
     t: np.ndarray
     ty: np.ndarray
-    yy: float
     lo: float
     hi: float
 
     def gram(self, m: int) -> np.ndarray:
         i, j = np.indices((m + 1, m + 1))
-        return (self.t[i + j] + self.t[np.abs(i - j)]) / 2
+        return (self.t[:, i + j] + self.t[:, np.abs(i - j)]) / 2
 
     @property
     def domain(self) -> tuple[float, float]:
@@ -92,23 +91,11 @@ def moments_table(df: DataFrame, x: str, y: str, m: int, by: str | None = None)
         F.count("*").alias("n"),
         F.array(*[F.sum(w) for w in wave]).alias("t"),
         F.array(*[F.sum(w * F.col("_y")) for w in wave[: m + 1]]).alias("ty"),
-        F.sum(F.col("_y") * F.col("_y")).alias("yy"),
         F.max("_lo").alias("lo"),
         F.max("_hi").alias("hi"),
     )
 
 
-def _to_powers(cheb: np.ndarray, domain: tuple[float, float]) -> np.ndarray:
-    """Chebyshev coefficients on a domain to coefficients of 1, x, x^2, ..."""
-    lo, hi = domain
-    inner = chebyshev.cheb2poly(cheb)
-    line = np.array([-(lo + hi) / (hi - lo), 2 / (hi - lo)])
-    out = np.zeros(1)
-    for c in inner[::-1]:
-        out = polynomial.polyadd(polynomial.polymul(out, line), [c])
-    return np.pad(out, (0, len(cheb) - len(out)))[: len(cheb)]
-
-
 def _power_basis(m: int, domain: tuple[float, float]) -> np.ndarray:
     """Columns: 1, x, ..., x^m written in Chebyshev polynomials of the mapped x."""
     lo, hi = domain
@@ -121,52 +108,69 @@ def _power_basis(m: int, domain: tuple[float, float]) -> np.ndarray:
     return basis
 
 
-def _root(gram: np.ndarray) -> np.ndarray:
-    """Square root R with R'R = gram."""
-    values, vectors = np.linalg.eigh(gram)
-    return np.sqrt(np.clip(values, 0, None))[:, None] * vectors.T
+def _chebyshev_basis(m: int, domain: tuple[float, float]) -> np.ndarray:
+    """Columns: T_0, ..., T_m of the mapped x written in 1, x, ..., x^m."""
+    lo, hi = domain
+    line = np.array([-(lo + hi) / (hi - lo), 2 / (hi - lo)])
+    basis = np.zeros((m + 1, m + 1))
+    for k in range(m + 1):
+        out = np.zeros(1)
+        for c in chebyshev.cheb2poly(np.eye(m + 1)[k])[::-1]:
+            out = polynomial.polyadd(polynomial.polymul(out, line), [c])
+        basis[: len(out), k] = out
+    return basis
+
+
+def _times(matrices: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    return np.einsum("gij,gj->gi", matrices, vectors)
 
 
-def solve_ols(mo: Moments, m: int) -> np.ndarray:
-    cheb = np.linalg.lstsq(mo.gram(m), mo.ty[: m + 1], rcond=1e-13)[0]
-    return _to_powers(cheb, mo.domain)
+def solve_ols(mo: Moments, m: int, alpha: float = 0.0) -> np.ndarray:
+    """Least squares for every group of the batch: one row of power coefficients each."""
+    inverse = np.linalg.pinv(mo.gram(m), rcond=1e-13, hermitian=True)
+    return _times(inverse, mo.ty[:, : m + 1]) @ _chebyshev_basis(m, mo.domain).T
 
 
 def solve_ridge(mo: Moments, m: int, alpha: float) -> np.ndarray:
     """Least |y - Xw - b|^2 + alpha |w|^2 with a free intercept b."""
-    root = _root(mo.gram(m))
-    target = np.linalg.lstsq(root.T, mo.ty[: m + 1], rcond=None)[0]
+    values, vectors = np.linalg.eigh(mo.gram(m))
+    root = np.sqrt(np.clip(values, 0, None))[:, :, None] * vectors.swapaxes(1, 2)  # root' root = gram
+    target = _times(np.linalg.pinv(root.swapaxes(1, 2)), mo.ty[:, : m + 1])
     penalty = np.sqrt(alpha) * np.eye(m + 1)[1:]
-    design = np.vstack([root @ _power_basis(m, mo.domain), penalty])
+    design = np.concatenate(
+        [root @ _power_basis(m, mo.domain), np.broadcast_to(penalty, (len(root), m, m + 1))], axis=1
+    )
     # Columns differ by orders of magnitude: solve for scaled coefficients.
-    size = np.linalg.norm(design, axis=0)
+    size = np.linalg.norm(design, axis=1)
     size[size == 0] = 1.0
-    solved = np.linalg.lstsq(design / size, np.concatenate([target, np.zeros(m)]), rcond=None)[0]
-    return solved / size
+    wanted = np.concatenate([target, np.zeros((len(root), m))], axis=1)
+    return _times(np.linalg.pinv(design / size[:, None, :]), wanted) / size
 
 
 def solve_lasso(mo: Moments, m: int, alpha: float, tol: float = 1e-12, rounds: int = 50_000) -> np.ndarray:
     """Least |y - Xw - b|^2 / 2n + alpha |w|_1 by coordinate descent on the moments."""
     basis = _power_basis(m, mo.domain)
-    gram, xy = basis.T @ mo.gram(m) @ basis, basis.T @ mo.ty[: m + 1]
-    mean = gram[0, 1:] / mo.n
-    cov = gram[1:, 1:] / mo.n - np.outer(mean, mean)
-    cxy = xy[1:] / mo.n - mean * xy[0] / mo.n
-    sd = np.sqrt(np.clip(np.diag(cov), 0, None))
+    gram, xy, n = basis.T @ mo.gram(m) @ basis, mo.ty[:, : m + 1] @ basis, mo.n[:, None]
+    mean, mean_y = gram[:, 0, 1:] / n, xy[:, :1] / n
+    cov = gram[:, 1:, 1:] / n[:, :, None] - mean[:, :, None] * mean[:, None, :]
+    cxy = xy[:, 1:] / n - mean * mean_y
+    sd = np.sqrt(np.clip(np.einsum("gii->gi", cov), 0, None))
     sd[sd == 0] = 1.0
-    cov, cxy, thresholds = cov / np.outer(sd, sd), cxy / sd, alpha / sd
-    w = np.zeros(m)
+    cov, cxy, thresholds = cov / (sd[:, :, None] * sd[:, None, :]), cxy / sd, alpha / sd
+    spread = np.einsum("gii->gi", cov)
+    spread = np.where(spread > 0, spread, 1.0)
+    w = np.zeros_like(cxy)
     for _ in range(rounds):
         change = 0.0
         for j in range(m):
-            pull = cxy[j] - cov[j] @ w + cov[j, j] * w[j]
-            new = np.sign(pull) * max(abs(pull) - thresholds[j], 0.0) / (cov[j, j] or 1.0)
-            change = max(change, abs(new - w[j]))
-            w[j] = new
+            pull = cxy[:, j] - np.einsum("gk,gk->g", cov[:, j], w) + cov[:, j, j] * w[:, j]
+            new = np.sign(pull) * np.maximum(np.abs(pull) - thresholds[:, j], 0.0) / spread[:, j]
+            change = max(change, float(np.abs(new - w[:, j]).max()))
+            w[:, j] = new
         if change < tol:
             break
     w = w / sd
-    return np.concatenate([[xy[0] / mo.n - mean @ w], w])
+    return np.concatenate([mean_y - np.sum(mean * w, axis=1, keepdims=True), w], axis=1)
 
 
 # --- fits -----------------------------------------------------------------------------
@@ -175,11 +179,7 @@ def _coef_rows(model: str, w: Iterable[float]) -> list[tuple[str, int, float]]:
     return [(model, i, float(v)) for i, v in enumerate(w)]
 
 
-SOLVERS = {
-    "linear": lambda mo, m, alpha: solve_ols(mo, m),
-    "ridge": solve_ridge,
-    "lasso": solve_lasso,
-}
+SOLVERS = {"linear": solve_ols, "ridge": solve_ridge, "lasso": solve_lasso}
 
 
 def fit_many(
@@ -196,12 +196,21 @@ def fit_many(
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                mo = Moments(r.n, np.asarray(r.t), np.asarray(r.ty), r.yy, r.lo, r.hi)
-                for name, (kind, m, alpha) in specs.items():
-                    rows += [(r.group, *c) for c in _coef_rows(name, SOLVERS[kind](mo, m, alpha))]
-            yield pd.DataFrame(rows, columns=["group", "model", "term", "value"])
+            if pdf.empty:
+                continue
+            mo = Moments(
+                pdf["n"].to_numpy(float), np.stack(pdf["t"]), np.stack(pdf["ty"]), pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+            )
+            for name, (kind, m, alpha) in specs.items():
+                values = SOLVERS[kind](mo, m, alpha)
+                yield pd.DataFrame(
+                    {
+                        "group": np.repeat(pdf["group"].to_numpy(), m + 1),
+                        "model": name,
+                        "term": np.tile(np.arange(m + 1), len(pdf)),
+                        "value": values.ravel(),
+                    }
+                )
 
     return moments.mapInPandas(solve, f"group {group_type}, {COEF_SCHEMA}")
 
