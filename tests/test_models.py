@@ -57,7 +57,7 @@ def test_ridge_without_penalty_is_ols(sine):
     assert coefs(m.fit_ridge(df, "x", "y", 3, 0.0)) == pytest.approx(coefs(m.fit_ols(df, "x", "y", 3)), rel=1e-6)
 
 
-@pytest.mark.parametrize("degree,alpha", [(2, 0.3), (3, 0.1)])
+@pytest.mark.parametrize("degree,alpha", [(1, 0.2), (2, 0.3), (3, 0.1), (9, 0.01), (9, 0.3)])
 def test_lasso_meets_the_optimality_conditions(sine, degree, alpha):
     df, x, y = sine
     b, *w = coefs(m.fit_lasso(df, "x", "y", degree, alpha))
@@ -72,6 +72,20 @@ def test_lasso_meets_the_optimality_conditions(sine, degree, alpha):
             assert abs(pull[j]) <= alpha + 1e-5
 
 
+def test_sparse_minimum_beats_coordinate_descent():
+    rng = np.random.default_rng(5)
+    for m_ in (2, 4, 7):
+        for _ in range(20):
+            a = rng.normal(size=(40, m_))
+            cov, pull, cost = a.T @ a / 40, rng.normal(size=m_), rng.uniform(0.05, 0.8, m_)
+            got, w = m._sparse_minimum(cov, pull, cost), np.zeros(m_)
+            for _ in range(3000):
+                for j in range(m_):
+                    z = pull[j] - cov[j] @ w + cov[j, j] * w[j]
+                    w[j] = np.sign(z) * max(abs(z) - cost[j], 0) / cov[j, j]
+            assert got == pytest.approx(w, abs=1e-7)
+
+
 def test_fit_many_equals_single_fits_and_stays_distributed(spark):
     df = spark.range(400).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
