@@ -4,9 +4,7 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as contract
-from suite.registry import COVERS
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from suite.registry import COVERS, ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
