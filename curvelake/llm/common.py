@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,3 +65,9 @@ def match_spans(text: Column, pattern: str) -> Column:
     pairs = F.zip_with(gaps, found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
     pairs = F.filter(pairs, lambda x: x["value"].isNotNull())
     return F.when(text.rlike(pattern), bound(pairs, blocks)).when(text.isNotNull(), empty)
+
+
+def process_cache(name: str) -> dict:
+    """A dict that lives as long as the process; task functions are shipped by value, so their globals do not."""
+    held = sys.modules.setdefault("_curvelake_process_cache", types.ModuleType("_curvelake_process_cache"))
+    return held.__dict__.setdefault(name, {})

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm import lines, rules
+from curvelake.llm import lines, packing, rules, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_kept").cast("long").alias("n_kept"),
         F.md5("text").alias("text_md5"),
     )
+
+
+@query("op3_simhash")
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), F.sha2("value", 256).alias("value_sha256"), "score", "secret")
