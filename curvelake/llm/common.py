@@ -34,15 +34,16 @@ SPAN = "struct<start:int,end:int,value:string>"
 BLOCK = 128
 
 
-def match_spans(text: Column, pattern: str) -> Column:
+def match_spans(text: Column, pattern: str | Column) -> Column:
     """Array of (start, end, value) for all matches, leftmost first, in code points, end exclusive.
 
     Splitting by the pattern gives the gaps, extracting it gives the matches, in the same order; the
     offsets are running sums of both. The pattern must not match the empty string. Null text: null.
     """
     empty = F.array().cast(f"array<{SPAN}>")
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
 
     def step(acc, pair):
         begin = acc["at"] + F.length(pair["gap"])
@@ -64,7 +65,7 @@ def match_spans(text: Column, pattern: str) -> Column:
 
     pairs = F.zip_with(gaps, found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
     pairs = F.filter(pairs, lambda x: x["value"].isNotNull())
-    return F.when(text.rlike(pattern), bound(pairs, blocks)).when(text.isNotNull(), empty)
+    return F.when(F.regexp_like(text, pattern), bound(pairs, blocks)).when(text.isNotNull(), empty)
 
 
 def process_cache(name: str) -> dict:
