@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm import licenses, lines, packing, rules, secrets, simhash
+from curvelake.llm import embeddings, licenses, lines, packing, pii, rules, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,22 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_license_scan")
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = pii.span_text(F.col("base"))
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(base, 256).alias("base_sha256"),
+        F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(pii.span_text(F.col("terms")), F.lit(""))).alias("spans"),
+    )
+
+
+@query("op5_embedding_dedup")
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.select("vec_id", "n_links", "component_id", "kept")

@@ -149,10 +149,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model=
     return model.transform(rows).select("doc_id", "x", "start", "end", "value", score.alias("score"), (score >= threshold).alias("secret"))
 
 
-def redacted(text: Column, spans: Column, mark: str) -> Column:
-    """``text`` with the sorted spans (start, end) replaced."""
+def redacted(text: Column, spans: Column, mark: str | None) -> Column:
+    """``text`` with the sorted spans (start, end) replaced by the mark, or without one by each span's own ``mark``."""
     begin = lambda i: F.when(i > 0, F.get(spans, i - 1)["end"]).otherwise(F.lit(0))
-    heads = F.transform(spans, lambda s, i: F.concat(F.substr(text, begin(i) + 1, s["start"] - begin(i)), F.lit(mark)))
+    heads = F.transform(spans, lambda s, i: F.concat(F.substr(text, begin(i) + 1, s["start"] - begin(i)), s["mark"] if mark is None else F.lit(mark)))
     return F.concat(F.array_join(heads, ""), F.substr(text, F.element_at(spans, -1)["end"] + 1))
 
 
