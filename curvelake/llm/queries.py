@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm import embeddings, licenses, lines, packing, pii, rules, secrets, simhash
+from curvelake.llm import embeddings, licenses, lines, packing, pieces, pii, quality, rules, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+@query("op2_quality_classifier")
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number and digest of its ids, and whether decoding them gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = docs.select("doc_id", "text", pieces.encode(F.col("text")).alias("ids"))
+    back = coded.select("doc_id", "text", "ids", pieces.decode(F.col("ids")).alias("back"))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_xxhash64"),
+        (F.col("back") == F.replace("text", F.lit(pieces.BLANK), F.lit(" "))).alias("round_trip"),
+    )

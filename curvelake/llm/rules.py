@@ -89,19 +89,23 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"), *given)
     split = base.select("doc_id", "_text", words_of(F.col("_text")).alias("_words"), *along)
     w, t = F.col("_words"), F.col("_text")
-    starts = F.when(F.size(w) >= width, F.sequence(F.lit(0), F.size(w) - width))
-    hashes = F.transform(starts, lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(width))))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    hashed = split.select(
+    split = split.select(
         "doc_id",
         F.size(w).cast("long").alias("n_words"),
-        F.length(F.translate(t, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.length(t) - F.length(F.translate(t, "!", ""))).cast("long").alias("n_exclaimed"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_exclaimed"),
         lines.alias("_lines"),
-        hashes.alias("_hashes"),
+        F.transform(w, lambda x: F.xxhash64(x)).alias("_each"),
         *along,
     )
+    e = F.col("_each")
+    windows = F.transform(e, lambda x, i: F.when(i + width <= F.size(e), F.xxhash64(x, *(F.get(e, i + k) for k in range(1, width)))))
+    hashed = split.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_exclaimed", "_lines",
+        F.when(F.size(e) >= width, F.slice(windows, F.lit(1), F.size(e) - width + 1)).alias("_hashes"), *along,
+    )
     h, rows = F.col("_hashes"), F.col("_lines")
     repeated = F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(_repeated_positions(h), width))
     return hashed.select(
