@@ -12,6 +12,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: A run of ASCII white space; what is between such runs is a word.
 BLANK = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def lower_ascii(c: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curvelake.llm.common import bound, words_of
+from curvelake.llm.common import BLANK, WORD, bound, words_of
 from curvelake.session import materialize
 
 #: Up to so many rows (some 30 MB) a list of lines is broadcast; a longer one is joined by a shuffle.
@@ -22,12 +22,15 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("x"), text.alias("text"))
 
 
+def _enough(min_words: int) -> str:
+    """Matches a line of at least so many words."""
+    return rf"^{BLANK[:-1]}*+(?:{WORD}+{BLANK}+){{{min_words - 1}}}{WORD}" if min_words > 0 else "^"
+
+
 def _lines(keyed: DataFrame, min_words: int) -> DataFrame:
     """The lines that take part: place (d, x, l) and words."""
     split = keyed.select("d", "x", F.posexplode(F.split("text", "\n")).alias("l", "line"))
-    return split.select(F.struct("d", "x", "l").alias("place"), words_of(F.col("line")).alias("w")).where(
-        F.size("w") >= min_words
-    )
+    return split.where(F.col("line").rlike(_enough(min_words))).select(F.struct("d", "x", "l").alias("place"), words_of(F.col("line")).alias("w"))
 
 
 def _half_keys(w: Column) -> Column:
@@ -140,9 +143,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = F.split(F.col(f"_row.`{text_col}`"), "\n")
     lines = met.select("_row", cut.alias("_cut"), F.coalesce("stay", F.array().cast("array<int>")).alias("_stay"))
     short = F.filter(
-        F.transform(F.col("_cut"), lambda v, i: F.when(F.size(words_of(v)) < min_words, i)), lambda i: i.isNotNull()
+        F.transform(F.col("_cut"), lambda v, i: F.when(~v.rlike(_enough(min_words)), i)), lambda i: i.isNotNull()
     )
     chosen = lines.select("_row", "_cut", F.sort_array(F.concat("_stay", short)).alias("_places"))
-    text = F.array_join(F.transform(F.col("_places"), lambda i: F.get(F.col("_cut"), i)), "\n")
+    text = bound(F.col("_cut"), lambda cut: F.array_join(F.transform(F.col("_places"), lambda i: F.get(cut, i)), "\n"))
     out = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns]
     return chosen.select(*out, F.size("_cut").alias("_lines"), F.size("_places").alias("_kept"), (F.size("_places") < F.size("_cut")).alias("_changed"))

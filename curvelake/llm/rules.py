@@ -90,35 +90,24 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     split = base.select("doc_id", "_text", words_of(F.col("_text")).alias("_words"), *along)
     w, t = F.col("_words"), F.col("_text")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    split = split.select(
-        "doc_id",
-        F.size(w).cast("long").alias("n_words"),
-        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_exclaimed"),
-        lines.alias("_lines"),
-        F.transform(w, lambda x: F.xxhash64(x)).alias("_each"),
-        *along,
-    )
-    e = F.col("_each")
-    windows = F.transform(e, lambda x, i: F.when(i + width <= F.size(e), F.xxhash64(x, *(F.get(e, i + k) for k in range(1, width)))))
-    hashed = split.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_exclaimed", "_lines",
-        F.when(F.size(e) >= width, F.slice(windows, F.lit(1), F.size(e) - width + 1)).alias("_hashes"), *along,
-    )
-    h, rows = F.col("_hashes"), F.col("_lines")
-    repeated = F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(_repeated_positions(h), width))
-    return hashed.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        (F.size(rows) - F.size(F.array_distinct(rows))).cast("long").alias("n_dup_lines"),
-        F.coalesce(repeated, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size(rows).cast("long").alias("n_lines"),
-        "n_exclaimed",
-        *along,
+    window = lambda e: F.transform(
+        F.sequence(F.lit(0), F.size(e) - width), lambda i: F.xxhash64(*(F.get(e, i + k) for k in range(width)))
     )
+    hashes = F.when(F.size(w) >= width, bound(F.transform(w, lambda x: F.xxhash64(x)), window))
+    repeats = lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(_repeated_positions(h), width))
+    long = {
+        "n_words": F.size(w),
+        "word_chars": F.length(F.array_join(w, "")),
+        "n_symbols": F.regexp_count(t, F.lit("[#*$%&|<>]")),
+        "n_dup_lines": F.size(F.col("_lines")) - F.size(F.array_distinct(F.col("_lines"))),
+        "n_repeat_words": F.coalesce(bound(hashes, repeats), F.lit(0)),
+        "n_lines": F.size(F.col("_lines")),
+        "n_exclaimed": F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit(""))),
+    }
+    split = split.withColumn("_lines", lines)
+    # a generator of one row: a later filter on the measurements stays above it and does not work them out again
+    one = F.array(F.struct(*(c.cast("long").alias(name) for name, c in long.items())))
+    return split.select("doc_id", *along, F.inline(one))
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: bool = False) -> DataFrame:
