@@ -16,10 +16,20 @@ from curvelake.session import materialize
 BROADCAST_ROWS = 500_000
 
 
+#: A place is one number, (document * 2^24 + bits of the text's hash) * 2^32 + line: its minimum is the earliest, and
+#: it fits a hash aggregate's buffer.
+PLACE = "decimal(38,0)"
+
+
+def _key(id_col: Column, text: Column) -> Column:
+    """Document part of a place; the text's bits tell rows apart even if an id repeats. Null ids come first."""
+    d = F.coalesce(id_col.cast("long").cast(PLACE), F.lit("-9223372036854775809").cast(PLACE))
+    return (d * F.lit(1 << 24) + F.pmod(F.xxhash64(text), F.lit(1 << 24))).cast(PLACE)
+
+
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``d`` and ``x`` tell rows apart even if ids repeat with another text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("x"), text.alias("text"))
+    return docs.select(_key(F.col(id_col), text).alias("key"), text.alias("text"))
 
 
 def _enough(min_words: int) -> str:
@@ -27,14 +37,18 @@ def _enough(min_words: int) -> str:
     return rf"^{BLANK[:-1]}*+(?:{WORD}+{BLANK}+){{{min_words - 1}}}{WORD}" if min_words > 0 else "^"
 
 
+def _place() -> Column:
+    return (F.col("key") * F.lit(1 << 32) + F.col("l")).cast(PLACE)
+
+
 def _lines(keyed: DataFrame, min_words: int) -> DataFrame:
-    """The lines that take part: place (d, x, l) and words."""
-    split = keyed.select("d", "x", F.posexplode(F.split("text", "\n")).alias("l", "line"))
-    return split.where(F.col("line").rlike(_enough(min_words))).select(F.struct("d", "x", "l").alias("place"), words_of(F.col("line")).alias("w"))
+    """The lines that take part: place and words."""
+    split = keyed.select("key", F.posexplode(F.split("text", "\n")).alias("l", "line"))
+    return split.where(F.col("line").rlike(_enough(min_words))).select(_place().alias("place"), words_of(F.col("line")).alias("w"))
 
 
-def _half_keys(w: Column) -> Column:
-    """Keys of which two near lines share at least one.
+def _half_keys(w: Column) -> list[Column]:
+    """Four keys of which two near lines share at least one.
 
     If n is the length of the shorter line, one edit leaves its first n // 2 words or its last n - n // 2 words
     untouched, and the other line starts or ends with them. A line takes part as the shorter (its own
@@ -45,7 +59,7 @@ def _half_keys(w: Column) -> Column:
         head = F.floor(n / 2).cast("int")
         keys.append(F.xxhash64(n, F.lit(0), F.slice(w, F.lit(1), head)))
         keys.append(F.xxhash64(n, F.lit(1), F.slice(w, F.size(w) - (n - head) + 1, n - head)))
-    return F.array(*keys)
+    return keys
 
 
 def _distinct_lines(keyed: DataFrame, min_words: int) -> DataFrame:
@@ -55,15 +69,15 @@ def _distinct_lines(keyed: DataFrame, min_words: int) -> DataFrame:
     a third of the corpus costs no more than any other.
     """
     w = F.col("w")
-    hashed = _lines(keyed, min_words).select(
-        "place", F.xxhash64(w).alias("h1"), F.xxhash64(F.lit(1), w).alias("h2"), _half_keys(w).alias("halves")
-    )
-    return hashed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.min("halves").alias("halves"))
+    halves = [k.alias(f"half{i}") for i, k in enumerate(_half_keys(w))]
+    hashed = _lines(keyed, min_words).select("place", F.xxhash64(w).alias("h1"), F.xxhash64(F.lit(1), w).alias("h2"), *halves)
+    least = [F.min(c).alias(c) for c in ("place", "half0", "half1", "half2", "half3")]
+    return hashed.groupBy("h1", "h2").agg(*least)
 
 
 def _near_candidates(keyed: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
     """Different lines that share half of their words with another one, with their words."""
-    halves = lines.select("place", F.explode("halves").alias("half"))
+    halves = lines.select("place", F.explode(F.array("half0", "half1", "half2", "half3")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     places = materialize(halves.join(shared, "half", "left_semi").select("place").distinct())
     if places.count() <= BROADCAST_ROWS:
@@ -119,13 +133,15 @@ def _inserted(lines: DataFrame) -> DataFrame:
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5) -> DataFrame:
-    """Per row key (d: the id, x: hash of the text) the numbers of the lines of ``min_words`` words or more that stay."""
+    """Per document ``key`` the numbers of the lines of ``min_words`` words or more that stay."""
     keyed = _documents(docs, id_col, text_col)
     lines = materialize(_distinct_lines(keyed, min_words))
     near = _near_candidates(keyed, lines, min_words)
     gone = _replaced(near).unionByName(_inserted(near)).distinct()
     stay = lines.select("place").join(gone, "place", "left_anti")
-    return stay.groupBy("place.d", "place.x").agg(F.collect_list("place.l").alias("stay"))
+    l = F.pmod(F.col("place"), F.lit(1 << 32).cast(PLACE))  # noqa: E741
+    parts = stay.select(((F.col("place") - l) / F.lit(1 << 32)).cast(PLACE).alias("key"), l.cast("int").alias("l"))
+    return parts.groupBy("key").agg(F.collect_list("l").alias("stay"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5) -> DataFrame:
@@ -133,13 +149,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are what newlines separate; words lie between runs of ASCII white space, and white space is
     no difference. Lines under ``min_words`` words always stay. The earliest line, by id, then
-    place in the text, stays. Null texts come back null; repeated rows (same id and text) count as
+    place in the text, stays; ids are whole numbers. Null texts come back null; repeated rows (same id and text) count as
     one and come back alike; null ids come first. Other columns pass untouched.
     """
     stay = kept_lines(docs, id_col, text_col, min_words)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_col).alias("_d"), F.xxhash64(text).alias("_x"))
-    met = rows.join(stay, rows["_d"].eqNullSafe(stay["d"]) & (rows["_x"] == stay["x"]), "left")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), _key(F.col(id_col), text).alias("key"))
+    met = rows.join(stay, "key", "left")
     cut = F.split(F.col(f"_row.`{text_col}`"), "\n")
     lines = met.select("_row", cut.alias("_cut"), F.coalesce("stay", F.array().cast("array<int>")).alias("_stay"))
     short = F.filter(
