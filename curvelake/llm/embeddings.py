@@ -110,7 +110,7 @@ def _links(different: DataFrame, least: float) -> DataFrame:
     sample = [np.array(r[0]) for r in different.orderBy("h1", "h2").limit(SAMPLE).select("v").collect()]
     sizes = pd.Series([len(x) for x in sample], dtype="int64")
     dim = int(sizes.mode()[0]) if len(sizes) else 0
-    unit = np.array([x / np.linalg.norm(x) for x in sample if len(x) == dim]).reshape(-1, dim)
+    unit = np.array([x / np.linalg.norm(x) for x in sample if len(x) == dim])
     k = max(1, min(CELLS, len(unit) // 20, math.ceil(total / PER_CELL)))
     c = centres(unit, k) if len(unit) else np.zeros((1, dim))
 

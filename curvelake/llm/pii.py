@@ -23,7 +23,7 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}[\p{L}\p{N}_'-]++"
 
-OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
