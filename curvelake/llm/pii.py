@@ -30,6 +30,9 @@ SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 #: Characters on either side of an entity in which a term counts as near to it.
 NEAR = 120
 
+#: Up to so many terms, or documents with their terms, are broadcast (some tens of MB).
+BROADCAST_ROWS = 200_000
+
 
 def _luhn(digits: Column) -> Column:
     def worth(c: Column, i: Column) -> Column:
@@ -84,6 +87,12 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("x"), text.alias("_t"))
 
 
+def _small(side: DataFrame) -> DataFrame:
+    """Written once; broadcast if it has at most BROADCAST_ROWS rows, else left to a shuffle join."""
+    side = materialize(side)
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def disclosing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 3, generalise: float = 0.7, remove: float = 0.9) -> DataFrame:
     """One row per disclosing term: term, action (generalise or remove), disclosure (its largest), entities (their number).
 
@@ -110,7 +119,7 @@ def _disclosure(rows: DataFrame, support: int, generalise: float, remove: float)
     joint = met.select("doc_id", "x", "entity", "term").distinct().join(pairs, ["entity", "term"], "left_semi")
     n_both = joint.groupBy("entity", "term").agg(F.count("*").alias("n_both"))
     n_entity = spans.select("doc_id", "x", F.explode(F.array_distinct(F.transform("near", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    wanted = pairs.select("term").distinct()
+    wanted = _small(pairs.select("term").distinct())
     held = materialize(rows.select("doc_id", "x", F.explode(_terms(F.col("_t"))).alias("term")).join(wanted, "term", "left_semi"))
     n_term = held.groupBy("term").agg(F.count("*").alias("n_term"))
     total = spans.count()
@@ -133,7 +142,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     terms, held, spans = _disclosure(rows, support, generalise, remove)
     per_doc = held.distinct().join(terms, "term").groupBy("doc_id", "x").agg(F.collect_set(F.struct("term", "action")).alias("_terms"))
     per_doc = per_doc.select(F.col("doc_id").alias("_d"), F.col("x").alias("_x"), "_terms")
-    some = rows.dropDuplicates(["doc_id", "x"]).join(per_doc, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("x") == F.col("_x")))
+    some = rows.join(_small(per_doc), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("x") == F.col("_x"))).dropDuplicates(["_d", "_x"])
 
     def act(s: Column) -> Column:
         hit = F.filter(F.col("_terms"), lambda t: t["term"] == F.lower(s["value"]))
