@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.likelihood import diagonal_normal_log_prob
 from ..functions.scalars import quadrant, quoted
-from .nets import Net, forward
+from .nets import Net, forward, through_arrays
 
 
 @dataclass
@@ -43,25 +42,19 @@ def to_data_step(points: np.ndarray, layer: Coupling) -> np.ndarray:
     return (1 - m) * (points * np.exp(s) + t) + m * points
 
 
-def _with_columns(df: DataFrame, extra: str) -> str:
-    return ", ".join(f"{quoted(n)} {t}" for n, t in df.dtypes) + ", " + extra
-
-
 def coupling_inverse(
     df: DataFrame, x1: str, x2: str, layers: Sequence[Coupling], out: tuple[str, str, str] = ("z1", "z2", "log_det")
 ) -> DataFrame:
     """Data to latent space, last layer first, with the log determinant of the whole map."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            points = pdf[[x1, x2]].to_numpy(float)
-            det = np.zeros(len(points))
-            for layer in reversed(layers):
-                points, part = to_latent_step(points, layer)
-                det += part
-            yield pdf.assign(**{out[0]: points[:, 0], out[1]: points[:, 1], out[2]: det})
+    def run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        points, det = np.stack([a, b], axis=1).astype(float), np.zeros(len(a))
+        for layer in reversed(layers):
+            points, part = to_latent_step(points, layer)
+            det += part
+        return np.column_stack([points, det])
 
-    return df.mapInPandas(run, _with_columns(df, ", ".join(f"{quoted(o)} double" for o in out)))
+    return through_arrays(df, [x1, x2], run, out)
 
 
 def coupling_forward(
@@ -69,14 +62,13 @@ def coupling_forward(
 ) -> DataFrame:
     """Latent to data space, first layer first."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            points = pdf[[z1, z2]].to_numpy(float)
-            for layer in layers:
-                points = to_data_step(points, layer)
-            yield pdf.assign(**{out[0]: points[:, 0], out[1]: points[:, 1]})
+    def run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        points = np.stack([a, b], axis=1).astype(float)
+        for layer in layers:
+            points = to_data_step(points, layer)
+        return points
 
-    return df.mapInPandas(run, _with_columns(df, ", ".join(f"{quoted(o)} double" for o in out)))
+    return through_arrays(df, [z1, z2], run, out)
 
 
 def coupling_loss(df: DataFrame, x1: str, x2: str, layers: Sequence[Coupling]) -> DataFrame:
@@ -90,22 +82,16 @@ def layer_trace(df: DataFrame, key: str, z1: str, z2: str, layers: Sequence[Coup
     """Coordinates after 0, 1, ... layers on the way to data space, one row per point and
     layer, with the quadrant of the starting point."""
     start = df.select(key, z1, z2, quadrant(z1, z2).alias("start_quadrant"))
-    key_type = dict(start.dtypes)[key]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            points = pdf[[z1, z2]].to_numpy(float)
-            for i in range(len(layers) + 1):
-                if i:
-                    points = to_data_step(points, layers[i - 1])
-                yield pd.DataFrame(
-                    {
-                        key: pdf[key],
-                        "start_quadrant": pdf["start_quadrant"],
-                        "layer": i,
-                        "x1": points[:, 0],
-                        "x2": points[:, 1],
-                    }
-                )
-
-    return start.mapInPandas(run, f"{quoted(key)} {key_type}, start_quadrant string, layer int, x1 double, x2 double")
+
+    def run(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        points = np.stack([a, b], axis=1).astype(float)
+        steps = [points]
+        for layer in layers:
+            points = to_data_step(points, layer)
+            steps.append(points)
+        return np.concatenate(steps, axis=1)
+
+    places = range(len(layers) + 1)
+    wide = through_arrays(start, [z1, z2], run, [f"_{c}{i}" for i in places for c in ("a", "b")])
+    steps = [F.struct(F.lit(i).alias("layer"), F.col(f"_a{i}").alias("x1"), F.col(f"_b{i}").alias("x2")) for i in places]
+    return wide.select(quoted(key), "start_quadrant", F.inline(F.array(*steps)))

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.likelihood import LOG_2PI, rate_at
 from ..functions.scalars import quoted
@@ -214,12 +215,22 @@ def loss_curve(spark, history: Sequence[tuple]) -> DataFrame:
 
 def score_net(df: DataFrame, x: Sequence[str], net: Net, outputs: Sequence[str] = ("yhat",)) -> DataFrame:
     """Outputs of a net on every row."""
-    xs = list(x)
+    return through_arrays(df, x, lambda *columns: forward(net, np.stack(columns, axis=1).astype(float))[-1], outputs)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = forward(net, pdf[xs].to_numpy(float))[-1]
-            yield pdf.assign(**{n: out[:, i] for i, n in enumerate(outputs)})
 
-    schema = ", ".join(f"{quoted(n)} {t}" for n, t in df.dtypes)
-    return df.mapInPandas(score, schema + "".join(f", {quoted(o)} double" for o in outputs))
+def through_arrays(df: DataFrame, inputs: Sequence[str | Column], use, outputs: Sequence[str]) -> DataFrame:
+    """``df`` with columns of ``use``: arrays of the inputs in, an array of rows x outputs out.
+
+    Only the inputs pass through Python; all other columns, keys above all, stay as they are.
+    """
+    kind = StructType([StructField(f"o{i}", DoubleType()) for i in range(len(outputs))])
+
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            out = np.asarray(use(*(c.to_numpy() for c in columns)), float)
+            yield pd.DataFrame({f"o{i}": out[:, i] for i in range(len(outputs))})
+
+    given = [F.col(quoted(c)).cast("double") if isinstance(c, str) else c for c in inputs]
+    scored = df.withColumn("_out", run(*given))
+    return scored.withColumns({o: F.col(f"_out.o{i}") for i, o in enumerate(outputs)}).drop("_out")

@@ -5,17 +5,16 @@ Draws are functions of (run, grid point, unit, seed), so any task can make its o
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import draws
 from ..functions.scalars import as_col, quoted
 from ..operators.joins import repeat_runs
-from .nets import ACTIVATIONS, Layer
+from .nets import ACTIVATIONS, Layer, through_arrays
 
 
 def predictive_draws(
@@ -93,16 +92,15 @@ def dropout_draws(
     Units drop independently per grid row and run; kept units are scaled by 1 / (1 - rate).
     """
     spread = repeat_runs(grid, runs).withColumn("_hash", F.xxhash64(F.col(quoted(key)), F.col("run")))
-    xs, fixed = list(x), list(layers)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            values = pdf[xs].to_numpy(float)
-            for i, layer in enumerate(fixed):
-                values = ACTIVATIONS[layer.act][0](values @ layer.weights + layer.bias)
-                if i < len(fixed) - 1:
-                    values = values * unit_mask(pdf["_hash"].to_numpy(), values.shape[1], i, rate, seed)
-            yield pdf.drop(columns="_hash").assign(**{n: values[:, i] for i, n in enumerate(outputs)})
-
-    schema = ", ".join(f"{quoted(n)} {t}" for n, t in spread.drop("_hash").dtypes)
-    return spread.mapInPandas(score, schema + "".join(f", {quoted(o)} double" for o in outputs))
+    fixed = list(layers)
+
+    def score(hashes: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+        values = np.stack(columns, axis=1).astype(float)
+        for i, layer in enumerate(fixed):
+            values = ACTIVATIONS[layer.act][0](values @ layer.weights + layer.bias)
+            if i < len(fixed) - 1:
+                values = values * unit_mask(hashes, values.shape[1], i, rate, seed)
+        return values
+
+    inputs = [F.col("_hash"), *(F.col(quoted(c)).cast("double") for c in x)]
+    return through_arrays(spread, inputs, score, outputs).drop("_hash")

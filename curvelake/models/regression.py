@@ -57,31 +57,41 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = No
 
 @dataclass(frozen=True)
 class Moments:
-    """Sums over a batch of groups: rows, T_k (k <= 2m), T_k y (k <= m), with x's common range."""
+    """Sums over a batch of groups: rows, T_k (k <= 2m), T_k y (k <= m), each with its own range of x."""
 
     n: np.ndarray
     t: np.ndarray
     ty: np.ndarray
-    lo: float
-    hi: float
+    lo: np.ndarray
+    hi: np.ndarray
 
     def gram(self, m: int) -> np.ndarray:
         i, j = np.indices((m + 1, m + 1))
         return (self.t[:, i + j] + self.t[:, np.abs(i - j)]) / 2
 
-    @property
-    def domain(self) -> tuple[float, float]:
-        return (self.lo, self.hi) if self.hi > self.lo else (self.lo - 0.5, self.lo + 0.5)
+    def bases(self, make, m: int) -> np.ndarray:
+        """A basis matrix per group; groups with equal ranges share it."""
+        wide = self.hi > self.lo
+        ends = np.stack([np.where(wide, self.lo, self.lo - 0.5), np.where(wide, self.hi, self.lo + 0.5)], axis=1)
+        different, place = np.unique(ends, axis=0, return_inverse=True)
+        return np.stack([make(m, (lo, hi)) for lo, hi in different])[place.reshape(-1)]
 
 
 def moments_table(df: DataFrame, x: str, y: str, m: int, by: str | None = None) -> DataFrame:
-    """One row of moments per group, in one aggregation (and one for the range of x)."""
+    """One row of moments per group, in one aggregation (and one for the ranges of x, joined back by group).
+
+    Each group has its own range: in a shared one the polynomials of a group with a narrow part would be nearly collinear.
+    """
     data = df.select(
         (F.col(quoted(by)) if by else F.lit(None).cast("string")).alias("group"),
         F.col(quoted(x)).cast("double").alias("_x"),
         F.col(quoted(y)).cast("double").alias("_y"),
     ).dropna(subset=["_x", "_y"])
-    scaled = attach_scalars(data, data, _lo=F.min("_x"), _hi=F.max("_x"))
+    if by:
+        ranges = data.groupBy("group").agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        scaled = join_on_keys(data, ranges, ["group"], "inner")
+    else:
+        scaled = attach_scalars(data, data, _lo=F.min("_x"), _hi=F.max("_x"))
     lo, hi = F.col("_lo"), F.col("_hi")
     unit = F.coalesce(F.try_divide(F.lit(2.0) * F.col("_x") - lo - hi, hi - lo), F.lit(0.0))
     angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), unit)))
@@ -128,7 +138,7 @@ def _times(matrices: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 def solve_ols(mo: Moments, m: int, alpha: float = 0.0) -> np.ndarray:
     """Least squares for every group of the batch: one row of power coefficients each."""
     inverse = np.linalg.pinv(mo.gram(m), rcond=1e-13, hermitian=True)
-    return _times(inverse, mo.ty[:, : m + 1]) @ _chebyshev_basis(m, mo.domain).T
+    return _times(mo.bases(_chebyshev_basis, m), _times(inverse, mo.ty[:, : m + 1]))
 
 
 def solve_ridge(mo: Moments, m: int, alpha: float) -> np.ndarray:
@@ -138,7 +148,7 @@ def solve_ridge(mo: Moments, m: int, alpha: float) -> np.ndarray:
     target = _times(np.linalg.pinv(root.swapaxes(1, 2)), mo.ty[:, : m + 1])
     penalty = np.sqrt(alpha) * np.eye(m + 1)[1:]
     design = np.concatenate(
-        [root @ _power_basis(m, mo.domain), np.broadcast_to(penalty, (len(root), m, m + 1))], axis=1
+        [root @ mo.bases(_power_basis, m), np.broadcast_to(penalty, (len(root), m, m + 1))], axis=1
     )
     # Columns differ by orders of magnitude: solve for scaled coefficients.
     size = np.linalg.norm(design, axis=1)
@@ -187,13 +197,18 @@ def _sparse_minimum(cov: np.ndarray, pull: np.ndarray, cost: np.ndarray, tol: fl
                 break
         if stuck:
             break
+    slope = cov @ w - pull
+    off = np.where(w == 0, np.maximum(np.abs(slope) - cost, 0), np.abs(slope + cost * np.sign(w)))
+    if off.max(initial=0.0) > 1e-6 * (1 + np.abs(pull).max(initial=0.0)):
+        raise ValueError(f"the lasso search ended {off.max():.3g} away from its optimality conditions")
     return w
 
 
 def solve_lasso(mo: Moments, m: int, alpha: float) -> np.ndarray:
     """Least |y - Xw - b|^2 / 2n + alpha |w|_1 from the moments."""
-    basis = _power_basis(m, mo.domain)
-    gram, xy, n = basis.T @ mo.gram(m) @ basis, mo.ty[:, : m + 1] @ basis, mo.n[:, None]
+    basis = mo.bases(_power_basis, m)
+    turned = basis.swapaxes(1, 2)
+    gram, xy, n = turned @ mo.gram(m) @ basis, _times(turned, mo.ty[:, : m + 1]), mo.n[:, None]
     mean, mean_y = gram[:, 0, 1:] / n, xy[:, :1] / n
     cov = gram[:, 1:, 1:] / n[:, :, None] - mean[:, :, None] * mean[:, None, :]
     cxy = xy[:, 1:] / n - mean * mean_y
@@ -230,7 +245,7 @@ def fit_many(
             if pdf.empty:
                 continue
             mo = Moments(
-                pdf["n"].to_numpy(float), np.stack(pdf["t"]), np.stack(pdf["ty"]), pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+                pdf["n"].to_numpy(float), np.stack(pdf["t"]), np.stack(pdf["ty"]), pdf["lo"].to_numpy(float), pdf["hi"].to_numpy(float)
             )
             for name, (kind, m, alpha) in specs.items():
                 values = SOLVERS[kind](mo, m, alpha)

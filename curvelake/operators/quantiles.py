@@ -98,7 +98,7 @@ def pick_ranks(
 
     # Equal values are counted together first, so a frequent value is one row from here on.
     def slice_of(i: int) -> Column:
-        share = F.try_divide((v - low[i]).cast("double"), (high[i] - low[i]).cast("double"))
+        share = F.try_divide(v.cast("double") - low[i].cast("double"), high[i].cast("double") - low[i].cast("double"))
         return F.least(F.coalesce(F.floor(share * SLICES), F.lit(0)), F.lit(SLICES - 1)).cast("int")
 
     hits = F.filter(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,21 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.orderBy(h, F.col(quoted(key)))
 
 
-def bootstrap_batch(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Rows drawn with replacement; each row comes a Poisson(fraction) number of times."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def bootstrap_batch(df: DataFrame, fraction: float, seed: int, key: str | None = None) -> DataFrame:
+    """Rows drawn with replacement; each row comes a Poisson(fraction) number of times.
+
+    The number follows from the seed and the key (without one, from all columns, so equal rows are drawn alike), whatever
+    the partitioning.
+    """
+    u = draws.uniform(*([key] if key else [F.col(quoted(c)) for c in df.columns]), seed=seed)
+    below, term, k, steps = 0.0, math.exp(-fraction), 0, []
+    while below < 1 - 2.0**-52 and k < 50 + 10 * fraction:
+        below += term
+        steps.append(below)
+        k += 1
+        term *= fraction / k
+    times = F.size(F.filter(F.array(*(F.lit(p) for p in steps)), lambda p: u > p))
+    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).drop("_copy")
 
 
 def systematic_sample(df: DataFrame, key: str, every: int, offset: int = 0) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -118,7 +119,18 @@ def compact(
     else:
         df.repartition(tasks).write.mode("errorifexists").parquet(out_path)
     if table:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{out_path}'")
+        literal = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {literal(out_path)}")
+        # Registered partitions have places of their own: each moves to its folder of the same name.
+        known = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] if by else []
+        for name in known:
+            pairs = [part.split("=", 1) for part in name.split("/")]
+            value = lambda v: "null" if v == "__HIVE_DEFAULT_PARTITION__" else literal(unquote(v))
+            spec = ", ".join(f"{quoted(unquote(k))} = {value(v)}" for k, v in pairs)
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {literal(f'{out_path}/{name}')}")
+        if by:
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.catalog.refreshTable(table)
     return tasks
 
 

@@ -300,3 +300,26 @@ def test_coupling_log_det_equals_finite_differences(spark):
     assert a["log_det"] == pytest.approx(math.log(abs(np.linalg.det(jac))), abs=1e-4)
     trace = coupling.layer_trace(df, "id", "x1", "x2", layers)
     assert trace.count() == 15 and {r["start_quadrant"] for r in trace.collect()} == {"other"}
+
+
+def test_grouped_fits_with_ranges_apart(spark):
+    rng = np.random.default_rng(5)
+    data = []
+    for g, start in (("a", 0.0), ("b", 1000.0)):
+        u = rng.uniform(0, 1, 400)
+        data += [(g, float(start + v), float(1 + 2 * v + 3 * v**2 - v**3)) for v in u]
+    df = spark.createDataFrame(data, "g string, x double, y double")
+    for degree, bound in ((3, 1e-5), (9, 1e-3)):
+        fits = m.fit_many(df, "x", "y", {"m": ("linear", degree, 0.0)}, "g")
+        narrow = m.predict(df.where("g = 'a'"), fits, "x", by="g")
+        assert narrow.agg(F.max(F.abs(F.col("yhat") - F.col("y")))).first()[0] < 1e-6
+        if degree == 3:
+            far = m.predict(df.where("g = 'b'"), fits, "x", by="g")
+            assert far.agg(F.max(F.abs(F.col("yhat") - F.col("y")))).first()[0] < bound
+
+
+def test_keys_stay_in_the_jvm(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, 0.5, 0.25), (None, 0.1, 0.2)], "id long, x double, z double")
+    out = nets.through_arrays(df, ["x", "z"], lambda a, b: np.column_stack([a + b]), ["s"])
+    assert {(r["id"], round(r["s"], 6)) for r in out.collect()} == {(big, 0.75), (None, 0.3)}

@@ -281,3 +281,9 @@ def test_mercator_of_known_points(spark):
     assert (b["mx"], b["my"]) == pytest.approx((20037508.342789, 20037508.342789), abs=1e-2)
     t = heat.tile_pixel(df, "lat", "lon", 1).first()
     assert (t["tile_x"], t["tile_y"], t["px"], t["py"]) == (1, 1, 256, 256)
+
+
+def test_bootstrap_does_not_depend_on_partitions(spark):
+    df = spark.range(2000).withColumn("v", F.col("id") * 2)
+    runs = [sorted(r["id"] for r in sampling.bootstrap_batch(df.repartition(n), 0.5, 42).collect()) for n in (2, 5)]
+    assert runs[0] == runs[1] and 900 < len(runs[0]) < 1100 and len(set(runs[0])) < len(runs[0])

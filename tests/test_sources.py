@@ -169,6 +169,17 @@ def test_compact_moves_the_table(spark, tmp_path):
     sinks.drop_table(spark, "moving")
 
 
+def test_compact_moves_every_partition(spark, tmp_path):
+    data = spark.range(300).select("id", F.concat(F.lit("it's "), F.col("id") % 3).alias("g"))
+    data.repartition(6).write.partitionBy("g").parquet(str(tmp_path / "old"))
+    sinks.register_external(spark, "moving_parts", str(tmp_path / "old"))
+    sinks.compact(spark, str(tmp_path / "old"), str(tmp_path / "new"), by=["g"], table="moving_parts")
+    files = {r[0] for r in spark.table("moving_parts").select(F.input_file_name()).distinct().collect()}
+    assert files and all("/new/" in f for f in files)
+    assert spark.table("moving_parts").count() == 300
+    sinks.drop_table(spark, "moving_parts")
+
+
 def test_journal_is_newest_first(spark, people, tmp_path):
     path, journal = str(tmp_path / "t"), str(tmp_path / "j")
     sinks.write_journal(people, path, journal)
