@@ -37,6 +37,12 @@ def _enough(min_words: int) -> str:
     return rf"^{BLANK[:-1]}*+(?:{WORD}+{BLANK}+){{{min_words - 1}}}{WORD}" if min_words > 0 else "^"
 
 
+def _small(side: DataFrame) -> DataFrame:
+    """Written once; broadcast if it has at most BROADCAST_ROWS rows, else left to a shuffle join."""
+    side = materialize(side)
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def _place() -> Column:
     return (F.col("key") * F.lit(1 << 32) + F.col("l")).cast(PLACE)
 
@@ -79,9 +85,7 @@ def _near_candidates(keyed: DataFrame, lines: DataFrame, min_words: int) -> Data
     """Different lines that share half of their words with another one, with their words."""
     halves = lines.select("place", F.explode(F.array("half0", "half1", "half2", "half3")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    places = materialize(halves.join(shared, "half", "left_semi").select("place").distinct())
-    if places.count() <= BROADCAST_ROWS:
-        places = F.broadcast(places)
+    places = _small(halves.join(_small(shared), "half", "left_semi").select("place").distinct())
     return materialize(_lines(keyed, min_words).join(places, "place", "left_semi").dropDuplicates(["place"]))
 
 
@@ -96,7 +100,7 @@ def _replaced(lines: DataFrame) -> DataFrame:
     each = bound(h, lambda a: bound(whole(a), lambda x: F.transform(a, lambda y: x.bitwiseXOR(y))))
     variants = lines.select("place", F.size("w").alias("n"), F.posexplode(each).alias("i", "rest"))
     first = variants.groupBy("n", "i", "rest").agg(F.min("place").alias("earliest"), F.count("*").alias("c"))
-    pairs = variants.join(first.where("c > 1"), ["n", "i", "rest"]).where(F.col("place") != F.col("earliest"))
+    pairs = variants.join(_small(first.where("c > 1")), ["n", "i", "rest"]).where(F.col("place") != F.col("earliest"))
     a, b = lines.select("place", F.col("w").alias("a")), lines.select(F.col("place").alias("earliest"), F.col("w").alias("b"))
     left = lambda w: F.concat(F.slice(w, F.lit(1), F.col("i")), F.slice(w, F.col("i") + 2, F.size(w)))
     found = pairs.select("place", "earliest", "i").join(a, "place").join(b, "earliest")
@@ -123,11 +127,12 @@ def _inserted(lines: DataFrame) -> DataFrame:
         return F.transform(w, change)
 
     hashed = lines.select("place", F.size("w").alias("n"), "w", total(F.col("w")).alias("x"))
-    short = hashed.select(F.col("place").alias("short"), "n", F.col("x").alias("rest"), F.col("w").alias("a"))
+    short = _small(hashed.select(F.col("place").alias("short"), "n", F.col("x").alias("rest")))
     long = hashed.select(
         F.col("place").alias("long"), (F.col("n") - 1).alias("n"), F.posexplode(without(F.col("w"), F.col("x"))).alias("j", "rest")
-    ).dropDuplicates(["long", "rest"])
-    met = short.join(long, ["n", "rest"]).join(lines.select(F.col("place").alias("long"), F.col("w").alias("b")), "long")
+    )
+    words = lambda place, w: lines.select(F.col("place").alias(place), F.col("w").alias(w))
+    met = long.join(short, ["n", "rest"]).join(words("short", "a"), "short").join(words("long", "b"), "long")
     rest = F.concat(F.slice("b", F.lit(1), F.col("j")), F.slice("b", F.col("j") + 2, F.size("b")))
     return met.where(F.col("a") == rest).select(F.greatest("short", "long").alias("place"))
 
