@@ -47,10 +47,13 @@ def _place() -> Column:
     return (F.col("key") * F.lit(1 << 32) + F.col("l")).cast(PLACE)
 
 
+def _split(keyed: DataFrame) -> DataFrame:
+    return keyed.select("key", F.posexplode(F.split("text", "\n")).alias("l", "line"))
+
+
 def _lines(keyed: DataFrame, min_words: int) -> DataFrame:
     """The lines that take part: place and words."""
-    split = keyed.select("key", F.posexplode(F.split("text", "\n")).alias("l", "line"))
-    return split.where(F.col("line").rlike(_enough(min_words))).select(_place().alias("place"), words_of(F.col("line")).alias("w"))
+    return _split(keyed).where(F.col("line").rlike(_enough(min_words))).select(_place().alias("place"), words_of(F.col("line")).alias("w"))
 
 
 def _half_keys(w: Column) -> list[Column]:
@@ -81,12 +84,13 @@ def _distinct_lines(keyed: DataFrame, min_words: int) -> DataFrame:
     return hashed.groupBy("h1", "h2").agg(*least)
 
 
-def _near_candidates(keyed: DataFrame, lines: DataFrame, min_words: int) -> DataFrame:
-    """Different lines that share half of their words with another one, with their words."""
+def _near_candidates(keyed: DataFrame, lines: DataFrame) -> DataFrame:
+    """Different lines that share half of their words with another one, with their words: only these are cut into words."""
     halves = lines.select("place", F.explode(F.array("half0", "half1", "half2", "half3")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     places = _small(halves.join(_small(shared), "half", "left_semi").select("place").distinct())
-    return materialize(_lines(keyed, min_words).join(places, "place", "left_semi").dropDuplicates(["place"]))
+    met = _split(keyed).select(_place().alias("place"), "line").join(places, "place", "left_semi").dropDuplicates(["place"])
+    return materialize(met.select("place", words_of(F.col("line")).alias("w")))
 
 
 def _replaced(lines: DataFrame) -> DataFrame:
@@ -141,7 +145,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per document ``key`` the numbers of the lines of ``min_words`` words or more that stay."""
     keyed = _documents(docs, id_col, text_col)
     lines = materialize(_distinct_lines(keyed, min_words))
-    near = _near_candidates(keyed, lines, min_words)
+    near = _near_candidates(keyed, lines)
     gone = _replaced(near).unionByName(_inserted(near)).distinct()
     stay = lines.select("place").join(gone, "place", "left_anti")
     l = F.pmod(F.col("place"), F.lit(1 << 32).cast(PLACE))  # noqa: E741
