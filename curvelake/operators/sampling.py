@@ -53,13 +53,15 @@ def systematic_sample(df: DataFrame, key: str, every: int, offset: int = 0) -> D
 def tail_split(df: DataFrame, key: str, held_out: float, name: str = "part") -> DataFrame:
     """Last share of the rows, in order of a unique key, as ``validation``; the rest is ``train``.
 
-    The key at the border is selected exactly; no rows are numbered.
+    The key at the border is selected exactly; no rows are numbered. A table too small for one training row has none.
     """
     kept = 1.0 - held_out
-    border = select_ranks(
-        df, key, [(kept, (lambda n: F.greatest(F.floor(n * F.lit(kept) + F.lit(1e-9)) - 1, F.lit(0)),))]
-    ).select(F.col("values")[0].alias("_border"))
+    training = lambda n: F.floor(n * F.lit(kept) + F.lit(1e-9))
+    border = select_ranks(df, key, [(kept, (lambda n: F.greatest(training(n) - 1, F.lit(0)),))]).select(
+        F.when(training(F.col("n")) > 0, F.col("values")[0]).alias("_border")
+    )
     split = attach_scalars(df, border, _border=F.max("_border"))
+    # without a border no row is for training
     train = F.col(quoted(key)) <= F.col("_border")
     return split.withColumn(name, F.when(train, F.lit("train")).otherwise(F.lit("validation"))).drop("_border")
 

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import percent_change, percent_label, quoted, recode
-from ..operators.aggregates import group_mean, having_count, pivot_measures, pivot_values
-from ..operators.joins import keep_groups
+from ..operators.aggregates import pivot_measures, pivot_values
 from ..operators.windows import index_to_base, last_row
 
 
@@ -79,8 +78,6 @@ def growth_labels(
 
 def dot_table(df: DataFrame, group: str, measures: Sequence[str], min_n: int, order: str) -> DataFrame:
     """Mean measures of the groups with at least ``min_n`` rows, sorted by one of them."""
-    counted = df.dropna(subset=[quoted(group)])
-    major = having_count(counted, [group], min_n)
-    return group_mean(keep_groups(counted, major, [group]), [group], measures).orderBy(
-        quoted(f"mean_{order}"), quoted(group)
-    )
+    means = [F.avg(quoted(m)).alias(f"mean_{m}") for m in measures]
+    grouped = df.dropna(subset=[quoted(group)]).groupBy(quoted(group)).agg(F.count(F.lit(1)).alias("_n"), *means)
+    return grouped.where(F.col("_n") >= min_n).drop("_n").orderBy(quoted(f"mean_{order}"), quoted(group))

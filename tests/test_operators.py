@@ -192,6 +192,8 @@ def test_splits_and_shuffles(spark):
     df = spark.range(1000).repartition(5)
     tail = as_dict(sampling.tail_split(df, "id", 0.4), "id", "part")
     assert [k for k, p in tail.items() if p == "validation"] and all((p == "train") == (k < 600) for k, p in tail.items())
+    assert as_dict(sampling.tail_split(spark.range(1), "id", 0.4), "id", "part") == {0: "validation"}
+    assert as_dict(sampling.tail_split(spark.range(2), "id", 0.4), "id", "part") == {0: "train", 1: "validation"}
     held = sampling.hash_split(df, "id", 0.2, 1).where("part = 'validation'").count()
     assert 150 < held < 250
     a = [r["id"] for r in sampling.seeded_shuffle(df, "id", 1).collect()]
