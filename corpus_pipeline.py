@@ -20,8 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document or line has, up to one word, go; a document without any line left goes."""
-    cut = lines.dedup_lines(docs).where((F.col("_kept") > 0) | ~F.col("_changed"))
+    """Lines that an earlier document or line has, up to one word, go; a document without any line left goes.
+
+    A null text has no lines to lose and stays.
+    """
+    cut = lines.dedup_lines(docs).where(F.coalesce((F.col("_kept") > 0) | ~F.col("_changed"), F.lit(True)))
     return cut.select(*COLUMNS[:4], F.when(F.col("_changed"), F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
 
 

@@ -196,6 +196,15 @@ def links(fps: DataFrame, bound: int = 4, blocks: int = 3) -> DataFrame:
     return placed.groupBy("shard").applyInPandas(join, "a long, b long")
 
 
+def _roots(prints: DataFrame, bound: int) -> DataFrame:
+    """Per different ``fp``: ``root``, the fingerprint that stands for its component, and component_id, the smallest id there."""
+    fps = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    groups = connected_components(links(fps, bound)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
+    rooted = fps.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return materialize(rooted.join(least, "root").select("fp", "root", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 4) -> DataFrame:
     """Per input row: doc_id, ``fp`` and component_id, the smallest id reachable by links of ``bound`` bits or less.
 
@@ -203,19 +212,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A row without an id takes part; it gets the smallest id of its component, null if none has one.
     """
     prints = materialize(fingerprints(docs, id_col, text_col))
-    fps = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    groups = connected_components(links(fps, bound)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    rooted = fps.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(_roots(prints, bound), "fp").select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 4) -> DataFrame:
     """One input row, all columns, per group of near duplicates: the one with the smallest id.
 
-    Of repeated rows with that id one stays; a group whose rows have no id keeps one of them.
+    A row is known by its id and two hashes of its text, so unrelated rows without an id, or under one repeated id, are
+    groups of their own. Of a group's rows with the smallest id one stays; a group whose rows have no id keeps one of them.
     """
-    found = near_duplicates(docs, id_col, text_col, bound)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    marks = {"_x": F.xxhash64(text), "_y": F.xxhash64(F.lit(1), text)}
+    prints = materialize(docs.select(F.col(id_col).alias("doc_id"), *(c.alias(k) for k, c in marks.items()), _fingerprints(F.col(text_col)).alias("fp")))
+    first = prints.join(_roots(prints, bound), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = first.groupBy("root", "doc_id").agg(F.min(F.struct("_x", "_y")).alias("_m"))
+    keep = keep.select(F.col("doc_id").alias("_keep"), F.col("_m._x").alias("_kx"), F.col("_m._y").alias("_ky"))
+    same = F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_x") == F.col("_kx")) & (F.col("_y") == F.col("_ky"))
+    return docs.withColumns(marks).join(keep, same, "left_semi").dropDuplicates([id_col, "_x", "_y"]).drop("_x", "_y")

@@ -280,3 +280,14 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, sf_dir)
         assert nothing.count() == 0
+
+
+def test_pipeline_stages_keep_unlinked_rows_without_id(spark):
+    texts = [" ".join(hashlib.sha1(f"{k} {i}".encode()).hexdigest() for i in range(80)) for k in range(4)]
+    given = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[0]), (9, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    out = lambda stage: sorted(((r["doc_id"], r["text"]) for r in stage(spark, df, None).collect()), key=str)
+    # texts[0] has a row with an id, which stays for its group; all others are groups of their own
+    assert out(corpus_pipeline.simhash_dedup) == sorted([g for g in given if g != (None, texts[0])], key=str)
+    assert out(corpus_pipeline.line_dedup) == sorted([g for g in given if g != (8, texts[0])], key=str)
+    assert [r for r in out(corpus_pipeline.secret_scan) if r[1] is None] == [(9, None)] and len(out(corpus_pipeline.secret_scan)) == 6
