@@ -31,6 +31,9 @@ SHARD = 4_096
 #: A branch this small is compared directly.
 DIRECT = 1_024
 
+#: A shard of more than twice this many rows is cut into parts by a hash; each pair of parts is a task of its own.
+PART = 32_768
+
 
 def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     """Fingerprint as a signed 64-bit number; 0 for a text without words."""
@@ -142,6 +145,35 @@ def _compare(values, home, ask, bound: int, label) -> None:
             _merge(label, rows[i], cols[j])
 
 
+def _flood(values, home, ask, bound: int, label) -> None:
+    """The same as :func:`_compare` for many values that no vantage point parts.
+
+    A component grows from one home until nothing links to it; who is in is not compared again, so values within a few
+    bits of each other, however many, cost a few passes instead of the square of their number.
+    """
+    left, is_home = np.concatenate([home, ask]), np.arange(len(home) + len(ask)) < len(home)
+    while is_home.any():
+        seed = int(is_home.argmax())
+        first, todo = left[seed], [(left[seed : seed + 1], True)]
+        left, is_home = np.delete(left, seed), np.delete(is_home, seed)
+        while todo and len(left):
+            rows, from_home = todo.pop()
+            if len(rows) > 64:
+                todo.append((rows[64:], from_home))
+                rows = rows[:64]
+            met = np.zeros(len(left), bool)
+            for v in values[rows]:
+                rest = np.flatnonzero(~met)
+                met[rest[np.bitwise_count(values[left[rest]] ^ v) <= bound]] = True
+            if not from_home:  # askers do not link to each other here
+                met &= is_home
+            if met.any():
+                new, home_too = left[met], is_home[met]
+                _merge(label, np.full(len(new), first), new)
+                left, is_home = left[~met], is_home[~met]
+                todo += [(part, kind) for part, kind in ((new[~home_too], False), (new[home_too], True)) if len(part)]
+
+
 def link_shard(values: np.ndarray, is_home: np.ndarray, mask: int, bound: int, near: int) -> np.ndarray:
     """For each value of a shard the place of the first one it is linked to, through any number of links.
 
@@ -155,7 +187,7 @@ def link_shard(values: np.ndarray, is_home: np.ndarray, mask: int, bound: int, n
             continue
         found = _split(values[home], m) if len(home) > DIRECT else None
         if found is None:
-            _compare(values, home, ask, bound, label)
+            (_compare if len(home) <= DIRECT else _flood)(values, home, ask, bound, label)
             continue
         v, r = found
         hi, ho, cross, ai, ao = _sides(_distance(values[home], v, m), _distance(values[ask], v, m), r, near)
@@ -172,7 +204,7 @@ def links(fps: DataFrame, bound: int = 4, blocks: int = 3) -> DataFrame:
     """
     masks, near = block_masks(blocks), bound // blocks
     n = fps.count()
-    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp")).limit(min(n, SAMPLE)).collect()], np.int64).view(np.uint64)
+    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp")).limit(min(-(-n // 8), SAMPLE)).collect()], np.int64).view(np.uint64)
     depth = max(2, math.ceil(math.log2(max(n, 1) / SHARD)))
     trees = [build_tree(sample, m, depth) for m in masks]
 
@@ -193,7 +225,23 @@ def links(fps: DataFrame, bound: int = 4, blocks: int = 3) -> DataFrame:
         return pd.DataFrame({"a": values[moved], "b": values[label[moved]]})
 
     placed = fps.select("fp").mapInPandas(place, "shard string, fp long, home boolean")
-    return placed.groupBy("shard").applyInPandas(join, "a long, b long")
+    return cut_shards(placed).groupBy("shard", "pair").applyInPandas(join, "a long, b long")
+
+
+def cut_shards(placed: DataFrame) -> DataFrame:
+    """``placed`` with a column ``pair``; rows of a shard too large for one task go to every pair of parts with their own.
+
+    Any two rows of a shard meet in some pair, so no link is lost.
+    """
+    placed = materialize(placed)
+    large = placed.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > 2 * PART)
+    large = large.select("shard", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    met = placed.join(F.broadcast(large), "shard", "left").withColumn("own", own)  # a row per 2 * PART rows at most
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("own"))
+    pairs = F.transform(others, lambda p: F.least(p, "own").cast("long") * F.col("parts") + F.greatest(p, "own"))
+    alone = F.array(F.lit(0).cast("long"))
+    return met.select("shard", "fp", "home", F.explode(F.when(F.col("parts").isNull(), alone).otherwise(pairs)).alias("pair"))
 
 
 def _roots(prints: DataFrame, bound: int) -> DataFrame:

@@ -291,3 +291,26 @@ def test_pipeline_stages_keep_unlinked_rows_without_id(spark):
     assert out(corpus_pipeline.simhash_dedup) == sorted([g for g in given if g != (None, texts[0])], key=str)
     assert out(corpus_pipeline.line_dedup) == sorted([g for g in given if g != (8, texts[0])], key=str)
     assert [r for r in out(corpus_pipeline.secret_scan) if r[1] is None] == [(9, None)] and len(out(corpus_pipeline.secret_scan)) == 6
+
+
+def test_simhash_cuts_a_large_shard_of_near_copies(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    flips = lambda n, k: np.bitwise_or.reduce(np.uint64(1) << rng.integers(22, 64, (n, k), dtype=np.uint64), axis=1)
+    # all alike in the first block: two crowds some bits around their middles, and values on their own
+    values = np.unique(np.concatenate([flips(1500, 3), ~flips(1500, 5) & ~np.uint64((1 << 22) - 1), rng.integers(0, 2**42, 600, dtype=np.uint64) << np.uint64(22)]))
+    want = np.arange(len(values))
+    simhash._merge(want, *np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= 4))
+    found = np.arange(len(values))
+    simhash._flood(values, found[:2500].copy(), found[2500:].copy(), 4, found)
+    direct = np.arange(len(values))
+    simhash._compare(values, np.arange(2500), np.arange(2500, len(values)), 4, direct)
+    assert (found == direct).all()
+    monkeypatch.setattr(simhash, "PART", 400)
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    placed = simhash.cut_shards(df.selectExpr("'0:' AS shard", "fp", "true AS home"))
+    assert placed.groupBy("shard", "pair").count().agg(F.max("count")).first()[0] < 1000 < len(values)
+    place = {int(v): i for i, v in enumerate(values.view(np.int64))}
+    joined = np.arange(len(values))
+    ends = np.array([(place[a], place[b]) for a, b in simhash.links(df).collect()])
+    simhash._merge(joined, ends[:, 0], ends[:, 1])
+    assert (joined == want).all() and 1 < len(np.unique(want)) < len(values) - 2000
