@@ -97,10 +97,14 @@ def _(spark, d):
     return flows.flow_nll(scaled(spark, d), "x", CHAIN).select(r("nll").alias("nll"))
 
 
+#: Steps of the flow's fit, as in the reference.
+FLOW_STEPS = 20_000
+
+
 @query("fit_flow_history", "N6 S10")
 def _(spark, d):
     waiting = generators_scaled(spark, d)
-    _, history = flows.fit_flow(waiting, "x", 5, {"kind": "constant", "rate": 0.02}, 10)
+    _, history = flows.fit_flow(waiting, "x", 5, {"kind": "constant", "rate": 0.02}, FLOW_STEPS)
     return history
 
 

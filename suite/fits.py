@@ -354,11 +354,15 @@ def _(spark, d):
     return out.select("c_custkey", *[r(c).alias(c) for c in ("mu", "lower", "upper")])
 
 
+#: Grid points and runs of the predictive draws, as in the reference.
+POINTS, RUNS = 1_000, 200
+
+
 @query("predictive_draws", "M18 J5")
 def _(spark, d):
-    grid = linspace_over(items(spark, d), "x", 1000)
+    grid = linspace_over(items(spark, d), "x", POINTS)
     model = grid.withColumns({"mu": 1.5 * F.col("x"), "sigma": 1 + F.col("x") / 10})
-    return predictive.predictive_draws(model, "grid_id", "mu", "sigma", 20, 1)
+    return predictive.predictive_draws(model, "grid_id", "mu", "sigma", RUNS, 1)
 
 
 @query(
@@ -374,8 +378,8 @@ def _(spark, d):
 
 @query("weight_draws", "M20 M19")
 def _(spark, d):
-    grid = linspace_over(items(spark, d), "x", 200)
-    drawn = predictive.weight_draws(grid, ["x"], [0.5, 1.4], [0.3, 0.05], 50, 3)
+    grid = linspace_over(items(spark, d), "x", POINTS)
+    drawn = predictive.weight_draws(grid, ["x"], [0.5, 1.4], [0.3, 0.05], RUNS, 3)
     return predictive.draw_summary(drawn, ["grid_id"])
 
 
@@ -384,20 +388,24 @@ DROPOUT_NET = nets.new_net(1, [10, 20, 6, 2], ["sigmoid", "sigmoid", "sigmoid",
 
 @query("dropout_draws", "M21 M19")
 def _(spark, d):
-    grid = linspace_over(items(spark, d), "x", 200).withColumn("x", F.col("x") / 50)
-    drawn = predictive.dropout_draws(grid, "grid_id", ["x"], DROPOUT_NET, 0.2, 20, 5)
+    grid = linspace_over(items(spark, d), "x", POINTS).withColumn("x", F.col("x") / 50)
+    drawn = predictive.dropout_draws(grid, "grid_id", ["x"], DROPOUT_NET, 0.2, RUNS, 5)
     return predictive.draw_summary(drawn, ["grid_id"], "mu")
 
 
 # --- nets -----------------------------------------------------------------------------
 
+#: Epochs of the nets' training, as in the reference.
+EPOCHS = 2_000
+
+
 @query("net_training_history", "M22 M24 L6")
 def _(spark, d):
     data = m.standardize(items(spark, d).select("l_orderkey", "x", "y"), ["x", "y"])
     parts = sampling.hash_split(data, "l_orderkey", 0.2, 1)
     net = nets.new_net(1, [5, 10, 5, 1], ["tanh", "tanh", "tanh", "linear"], seed=1)
     _, history = nets.fit_net(
-        parts.where("part = 'train'"), ["x"], "y", net, "mse", {"kind": "constant", "rate": 0.1}, 8,
+        parts.where("part = 'train'"), ["x"], "y", net, "mse", {"kind": "constant", "rate": 0.1}, EPOCHS,
         validation=parts.where("part = 'validation'"),
     )
     return history
@@ -409,7 +417,7 @@ def _(spark, d):
     mean_net = nets.new_net(1, [6, 1], ["tanh", "linear"], seed=1)
     sigma_net = nets.new_net(1, [6, 1], ["sigmoid", "linear"], seed=2)
     rate = {"kind": "constant", "rate": 0.1}
-    _, history = nets.fit_two_heads(data, ["x"], "y", mean_net, sigma_net, rate, rate, 8, sigma_start=4)
+    _, history = nets.fit_two_heads(data, ["x"], "y", mean_net, sigma_net, rate, rate, EPOCHS, sigma_start=4)
     return history
 
 

@@ -31,3 +31,21 @@ def test_entry_gives_rows(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(ORACLES) <= set(QUERIES) == set(COVERS)
+
+
+def test_draws_have_the_reference_runs_and_points(spark, sf_dir):
+    drawn = QUERIES["predictive_draws"](spark, sf_dir)
+    assert drawn.count() == 200_000 and drawn.select("run").distinct().count() == 200
+    for name in ("weight_draws", "dropout_draws"):
+        assert QUERIES[name](spark, sf_dir).count() == 1_000, name
+
+
+def test_fits_take_the_reference_steps(spark, sf_dir, monkeypatch):
+    from curvelake.models import flows, nets
+
+    taken = []
+    monkeypatch.setattr(flows, "fit_flow", lambda df, x, blocks, schedule, steps: (None, taken.append(steps)))
+    monkeypatch.setattr(nets, "_train", lambda df, x, y, blocks, loss, steps, *args, **kwargs: (None, taken.append(steps)))
+    for name in ("fit_flow_history", "net_training_history", "two_head_training_history"):
+        QUERIES[name](spark, sf_dir)
+    assert taken == [20_000, 2_000, 2_000]
