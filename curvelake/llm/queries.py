@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm import embeddings, licenses, lines, packing, pieces, pii, quality, rules, secrets, simhash
+from curvelake.llm import embeddings, licenses, lines, merkle, packing, pieces, pii, quality, rules, secrets, simhash
+from curvelake.llm.common import lower_ascii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +161,76 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.xxhash64("ids").alias("ids_xxhash64"),
         (F.col("back") == F.replace("text", F.lit(pieces.BLANK), F.lit(" "))).alias("round_trip"),
     )
+
+
+FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+LEAF = "sha256(" + " || ".join(FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: CRC-32 of the decimal doc_id: each byte is a number from 0, each of the eight shifts after it a -1.
+CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: list_prepend(ascii(c)::BIGINT, list_resize([-1::BIGINT], 8, -1::BIGINT))))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295)"""
+
+SQL12 = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, source, {LEAF.format(text="text")} AS leaf, CASE WHEN {CRC32} % 5 = 0 THEN {LEAF.format(text=LOWERED)} ELSE {LEAF.format(text="text")} END AS probe
+    FROM documents),
+placed AS (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+    FROM leaves),
+lower_tree AS (
+    SELECT 0 AS lv, tree, place, leaf AS node, n FROM placed
+    UNION ALL
+    SELECT lv + 1, tree, place // 16, sha256(string_agg(node, '' ORDER BY place)), (n + 15) // 16
+    FROM lower_tree WHERE n > 1 GROUP BY lv, tree, place // 16, n),
+subroots AS (SELECT tree, node FROM lower_tree WHERE n = 1),
+upper_tree AS (
+    SELECT 0 AS lv, tree AS place, node, (SELECT count(*) FROM subroots) AS n FROM subroots
+    UNION ALL
+    SELECT lv + 1, place // 16, sha256(string_agg(node, '' ORDER BY place)), (n + 15) // 16
+    FROM upper_tree WHERE n > 1 GROUP BY lv, place // 16, n),
+nodes AS (
+    SELECT lv, tree, place, node, (SELECT max(lv) FROM lower_tree t WHERE t.tree = l.tree) AS top FROM lower_tree l WHERE n > 1),
+steps AS (
+    SELECT p.tree, p.place, n.lv, string_agg(node, '' ORDER BY n.place) FILTER (n.place < p.place // (16 ** n.lv)::BIGINT) AS before,
+           string_agg(node, '' ORDER BY n.place) FILTER (n.place > p.place // (16 ** n.lv)::BIGINT) AS after
+    FROM placed p JOIN nodes n ON p.tree = n.tree AND n.place // 16 = p.place // (16 ** (n.lv + 1))::BIGINT
+    GROUP BY p.tree, p.place, n.lv
+    UNION ALL
+    SELECT p.tree, p.place, 1000 + n.lv, string_agg(node, '' ORDER BY n.place) FILTER (n.place < p.tree // (16 ** n.lv)::BIGINT),
+           string_agg(node, '' ORDER BY n.place) FILTER (n.place > p.tree // (16 ** n.lv)::BIGINT)
+    FROM placed p JOIN upper_tree n ON n.n > 1 AND n.place // 16 = p.tree // (16 ** (n.lv + 1))::BIGINT
+    GROUP BY p.tree, p.place, n.lv),
+ordered AS (
+    SELECT tree, place, coalesce(before, '') AS before, coalesce(after, '') AS after,
+           row_number() OVER (PARTITION BY tree, place ORDER BY lv) AS k FROM steps),
+folds AS (
+    SELECT tree, place, 0 AS k, probe AS node FROM placed
+    UNION ALL
+    SELECT tree, place, o.k, sha256(before || node || after) FROM folds f JOIN ordered o USING (tree, place) WHERE o.k = f.k + 1),
+proofs AS (SELECT tree, place, string_agg(before || after, '' ORDER BY k) AS sides FROM ordered GROUP BY tree, place),
+folded AS (SELECT tree, place, arg_max(node, k) AS folded_root FROM folds GROUP BY tree, place),
+roots AS (SELECT node AS root FROM upper_tree WHERE n = 1)
+SELECT doc_id, leaf, s.node AS subroot, root, sha256(coalesce(sides, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots s USING (tree) LEFT JOIN proofs USING (tree, place) JOIN folded USING (tree, place), roots
+"""
+
+
+@query("op12_merkle_manifest", SQL12)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its leaf, the roots above, a digest of its siblings, and whether the leaf read again (a fifth lower-cased) gives the root."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("text")
+    leaf, lowered = (merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), t) for t in (text, lower_ascii(text)))
+    touched = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    given = F.struct("doc_id", F.when(touched, lowered).alias("probe"))
+    made = merkle.manifest(docs, F.col("source"), F.col("doc_id"), leaf, given)
+    proved = merkle.prove(made).select("given.doc_id", "leaf", "subroot", F.lit(made.root).alias("root"), F.coalesce("given.probe", "leaf").alias("probe"), "path")
+    folded = proved.withColumn("folded_root", merkle.fold(F.col("probe"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
