@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm import embeddings, licenses, lines, merkle, packing, pieces, pii, quality, rules, secrets, simhash
+from curvelake.llm import embeddings, licenses, lines, merkle, mixing, packing, pieces, pii, quality, rules, secrets, simhash
 from curvelake.llm.common import lower_ascii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,3 +234,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query("op13_mixing")
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the words that the mix takes of it."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
