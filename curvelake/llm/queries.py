@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm import embeddings, licenses, lines, merkle, mixing, packing, pieces, pii, quality, rules, secrets, simhash
+from curvelake.llm import embeddings, licenses, lines, merkle, mixing, negatives, packing, pieces, pii, quality, rules, secrets, simhash
 from curvelake.llm.common import lower_ascii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,3 +240,27 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the words that the mix takes of it."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+SQL11 = """
+WITH r AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, r.label = a.label AS same, list_inner_product(a.q, r.q)::BIGINT AS score
+    FROM r a JOIN r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_hard_negatives", SQL11)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the vectors whose id is divisible by 100; where 7 divides the id, the label is moved on by one first."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
