@@ -174,8 +174,12 @@ def prove(m: Manifest, requests: DataFrame | None = None) -> DataFrame:
             lone = state.where("lone").withColumn("children", F.array("digest"))
             ended.append(lone.select("tree", "run", "lone", "subroot", "children", "path"))
             state = state.where("NOT lone")
-        known = F.broadcast(shallow[step]) if step < SHALLOW else m.records
-        met = materialize(state.join(known, "digest"))
+        if step == 0:  # all are at the root: its children are a value
+            top = shallow[0].first()
+            met = state.withColumn("children", F.array(*(F.lit(c) for c in top["children"]))) if top else state.withColumn("children", F.array("digest"))
+        else:
+            met = state.join(F.broadcast(shallow[step]) if step < SHALLOW else m.records, "digest")
+        met = materialize(met)
         ended.append(met.where(F.size("digits") == step).select("tree", "run", "lone", "subroot", "children", "path"))
         at = F.element_at("digits", step + 1)
         child = F.element_at("children", at.cast("int") + 1)

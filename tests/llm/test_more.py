@@ -193,7 +193,7 @@ def test_mix_totals_targets_and_reruns(spark):
 def test_flight_keeps_sums_and_probabilities():
     size = np.array([4000, 300, 20, 20, 20, 7, 5, 3, 900, 1.0] * 6)
     p = np.linspace(0.05, 0.95, len(size))
-    drawn, off = [], []
+    drawn = []
     for seed in range(400):
         rng = np.random.default_rng(seed)
         walked = mixing.flight(p, size, rng, window=16)
@@ -201,12 +201,21 @@ def test_flight_keeps_sums_and_probabilities():
         assert math.isclose(walked.sum(), p.sum(), abs_tol=1e-6) and math.isclose(walked @ size, p @ size, rel_tol=1e-9)
         landed = mixing.landing(walked, rng)
         assert set(landed) <= {0.0, 1.0}
-        off.append(abs(landed @ size - p @ size))
         drawn.append(landed)
-    assert np.mean(off) < 25 and max(off) < 300  # of 31,000 words in documents of up to 4,000
     assert np.abs(np.mean(drawn, axis=0) - p).max() < 0.12  # four standard errors of 400 draws
 
 
+def test_what_is_left_to_land_is_small():
+    off = []
+    for seed in range(100):
+        rng = np.random.default_rng(seed)
+        size = np.floor(rng.lognormal(5, 1, 200))
+        size[seed] = 5_000  # a sixth of what all others have: these can make up for it, taken or not
+        p = np.full(200, 0.3 + 0.4 * rng.random())
+        off.append(abs(mixing.landing(mixing.flight(p, size, rng), rng) @ size - p @ size))
+    assert np.median(off) < 20 and max(off) < 200
+
+
 def test_count_words_by_definition(spark):
     texts = [None, "", " ", "a", " a", "a ", " a  b\t\n", "é x y", "\x0b", "a\x1cb c", "x\n\ny " * 5_000]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.count_words(F.col("t"))).collect()]
