@@ -153,10 +153,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and digest of its ids, and whether decoding them gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = docs.select("doc_id", "text", pieces.encode(F.col("text")).alias("ids"))
-    back = coded.select("doc_id", "text", "ids", pieces.decode(F.col("ids")).alias("back"))
-    return back.select(
-        "doc_id",
+    return pieces.transcode(docs).select(
+        F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_ids"),
         F.xxhash64("ids").alias("ids_xxhash64"),
         (F.col("back") == F.replace("text", F.lit(pieces.BLANK), F.lit(" "))).alias("round_trip"),

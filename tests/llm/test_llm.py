@@ -314,3 +314,20 @@ def test_simhash_cuts_a_large_shard_of_near_copies(spark, monkeypatch):
     ends = np.array([(place[a], place[b]) for a, b in simhash.links(df).collect()])
     simhash._merge(joined, ends[:, 0], ends[:, 1])
     assert (joined == want).all() and 1 < len(np.unique(want)) < len(values) - 2000
+
+
+def test_pieces_in_one_pass(odd, empty, monkeypatch):
+    """Ids and texts back equal those of the columns, whatever the blocks and however little is remembered."""
+    apart = odd.select("doc_id", pieces.encode(F.col("text")).alias("ids"))
+    want = sorted(apart.select("doc_id", "ids", pieces.decode(F.col("ids")).alias("back")).collect(), key=str)
+    for together, size, words in ((2_000, 8_000_000, 250_000), (2, 100, 3)):
+        for name, value in (("TOGETHER", together), ("BYTES", size), ("REMEMBERED", words), ("PAIRS", words)):
+            monkeypatch.setattr(pieces, name, value)
+        got = pieces.transcode(odd)
+        assert got.columns == ["id", "text", "ids", "back"]
+        assert sorted(got.select(F.col("id").alias("doc_id"), "ids", "back").collect(), key=str) == want
+    assert pieces.transcode(empty).count() == 0
+    t = pieces.Transducer(pieces.default_path())
+    texts = [f"w{i * 7 % 50} longer{i % 13}é end" for i in range(200)]
+    once = [t.encode([x])[0].tolist() for x in texts]
+    assert once == [x.tolist() for x in pieces.Transducer(pieces.default_path()).encode(texts)]
