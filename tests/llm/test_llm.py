@@ -168,12 +168,54 @@ def test_embedding_cells_meet_every_pair():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(800, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    met = np.zeros((800, 800), bool)
-    for _, home, guest in embeddings.visits(x, embeddings.centres(x, 20), np.sqrt(0.2)):
-        met[np.ix_(home, np.concatenate([home, guest]))] = True
+    home, to = embeddings.visits(x, embeddings.centres(x, 20), np.sqrt(0.2), None)
+    met = home[:, None] == home[None, :]
+    for i, cells in enumerate(to):
+        met[i] |= np.isin(home, cells)
     assert not ((x @ x.T >= 0.9) & ~(met | met.T)).any()
 
 
+def planted(n, dim, cosines, rng):
+    """Vectors, and for each a partner at a given cosine."""
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(n, dim))
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return x, cosines[:, None] * x + np.sqrt(1 - cosines**2)[:, None] * y
+
+
+def test_embedding_recall_against_brute_force(spark, monkeypatch):
+    """Ids divisible by 50 against all rows, in many more cells than are visited, with partners from just linked to nearly equal."""
+    monkeypatch.setattr(embeddings, "PER_CELL", 40)
+    monkeypatch.setattr(embeddings, "HOMES", 64)
+    monkeypatch.setattr(embeddings, "GUESTS", 128)
+    rng = np.random.default_rng(4)
+    x, y = planted(2_000, 32, rng.uniform(0.901, 0.99, 2_000), rng)
+    z = np.empty((4_000, 32))
+    z[::2], z[1::2] = x, y
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(np.float32(z))], "vec_id long, embedding array<float>")
+    u = np.float32(z).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hit = u @ u.T >= 0.9
+    np.fill_diagonal(hit, False)
+    for probes, least in ((embeddings.PROBES, 0.95), (None, 1.0)):
+        got = {r["vec_id"]: r for r in embeddings.near_duplicates(df, probes=probes).collect()}
+        asked = range(0, 4_000, 50)
+        found, all_ = sum(got[i]["n_links"] for i in asked), int(hit[asked].sum())
+        assert all_ >= 80 and least * all_ <= found <= all_
+        assert all(got[i]["n_links"] <= hit[i].sum() for i in range(4_000))
+        if probes is None:
+            assert [got[i]["n_links"] for i in range(4_000)] == hit.sum(axis=1).tolist()
+
+
+def test_embeddings_of_extreme_size(spark):
+    data = [(0, [1e200, 1e200]), (1, [1e200, 1.0000001e200]), (2, [3e-200, 3e-200]), (3, [1.0, 0.01]), (4, [1.0, 0.0]), (5, [5e-324, 0.0]), (6, [-1e308, -1e308])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (2, 3), 4: (2, 3), 5: (2, 3), 6: (0, 6)}
+
+
 def test_packing_round_trip(docs, odd):
     for df in (docs.select("doc_id", "text"), odd.where("doc_id <> 4").select("doc_id", "text")):
         encoder, got = Encoder.of(default_path()), packing.pack(df, with_ids=True).toPandas()
