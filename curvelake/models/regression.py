@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 
 from ..functions.likelihood import LOG_2PI, rate_at
 from ..functions.scalars import ColumnLike, as_col, quoted
-from ..operators.joins import attach_scalars, join_on_keys
+from ..operators.joins import attach_scalars, fresh, join_on_keys
 
 COEF_SCHEMA = "model string, term int, value double"
+FIT_SCHEMA = f"{COEF_SCHEMA}, cheb double, lo double, hi double, dropped int"
+
+#: Directions of the normal matrix below this share of its largest eigenvalue cannot be told from rounding.
+RANK_CUT = 1e-13
 
 
 # --- features -------------------------------------------------------------------------
@@ -137,8 +141,19 @@ def _times(matrices: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 def solve_ols(mo: Moments, m: int, alpha: float = 0.0) -> np.ndarray:
     """Least squares for every group of the batch: one row of power coefficients each."""
-    inverse = np.linalg.pinv(mo.gram(m), rcond=1e-13, hermitian=True)
-    return _times(mo.bases(_chebyshev_basis, m), _times(inverse, mo.ty[:, : m + 1]))
+    return _times(mo.bases(_chebyshev_basis, m), _ols_chebyshev(mo, m)[0])
+
+
+def _ols_chebyshev(mo: Moments, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least squares in the mapped Chebyshev basis, and how many directions per group the rows do not settle.
+
+    These are left out, so the coefficients are the shortest among those that fit best.
+    """
+    values, vectors = np.linalg.eigh(mo.gram(m))
+    known = values > RANK_CUT * np.abs(values).max(axis=1, keepdims=True)
+    inverse = np.where(known, 1 / np.where(known, values, 1.0), 0.0)
+    along = np.einsum("gji,gj->gi", vectors, mo.ty[:, : m + 1])
+    return _times(vectors, inverse * along), (~known).sum(axis=1)
 
 
 def solve_ridge(mo: Moments, m: int, alpha: float) -> np.ndarray:
@@ -231,7 +246,11 @@ SOLVERS = {"linear": solve_ols, "ridge": solve_ridge, "lasso": solve_lasso}
 def fit_many(
     df: DataFrame, x: str, y: str, specs: Mapping[str, tuple[str, int, float]], by: str | None = None
 ) -> DataFrame:
-    """Many models per group from the same moments, as (group, model, term, value).
+    """Many models per group from the same moments, as (group, model, term, value, cheb, lo, hi, dropped).
+
+    ``value`` is the coefficient of x^term. ``cheb`` is that of the Chebyshev polynomial T_term of x mapped from the group's [lo, hi] to [-1, 1]; it is
+    what :func:`predict` uses, as powers of x far from 0 cancel each other. ``dropped`` is the number of directions that a group's rows
+    do not settle (too few different x for the degree). A penalty acts on powers of x, so penalised models are solved in them and then rewritten.
 
     ``specs`` maps a model name to (kind, degree, alpha) with kind ``linear``, ``ridge`` or
     ``lasso``. One pass over the data serves all of them. The small systems are solved where the
@@ -248,21 +267,31 @@ def fit_many(
                 pdf["n"].to_numpy(float), np.stack(pdf["t"]), np.stack(pdf["ty"]), pdf["lo"].to_numpy(float), pdf["hi"].to_numpy(float)
             )
             for name, (kind, m, alpha) in specs.items():
-                values = SOLVERS[kind](mo, m, alpha)
+                cheb, dropped = _ols_chebyshev(mo, m)
+                if kind == "linear":
+                    values = _times(mo.bases(_chebyshev_basis, m), cheb)
+                else:
+                    values = SOLVERS[kind](mo, m, alpha)
+                    cheb = _times(mo.bases(_power_basis, m), values)
+                each = lambda column: np.repeat(column, m + 1)
                 yield pd.DataFrame(
                     {
-                        "group": np.repeat(pdf["group"].to_numpy(), m + 1),
+                        "group": each(pdf["group"].to_numpy()),
                         "model": name,
                         "term": np.tile(np.arange(m + 1), len(pdf)),
                         "value": values.ravel(),
+                        "cheb": cheb.ravel(),
+                        "lo": each(mo.lo),
+                        "hi": each(mo.hi),
+                        "dropped": each(dropped),
                     }
                 )
 
-    return moments.mapInPandas(solve, f"group {group_type}, {COEF_SCHEMA}")
+    return moments.mapInPandas(solve, f"group {group_type}, {FIT_SCHEMA}")
 
 
 def fit_ols(df: DataFrame, x: str, y: str, m: int = 1, model: str = "linear") -> DataFrame:
-    """Least-squares polynomial: coefficients of 1, x, ..., x^m as (model, term, value)."""
+    """Least-squares polynomial, as :func:`fit_many` gives it, without groups."""
     return fit_many(df, x, y, {model: ("linear", m, 0.0)}).drop("group")
 
 
@@ -274,27 +303,51 @@ def fit_lasso(df: DataFrame, x: str, y: str, m: int = 1, alpha: float = 0.1, mod
     return fit_many(df, x, y, {model: ("lasso", m, alpha)}).drop("group")
 
 
+def powers(coefs: DataFrame) -> DataFrame:
+    """The coefficients of 1, x, ..., x^m alone: (group, if there are groups,) model, term, value."""
+    return coefs.drop("cheb", "lo", "hi", "dropped")
+
+
 def horner(coefs: Column, x: Column) -> Column:
     """Polynomial value from an array of coefficients, constant term first."""
     return F.aggregate(F.reverse(coefs), F.lit(0.0), lambda acc, c: acc * x + c)
 
 
+def clenshaw(coefs: Column, u: Column) -> Column:
+    """Sum of coefs[k] T_k(u) by Clenshaw's recurrence."""
+    none = F.struct(F.lit(0.0).alias("now"), F.lit(0.0).alias("before"))
+    step = lambda s, c: F.struct((F.lit(2.0) * u * s["now"] - s["before"] + c).alias("now"), s["now"].alias("before"))
+    return F.aggregate(F.reverse(coefs), none, step, lambda s: s["now"] - u * s["before"])
+
+
 def predict(
     df: DataFrame, coefs: DataFrame, x: str, name: str = "yhat", by: str | None = None
 ) -> DataFrame:
     """Fitted values of one model (or of one model per group, matched on ``group``).
 
-    The coefficients of a model are a handful of numbers by construction.
+    The coefficients of a model are a handful of numbers by construction. Fits are evaluated in their own Chebyshev basis; a table of (term, value) alone
+    is taken as powers of x.
     """
+    stable = {"cheb", "lo", "hi"} <= set(coefs.columns)
     arranged = F.transform(
-        F.array_sort(F.collect_list(F.struct("term", "value"))), lambda s: s["value"]
+        F.array_sort(F.collect_list(F.struct("term", F.col("cheb" if stable else "value").alias("value")))), lambda s: s["value"]
     )
+    held, low, high, mapped = (fresh(k) for k in ("coefs", "lo", "hi", "unit"))
+    needed = {held: arranged} | ({low: F.max("lo"), high: F.max("hi")} if stable else {})
     if by is None:
-        with_coefs = attach_scalars(df, coefs, _coefs=arranged)
+        with_coefs = attach_scalars(df, coefs, **needed)
     else:
-        tables = coefs.groupBy(F.col("group").alias(by)).agg(arranged.alias("_coefs"))
+        tables = coefs.groupBy(F.col("group").alias(by)).agg(*(c.alias(k) for k, c in needed.items()))
         with_coefs = join_on_keys(df, tables, [by], "left")
-    return with_coefs.withColumn(name, horner(F.col("_coefs"), F.col(quoted(x)).cast("double"))).drop("_coefs")
+    at = F.col(quoted(x)).cast("double")
+    if stable:
+        lo, hi = F.col(low), F.col(high)
+        wide = hi > lo
+        unit = (F.lit(2.0) * at - lo - hi) / F.when(wide, hi - lo).otherwise(F.lit(1.0))
+        # one different x: the basis is that of a range of 1 around it
+        with_coefs = with_coefs.withColumn(mapped, F.when(wide, unit).otherwise(F.lit(2.0) * (at - lo)))
+        return with_coefs.withColumn(name, clenshaw(F.col(held), F.col(mapped))).drop(*needed, mapped)
+    return with_coefs.withColumn(name, horner(F.col(held), at)).drop(*needed)
 
 
 def evaluate(df: DataFrame, y: ColumnLike, yhat: ColumnLike) -> DataFrame:

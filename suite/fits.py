@@ -58,7 +58,7 @@ def _terms(name, a, b, src):
 
 @query("fit_line", "M3", f"WITH {ITEMS_SQL} " + _terms("linear", "regr_intercept(y, x)", "regr_slope(y, x)", "i"))
 def _(spark, d):
-    return m.fit_ols(items(spark, d), "x", "y", 1).withColumn("value", r("value"))
+    return m.powers(m.fit_ols(items(spark, d), "x", "y", 1)).withColumn("value", r("value"))
 
 
 @query(
@@ -84,7 +84,7 @@ RIDGE_SQL = """s AS (SELECT {g}avg(x) AS mx, avg(y) AS my, regr_sxx(y, x) AS sxx
     f"WITH {ITEMS_SQL}, {RIDGE_SQL.format(g='', by='', alpha=50000, lasso=0)} " + _terms("ridge", "my - ridge * mx", "ridge", "w"),
 )
 def _(spark, d):
-    return m.fit_ridge(items(spark, d), "x", "y", 1, 50000.0).withColumn("value", r("value"))
+    return m.powers(m.fit_ridge(items(spark, d), "x", "y", 1, 50000.0)).withColumn("value", r("value"))
 
 
 @query(
@@ -93,7 +93,7 @@ def _(spark, d):
     f"WITH {ITEMS_SQL}, {RIDGE_SQL.format(g='', by='', alpha=0, lasso=20)} " + _terms("lasso", "my - lasso * mx", "lasso", "w"),
 )
 def _(spark, d):
-    return m.fit_lasso(items(spark, d), "x", "y", 1, 20.0).withColumn("value", r("value"))
+    return m.powers(m.fit_lasso(items(spark, d), "x", "y", 1, 20.0)).withColumn("value", r("value"))
 
 
 SPECS = {"linear": ("linear", 1, 0.0), "ridge": ("ridge", 1, 5000.0), "lasso": ("lasso", 1, 5.0)}
@@ -110,7 +110,7 @@ SPECS = {"linear": ("linear", 1, 0.0), "ridge": ("ridge", 1, 5000.0), "lasso": (
     ),
 )
 def _(spark, d):
-    return m.fit_many(items(spark, d), "x", "y", SPECS, "l_returnflag").withColumn("value", r("value"))
+    return m.powers(m.fit_many(items(spark, d), "x", "y", SPECS, "l_returnflag")).withColumn("value", r("value"))
 
 
 @query("fit_degree_9_with_penalties", "M6 M3 M4 M5 A21 U2")
@@ -166,6 +166,54 @@ def _(spark, d):
     return out.select(r("mse").alias("mse"))
 
 
+def narrow(spark, d):
+    """Prices moved to a range of about 1 for each return flag, a thousand and more from 0."""
+    away = F.lit(1000.0) * (1 + F.ascii("l_returnflag") % 3)
+    at = (away + F.col("l_extendedprice").cast("double") / F.lit(100000.0)).alias("x")
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", at, F.col("l_quantity").cast("double").alias("y"))
+
+
+def _narrow_sql(degree: int) -> str:
+    """Least squares by orthogonal polynomials of the centred x, one three-term step per degree, per group."""
+    ctes = [
+        f"""q0 AS (SELECT l_orderkey, l_linenumber, g, y, x - avg(x) OVER (PARTITION BY g) AS x, 1.0::DOUBLE AS p, 0.0::DOUBLE AS b4, 1.0::DOUBLE AS n4,
+            0.0::DOUBLE AS yhat FROM (SELECT l_orderkey, l_linenumber, l_returnflag AS g, l_quantity::DOUBLE AS y,
+            1000.0::DOUBLE * (1 + ascii(l_returnflag) % 3) + l_extendedprice::DOUBLE / 100000.0::DOUBLE AS x FROM lineitem))"""
+    ]
+    for k in range(degree + 1):
+        ctes.append(
+            f"""s{k} AS (SELECT g, sum(p * p) AS nn, sum(x * p * p) / sum(p * p) AS a, sum(y * p) / sum(p * p) AS c FROM q{k} GROUP BY g),
+            q{k + 1} AS (SELECT l_orderkey, l_linenumber, g, y, x, (x - a) * p - {"0" if k == 0 else "nn / n4"} * b4 AS p, p AS b4, nn AS n4, yhat + c * p AS yhat
+                FROM q{k} JOIN s{k} USING (g))"""
+        )
+    return f"WITH {', '.join(ctes)} SELECT l_orderkey, l_linenumber, {R('yhat', 5)} AS yhat FROM q{degree + 1}"
+
+
+@query("predict_narrow_groups_5", "M7 M6", _narrow_sql(5))
+def _(spark, d):
+    data = narrow(spark, d)
+    coefs = m.fit_many(data, "x", "y", {"linear": ("linear", 5, 0.0)}, "l_returnflag")
+    return m.predict(data, coefs, "x", by="l_returnflag").select("l_orderkey", "l_linenumber", r("yhat", 5).alias("yhat"))
+
+
+@query("predict_narrow_groups_9", "M7 M6", _narrow_sql(9))
+def _(spark, d):
+    data = narrow(spark, d)
+    coefs = m.fit_many(data, "x", "y", {"linear": ("linear", 9, 0.0)}, "l_returnflag")
+    return m.predict(data, coefs, "x", by="l_returnflag").select("l_orderkey", "l_linenumber", r("yhat", 5).alias("yhat"))
+
+
+@query(
+    "fit_dropped_rank",
+    "M6 M3",
+    f"""WITH {ITEMS_SQL} SELECT l_orderkey AS "group", greatest(0, 4 - count(DISTINCT x))::INTEGER AS dropped FROM i GROUP BY l_orderkey""",
+)
+def _(spark, d):
+    """An order has a few lines: a cubic is not settled by fewer than four different x."""
+    coefs = m.fit_many(items(spark, d), "x", "y", {"cubic": ("linear", 3, 0.0)}, "l_orderkey")
+    return coefs.groupBy("group").agg(F.max("dropped").alias("dropped"))
+
+
 # --- gradient descent -----------------------------------------------------------------
 
 EXPONENTIAL = {"kind": "exponential", "rate": 0.2, "decay": 0.96, "steps": 10}

@@ -318,6 +318,34 @@ def test_grouped_fits_with_ranges_apart(spark):
             assert far.agg(F.max(F.abs(F.col("yhat") - F.col("y")))).first()[0] < bound
 
 
+@pytest.mark.parametrize("degree", [3, 5, 9])
+def test_predictions_far_from_zero(spark, degree):
+    """A narrow range of x around 1000: as good as the same fit on centred x."""
+    rng = np.random.default_rng(3)
+    x = rng.uniform(1000, 1001, 400)
+    y = np.sin(6 * x) + 1.5 * rng.normal(size=400)
+    df = spark.createDataFrame([("g", float(a), float(b)) for a, b in zip(x, y)], "g string, x double, y double")
+    u = 2 * (x - x.min()) / np.ptp(x) - 1
+    basis = np.polynomial.chebyshev.chebvander(u, degree)
+    want = basis @ np.linalg.lstsq(basis, y, rcond=None)[0]
+    for fitted, by in ((m.fit_ols(df, "x", "y", degree), None), (m.fit_many(df, "x", "y", {"m": ("linear", degree, 0.0)}, "g"), "g")):
+        got = {r["x"]: r["yhat"] for r in m.predict(df, fitted, "x", by=by).collect()}
+        assert [got[a] for a in x] == pytest.approx(want.tolist(), abs=1e-8)
+
+
+def test_dropped_directions_are_reported(spark):
+    rows = [("one", 7.0, 1.0), ("one", 7.0, 3.0), ("two", 1.0, 1.0), ("two", 2.0, 5.0), ("four", 0.0, 0.0), ("four", 1.0, 1.0), ("four", 2.0, 8.0), ("four", 3.0, 27.0), (None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    fits = m.fit_many(df, "x", "y", {"m": ("linear", 3, 0.0)}, "g")
+    assert {(r["group"], r["dropped"]) for r in fits.collect()} == {("one", 3), ("two", 2), ("four", 0), (None, 3)}
+    got = {(r["g"], r["x"]): r["yhat"] for r in m.predict(df, fits, "x", by="g").collect()}
+    want = {("one", 7.0): 2.0, ("two", 1.0): 1.0, ("two", 2.0): 5.0, (None, 1.0): 1.0} | {("four", v): v**3 for v in (0.0, 1.0, 2.0, 3.0)}
+    assert got == pytest.approx(want, abs=1e-8)
+    assert m.powers(fits).columns == ["group", "model", "term", "value"]
+    by_powers = {(r["g"], r["x"]): r["yhat"] for r in m.predict(df, m.powers(fits), "x", by="g").collect()}
+    assert by_powers == pytest.approx(want, abs=1e-6)
+
+
 def test_keys_stay_in_the_jvm(spark):
     big = 2**53 + 1
     df = spark.createDataFrame([(big, 0.5, 0.25), (None, 0.1, 0.2)], "id long, x double, z double")
