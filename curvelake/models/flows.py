@@ -8,11 +8,10 @@ chain is its own projection, so no value is computed twice.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import astuple, dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,30 +128,47 @@ def latent_path(df: DataFrame, x_from: str, x_to: str, chain: Chain, k: int) ->
 
 # --- fitting --------------------------------------------------------------------------
 
-def _gradient(x: np.ndarray, weight: np.ndarray, params: np.ndarray) -> np.ndarray:
-    """Sum of log densities and its gradient by (shift, scale, skew, tail) of each block."""
-    v, trail, log_p = x, [], np.zeros_like(x)
-    for shift, scale, skew, tail in params:
-        u = (v - shift) / scale
-        bent = np.arcsinh(u) / tail - skew
-        v = np.sinh(bent)
-        log_p += -np.log(abs(scale)) - np.log(abs(tail)) + np.logaddexp(bent, -bent) - np.log(2.0)
-        log_p -= 0.5 * np.log1p(u * u)
-        trail.append((u, bent))
-    log_p += -0.5 * LOG_2PI - 0.5 * v * v
-    slopes, down = np.zeros_like(params), -v
+#: Rows of the fits' histories.
+HISTORY = "model string, step int, loss double"
+CONVERGED = f"{HISTORY}, gradient double, passes int, stopped string"
+
+
+def flow_slopes(data: DataFrame, x: str, params: np.ndarray) -> np.ndarray:
+    """Mean log density and its slopes by (shift, scale, skew, tail) of each block, in one aggregation over ``data``.
+
+    The chain rule is written out in Columns, one projection per block: forward through the blocks, then back.
+    """
+    log_p, sums = F.lit(0.0), []
+    out = data.select(F.col(quoted(x)).alias("v0"))
+    at = lambda i, k: F.lit(float(params[i][k]))
+    for i in range(len(params)):
+        # what is repeated within a projection is computed once
+        u = (F.col(f"v{i}") - at(i, 0)) / at(i, 1)
+        a = asinh(u)
+        t = a / at(i, 3) - at(i, 2)
+        out = out.withColumns({f"u{i}": u, f"a{i}": a, f"t{i}": t, f"v{i + 1}": F.sinh(t)})
+        log_p = log_p + log_cosh(F.col(f"t{i}")) - F.lit(0.5) * F.log1p(F.col(f"u{i}") * F.col(f"u{i}"))
+    last = F.col(f"v{len(params)}")
+    sums.append(F.avg(log_p - F.lit(0.5) * last * last))
+    down = -last
     for i in range(len(params) - 1, -1, -1):
-        (u, bent), (_, scale, _, tail) = trail[i], params[i]
-        d_bent = down * np.cosh(bent) + np.tanh(bent)
-        d_u = d_bent / (tail * np.sqrt(1 + u * u)) - u / (1 + u * u)
-        slopes[i] = (
-            -(weight @ d_u) / scale,
-            -(weight @ (d_u * u)) / scale - weight.sum() / scale,
-            -(weight @ d_bent),
-            -(weight @ (d_bent * np.arcsinh(u))) / tail**2 - weight.sum() / tail,
-        )
-        down = d_u / scale
-    return np.concatenate([[weight @ log_p], slopes.ravel()])
+        u, t = F.col(f"u{i}"), F.col(f"t{i}")
+        d = down * F.cosh(t) + F.tanh(t)
+        out = out.withColumns({f"d{i}": d, f"w{i}": d / (at(i, 3) * F.sqrt(F.lit(1.0) + u * u)) - u / (F.lit(1.0) + u * u)})
+        down = F.col(f"w{i}") / at(i, 1)
+    for i in range(len(params)):
+        u, a, d, w = (F.col(f"{k}{i}") for k in "uadw")
+        sums += [F.avg(w), F.avg(w * u), F.avg(d), F.avg(d * a)]
+    means = np.array([np.nan if s is None else s for s in out.agg(*(s.alias(f"s{k}") for k, s in enumerate(sums))).first()])
+    _, scale, _, tail = params.T
+    mean = means[0] - 0.5 * LOG_2PI - np.log(np.abs(scale)).sum() - np.log(np.abs(tail)).sum()
+    slope = means[1:].reshape(params.shape)
+    by_block = np.column_stack([-slope[:, 0] / scale, -(slope[:, 1] + 1) / scale, -slope[:, 2], -slope[:, 3] / tail**2 - 1 / tail])
+    return np.concatenate([[mean], by_block.ravel()])
+
+
+def _values(df: DataFrame, x: str) -> DataFrame:
+    return df.select(F.col(quoted(x)).cast("double").alias("_x")).dropna()
 
 
 def fit_flow(
@@ -164,38 +180,108 @@ def fit_flow(
     start: Chain | None = None,
     model: str = "flow",
 ) -> tuple[list[Block], DataFrame]:
-    """Gradient descent on the mean negative log density; returns the chain and loss history.
+    """A fixed number of gradient steps on the mean negative log density; returns the chain and the loss before each step.
 
-    Equal values are merged into weighted rows once and kept for all steps. Every step adds up
-    1 + 4 * blocks numbers over the table. Scale the data to about unit size first.
+    Every step is one aggregation of 1 + 4 * blocks numbers. Scale the data to about unit size first. :func:`fit_flow_converged`
+    needs far fewer passes and says when it is done.
     """
     schedule = schedule or {"kind": "constant", "rate": 0.01}
     params = np.array([astuple(b) for b in (start or [Block()] * blocks)], dtype=float)
-    data = (
-        df.select(F.col(quoted(x)).cast("double").alias("_x"))
-        .dropna()
-        .groupBy("_x")
-        .agg(F.count("*").cast("double").alias("_w"))
-        .persist()
-    )
-    history = []
+    data, history = _values(df, x).persist(), []
     try:
-        n = data.agg(F.sum("_w")).first()[0]
         for step in range(steps):
-
-            def partial(batches: Iterator[pd.DataFrame], now=params) -> Iterator[pd.DataFrame]:
-                total = None
-                for pdf in batches:
-                    part = _gradient(pdf["_x"].to_numpy(), pdf["_w"].to_numpy(), now)
-                    total = part if total is None else total + part
-                if total is not None:
-                    yield pd.DataFrame({"k": np.arange(len(total)), "v": total})
-
-            rows = data.mapInPandas(partial, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-            total = np.array([r["v"] for r in sorted(rows, key=lambda r: r["k"])]) / n
+            total = flow_slopes(data, "_x", params)
             history.append((model, step, float(-total[0])))
             params = params + rate_at(step, schedule) * total[1:].reshape(params.shape)
     finally:
         data.unpersist()
     chain = [Block(*map(float, p)) for p in params]
-    return chain, df.sparkSession.createDataFrame(history, "model string, step int, loss double")
+    return chain, df.sparkSession.createDataFrame(history, HISTORY)
+
+
+def fit_flow_converged(
+    df: DataFrame,
+    x: str,
+    blocks: int = 5,
+    tolerance: float = 1e-4,
+    passes: int = 300,
+    patience: int | None = None,
+    min_delta: float = 0.0,
+    start: Chain | None = None,
+    model: str = "flow",
+) -> tuple[list[Block], DataFrame]:
+    """Least mean negative log density by a quasi-Newton method (BFGS); returns the chain and a history.
+
+    A pass over the table gives the loss and all slopes at once; steps are searched until they lower the loss enough and the slope along
+    them has turned (weak Wolfe conditions). It stops when no slope of the mean loss, by (shift, ln scale, skew, ln tail) of any block, is above
+    ``tolerance``, or when the loss has fallen by less than ``min_delta`` over ``patience`` points (a chain can have no best point: where the
+    density has an edge, more blocks sharpen it for ever). The history has a row per accepted point: loss, the largest slope, passes so far, and on the last row why it
+    stopped: ``gradient``, ``patience``, ``passes`` or ``no descent``. Rows with null are left out; a table without values has a null loss and stops
+    with ``no rows``. Scale the data to about unit size first.
+    """
+    first = np.array([astuple(b) for b in (start or [Block()] * blocks)], dtype=float)
+    at = np.column_stack([first[:, 0], np.log(first[:, 1]), first[:, 2], np.log(first[:, 3])]).ravel()
+    used = 0
+    data, history = _values(df, x).persist(), []
+
+    def block_params(flat: np.ndarray) -> np.ndarray:
+        shift, scale, skew, tail = flat.reshape(-1, 4).T
+        return np.column_stack([shift, np.exp(scale), skew, np.exp(tail)])
+
+    def look(flat: np.ndarray) -> tuple[float, np.ndarray]:
+        nonlocal used
+        used += 1
+        params = block_params(flat)
+        total = flow_slopes(data, "_x", params)
+        slope = -total[1:].reshape(params.shape) * np.column_stack([np.ones(len(params)), params[:, 1], np.ones(len(params)), params[:, 3]])
+        return (float(-total[0]), slope.ravel()) if np.isfinite(total).all() else (math.inf, slope.ravel())
+
+    try:
+        loss, slope = look(at)
+        hessian, scaled, why = np.eye(len(at)), False, None
+        if not math.isfinite(loss):
+            history.append((model, 0, None, None, used, "no rows" if data.isEmpty() else "no descent"))
+        while math.isfinite(loss) and why is None:
+            size = float(np.abs(slope).max())
+            waited = patience is not None and len(history) >= patience and history[-patience][2] - loss < min_delta
+            why = "gradient" if size <= tolerance else "patience" if waited else "passes" if used >= passes else None
+            history.append((model, len(history), loss, size, used, why))
+            if why:
+                break
+            way = -hessian @ slope
+            if way @ slope >= 0:
+                hessian, way = np.eye(len(at)), -slope
+            step, low, high = (1.0 if scaled else min(1.0, 0.2 / size)), 0.0, math.inf
+            found = None
+            while used < passes:
+                new = at + step * way
+                new_loss, new_slope = look(new)
+                if new_loss > loss + 1e-4 * step * (way @ slope):
+                    high = step
+                elif new_slope @ way < 0.9 * (way @ slope):
+                    low, found = step, (new, new_loss, new_slope)
+                else:
+                    found = (new, new_loss, new_slope)
+                    break
+                step = (low + high) / 2 if math.isfinite(high) else 2 * low
+                if math.isfinite(high) and high - low < 1e-10 * max(1.0, high):
+                    break
+            if found is None:
+                if used < passes and (hessian != np.eye(len(at))).any():
+                    hessian, scaled = np.eye(len(at)), False
+                    history.pop()
+                    continue
+                history[-1] = (*history[-1][:5], "passes" if used >= passes else "no descent")
+                break
+            moved, turned = found[0] - at, found[2] - slope
+            at, loss, slope = found
+            bend = moved @ turned
+            if bend > 1e-12:
+                if not scaled:
+                    hessian, scaled = np.eye(len(at)) * (bend / (turned @ turned)), True
+                keep = np.eye(len(at)) - np.outer(moved, turned) / bend
+                hessian = keep @ hessian @ keep.T + np.outer(moved, moved) / bend
+    finally:
+        data.unpersist()
+    chain = [Block(*map(float, p)) for p in block_params(at)]
+    return chain, df.sparkSession.createDataFrame(history, CONVERGED)

@@ -1,8 +1,8 @@
 """Training of small dense nets, with the rows spread over the cluster.
 
 Each step sends the present weights to the tasks; a task adds up the gradient of its own
-rows, Spark adds the tasks' sums, and the driver moves the weights. What comes to the driver
-has the size of the net.
+rows and the loss of those held out, Spark adds the tasks' sums, and the driver moves the weights. What comes to
+the driver has the size of the net.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..functions.draws import uniform
 from ..functions.likelihood import LOG_2PI, rate_at
 from ..functions.scalars import quoted
 
@@ -99,16 +100,14 @@ def hetero_loss(out: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
 LOSSES = {"mse": mse_loss, "hetero": hetero_loss}
 
 
-def _summed(
-    data: DataFrame, xs: Sequence[str], gradient: Callable[[np.ndarray, np.ndarray], np.ndarray]
-) -> np.ndarray:
-    """Sum over all rows of a per-batch vector; the sum is made by Spark."""
+def _summed(data: DataFrame, xs: Sequence[str], of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum over all rows of a vector that ``of`` (inputs, target, held out) gives per batch; the sum is made by Spark."""
     names = list(xs)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
         for pdf in batches:
-            part = gradient(pdf[names].to_numpy(float), pdf["_y"].to_numpy(float))
+            part = of(pdf[names].to_numpy(float), pdf["_y"].to_numpy(float), pdf["_held"].to_numpy(bool))
             total = part if total is None else total + part
         if total is not None:
             yield pd.DataFrame({"k": np.arange(len(total)), "v": total})
@@ -120,10 +119,29 @@ def _summed(
     return out
 
 
-def _prepare(df: DataFrame, x: Sequence[str], y: str) -> DataFrame:
-    return df.select(
-        *[F.col(quoted(c)).cast("double").alias(c) for c in x], F.col(quoted(y)).cast("double").alias("_y")
-    ).dropna()
+def _prepare(df: DataFrame, x: Sequence[str], y: str, key: str | None, held: bool) -> DataFrame:
+    """Inputs, target, key and whether the row is held out; rows without an input or the target are left out."""
+    numbers = [F.col(quoted(c)).cast("double").alias(c) for c in x]
+    keyed = (F.col(quoted(key)) if key else F.lit(None).cast("string")).alias("_key")
+    rows = df.select(*numbers, F.col(quoted(y)).cast("double").alias("_y"), keyed, F.lit(held).alias("_held"))
+    return rows.dropna(subset=[*(quoted(c) for c in x), "_y"])
+
+
+@dataclass(frozen=True)
+class Stopping:
+    """Training ends when the watched loss, of the held-out rows if there are any, has not fallen by ``min_delta`` for ``patience`` steps."""
+
+    patience: int
+    min_delta: float = 0.0
+
+
+@dataclass(frozen=True)
+class Batches:
+    """Each step takes the share of the rows that the hash of their key and the step picks: the same rows wherever they lie."""
+
+    key: str
+    share: float
+    seed: int = 0
 
 
 def fit_net(
@@ -137,11 +155,19 @@ def fit_net(
     l2: float = 0.0,
     validation: DataFrame | None = None,
     model: str = "net",
+    stopping: Stopping | None = None,
+    batches: Batches | None = None,
 ) -> tuple[list[Layer], DataFrame]:
-    """Full-batch gradient descent; returns the trained net and (model, step, loss, val_loss)."""
+    """Gradient descent over all rows, or over keyed batches; returns the trained net and (model, step, loss, val_loss, stopped).
+
+    A step is one job: gradient and held-out loss come from the same pass. With ``stopping`` the weights returned are those of the
+    least watched loss, and the last row says why training ended: ``patience`` or ``steps``.
+    """
     schedule = schedule or {"kind": "constant", "rate": 0.01}
     blocks = [(net, schedule, 0)]
-    return _train(df, x, y, blocks, LOSSES[loss], steps, l2, validation, model, merge=lambda outs: outs[0], join=lambda nets: nets[0])
+    return _train(
+        df, x, y, blocks, LOSSES[loss], steps, l2, validation, model, lambda outs: outs[0], lambda nets: nets[0], stopping, batches
+    )
 
 
 def fit_two_heads(
@@ -158,59 +184,84 @@ def fit_two_heads(
     l2: float = 0.0,
     validation: DataFrame | None = None,
     model: str = "two_heads",
+    stopping: Stopping | None = None,
+    batches: Batches | None = None,
 ) -> tuple[tuple[list[Layer], list[Layer]], DataFrame]:
     """Separate nets for mean and log sigma under one likelihood, each with its own learning
-    rate and its own first step; before that step its weights stay as they are."""
+    rate and its own first step; before that step its weights stay as they are. The rest is as in :func:`fit_net`."""
     blocks = [(mean_net, mean_schedule, mean_start), (sigma_net, sigma_schedule, sigma_start)]
-    return _train(df, x, y, blocks, hetero_loss, steps, l2, validation, model, merge=np.hstack, join=tuple)
+    return _train(df, x, y, blocks, hetero_loss, steps, l2, validation, model, np.hstack, tuple, stopping, batches)
 
 
-def _train(df, x, y, blocks, loss_fn, steps, l2, validation, model, merge, join):
+def _train(df, x, y, blocks, loss_fn, steps, l2, validation, model, merge, join, stopping, batches):
     nets = [n for n, _, _ in blocks]
     flats = [pack(n) for n in nets]
-    held = None if validation is None else _prepare(validation, x, y).persist()
-    data = _prepare(df, x, y).persist()
-    history = []
+    key = batches.key if batches else None
+    data = _prepare(df, x, y, key, False)
+    if validation is not None:
+        data = data.unionByName(_prepare(validation, x, y, key, True))
+    data = data.persist()
+    decay = [np.concatenate([np.r_[np.ones(la.weights.size), np.zeros(la.bias.size)] for la in net]) for net in nets]
+    history, best, waited, why = [], (np.inf, flats), 0, "steps"
     try:
-        n, n_held = data.count(), 0 if held is None else held.count()
         for step in range(steps):
             now = [unpack(net, flat) for net, flat in zip(nets, flats)]
 
-            def gradient(xs, ys, now=now):
+            def sums(xs, ys, held, now=now):
+                """Held-out rows and their loss, then rows in training, their loss and its slopes."""
+                value = loss_fn(merge([forward(net, xs[held])[-1] for net in now]), ys[held])[0]
+                xs, ys = xs[~held], ys[~held]
                 traces = [forward(net, xs) for net in now]
                 outs = [t[-1] for t in traces]
-                value, slope = loss_fn(merge(outs), ys)
+                loss, slope = loss_fn(merge(outs), ys)
                 parts, at = [], 0
                 for net, trace, out in zip(now, traces, outs):
                     parts.append(backward(net, trace, slope[:, at : at + out.shape[1]]))
                     at += out.shape[1]
-                return np.concatenate([[value], *parts])
-
-            def value_only(xs, ys, now=now):
-                return np.array([loss_fn(merge([forward(net, xs)[-1] for net in now]), ys)[0]])
-
-            total = _summed(data, x, gradient)
-            val_loss = float(_summed(held, x, value_only)[0] / n_held) if n_held else None
-            decay = [np.concatenate([np.r_[np.ones(la.weights.size), np.zeros(la.bias.size)] for la in net]) for net in now]
+                return np.concatenate([[held.sum(), value, len(ys), loss], *parts])
+
+            rows = data
+            if batches:
+                rows = data.where(F.col("_held") | (uniform("_key", F.lit(step), seed=batches.seed) < batches.share))
+            total = _summed(rows, x, sums)
+            n_held, held_loss, n = total[:3] if len(total) else (0, 0.0, 0)
+            val_loss = float(held_loss / n_held) if n_held else None
+            if not n:  # nothing to learn from in this batch, or at all
+                history.append((model, step, None, val_loss, None))
+                if not batches:
+                    why = "no rows"
+                    break
+                continue
             penalty = l2 * sum(float((d * f) @ f) for d, f in zip(decay, flats))
-            history.append((model, step, float(total[0] / n + penalty), val_loss))
-            at = 1
+            loss = float(total[3] / n + penalty)
+            history.append((model, step, loss, val_loss, None))
+            if stopping:
+                watched = loss if val_loss is None else val_loss
+                if watched < best[0] - stopping.min_delta:
+                    best, waited = (watched, flats), 0
+                else:
+                    waited += 1
+                    if waited >= stopping.patience:
+                        why = "patience"
+                        break
+            at, moved = 4, []
             for i, (_, schedule, start) in enumerate(blocks):
                 g = total[at : at + len(flats[i])] / n + 2 * l2 * decay[i] * flats[i]
                 at += len(flats[i])
-                if step >= start:
-                    flats[i] = flats[i] - rate_at(step, schedule) * g
+                moved.append(flats[i] - rate_at(step, schedule) * g if step >= start else flats[i])
+            flats = moved
     finally:
         data.unpersist()
-        if held is not None:
-            held.unpersist()
-    trained = join([unpack(net, flat) for net, flat in zip(nets, flats)])
+    if history:
+        history[-1] = (*history[-1][:4], why)
+    kept = best[1] if stopping else flats
+    trained = join([unpack(net, flat) for net, flat in zip(nets, kept)])
     return trained, loss_curve(df.sparkSession, history)
 
 
 def loss_curve(spark, history: Sequence[tuple]) -> DataFrame:
-    """Training history as a table; one row per step."""
-    return spark.createDataFrame(history, "model string, step int, loss double, val_loss double")
+    """Training history as a table; one row per step, the reason for the end on the last."""
+    return spark.createDataFrame(history, "model string, step int, loss double, val_loss double, stopped string")
 
 
 def score_net(df: DataFrame, x: Sequence[str], net: Net, outputs: Sequence[str] = ("yhat",)) -> DataFrame:

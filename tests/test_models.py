@@ -269,14 +269,14 @@ def test_flow_fit_lowers_nll_and_matches_gradient(spark):
     losses = [r["loss"] for r in history.orderBy("step").collect()]
     assert all(a > b for a, b in zip(losses, losses[1:]))
     assert losses[0] == pytest.approx(flows.flow_nll(df, "x", [flows.Block()] * 2).first()["nll"])
-    x, w = np.linspace(-2, 2, 50), np.ones(50)
+    points = spark.range(50).select((F.col("id") * 4 / 49 - 2).alias("x")).cache()
     params = np.array([[0.1, 0.9, 0.2, 1.1], [-0.2, 1.1, -0.1, 0.95]])
-    got = flows._gradient(x, w, params)[1:]
+    got = 50 * flows.flow_slopes(points, "x", params)[1:]
     for i in range(params.size):
         step = np.zeros(params.size)
         step[i] = 1e-6
-        up = flows._gradient(x, w, params + step.reshape(params.shape))[0]
-        down = flows._gradient(x, w, params - step.reshape(params.shape))[0]
+        up = 50 * flows.flow_slopes(points, "x", params + step.reshape(params.shape))[0]
+        down = 50 * flows.flow_slopes(points, "x", params - step.reshape(params.shape))[0]
         assert got[i] == pytest.approx((up - down) / 2e-6, rel=1e-4, abs=1e-5)
 
 
@@ -346,6 +346,68 @@ def test_dropped_directions_are_reported(spark):
     assert by_powers == pytest.approx(want, abs=1e-6)
 
 
+def test_flow_slopes_by_differences(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(float(v),) for v in rng.normal(size=300)], "x double")
+    params = np.array([[0.1, 0.8, 0.2, 1.1], [-0.2, 1.3, -0.1, 0.9], [0.0, 1.0, 0.0, 1.0]])
+    got = flows.flow_slopes(df, "x", params)
+    assert -got[0] == pytest.approx(flows.flow_nll(df, "x", [flows.Block(*p) for p in params]).first()[0], abs=1e-9)
+    for k in (0, 1, 2, 3, 5, 7, 11):
+        up, down = params.copy().ravel(), params.copy().ravel()
+        up[k], down[k] = up[k] + 1e-5, down[k] - 1e-5
+        slope = (flows.flow_slopes(df, "x", up.reshape(3, 4))[0] - flows.flow_slopes(df, "x", down.reshape(3, 4))[0]) / 2e-5
+        assert got[1 + k] == pytest.approx(slope, abs=1e-5)
+
+
+def test_flow_fit_converges(spark):
+    rng = np.random.default_rng(4)
+    truth = [flows.Block(0.3, 1.4, 0.5, 1.2)]
+    base = spark.createDataFrame([(float(v),) for v in rng.normal(size=4_000)] + [(None,)], "z double")
+    df = flows.flow_forward(base, "z", truth, "x")
+    chain, history = flows.fit_flow_converged(df, "x", 1, 1e-4, 200)
+    rows = history.orderBy("step").collect()
+    assert rows[-1]["stopped"] == "gradient" and rows[-1]["gradient"] <= 1e-4 and rows[-1]["passes"] <= 80
+    assert all(b["loss"] <= a["loss"] + 1e-12 for a, b in zip(rows, rows[1:]))
+    nll = flows.flow_nll(df.dropna(), "x", chain).first()[0]
+    assert rows[-1]["loss"] == pytest.approx(nll, abs=1e-9) and nll <= flows.flow_nll(df.dropna(), "x", truth).first()[0]
+    few = flows.fit_flow_converged(df, "x", 1, 1e-9, 5)[1].where("stopped IS NOT NULL").first()
+    assert (few["stopped"], few["passes"]) == ("passes", 5)
+    none = flows.fit_flow_converged(df.where("x IS NULL"), "x", 1)[1].collect()
+    assert [(r["loss"], r["stopped"]) for r in none] == [(None, "no rows")]
+
+
+def test_training_stops_and_keeps_the_best(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=600)
+    df = spark.createDataFrame([(i, float(a), float(np.tanh(2 * a) + 0.1 * b)) for i, (a, b) in enumerate(zip(x, rng.normal(size=600)))], "id long, x double, y double")
+    train, held = df.where("id % 5 > 0"), df.where("id % 5 = 0")
+    net = nets.new_net(1, [4, 1], ["tanh", "linear"], seed=2)
+    # a rate that is too high in the end: the loss rises again, and training ends
+    rising = {"kind": "constant", "rate": 1.2}
+    trained, history = nets.fit_net(train, ["x"], "y", net, "mse", rising, 200, validation=held, stopping=nets.Stopping(5, 1e-4))
+    rows = history.orderBy("step").collect()
+    assert rows[-1]["stopped"] == "patience" and len(rows) < 200 and {r["stopped"] for r in rows[:-1]} == {None}
+    out = nets.forward(trained, np.array([[r["x"]] for r in held.collect()]))[-1][:, 0]
+    best = min(r["val_loss"] for r in rows)
+    assert np.mean((out - np.array([r["y"] for r in held.collect()])) ** 2) == pytest.approx(best, abs=1e-3)
+    ended = nets.fit_net(train, ["x"], "y", net, "mse", rising, 3, stopping=nets.Stopping(5))[1].orderBy("step").collect()
+    assert [r["stopped"] for r in ended] == [None, None, "steps"]
+    assert nets.fit_net(train.limit(0), ["x"], "y", net, steps=4)[1].first()["stopped"] == "no rows"
+
+
+def test_batches_do_not_depend_on_partitions(spark):
+    df = spark.range(500).selectExpr("id", "id / 250.0 - 1 AS x", "sin(id / 80.0) AS y")
+    net = nets.new_net(1, [3, 1], ["tanh", "linear"], seed=2)
+    runs = []
+    for parts in (2, 5):
+        batches = nets.Batches("id", 0.3, 9)
+        trained, history = nets.fit_net(df.repartition(parts), ["x"], "y", net, "mse", {"kind": "constant", "rate": 0.2}, 6, batches=batches)
+        runs.append((nets.pack(trained), [r["loss"] for r in history.orderBy("step").collect()]))
+    assert runs[0][0] == pytest.approx(runs[1][0], abs=1e-10) and runs[0][1] == pytest.approx(runs[1][1], abs=1e-10)
+    full = nets.fit_net(df, ["x"], "y", net, "mse", {"kind": "constant", "rate": 0.2}, 6)[1].orderBy("step").collect()
+    assert all(abs(a - b["loss"]) > 1e-6 for a, b in zip(runs[0][1], full))
+
+
 def test_keys_stay_in_the_jvm(spark):
     big = 2**53 + 1
     df = spark.createDataFrame([(big, 0.5, 0.25), (None, 0.1, 0.2)], "id long, x double, z double")

@@ -40,12 +40,8 @@ def test_draws_have_the_reference_runs_and_points(spark, sf_dir):
         assert QUERIES[name](spark, sf_dir).count() == 1_000, name
 
 
-def test_fits_take_the_reference_steps(spark, sf_dir, monkeypatch):
-    from curvelake.models import flows, nets
-
-    taken = []
-    monkeypatch.setattr(flows, "fit_flow", lambda df, x, blocks, schedule, steps: (None, taken.append(steps)))
-    monkeypatch.setattr(nets, "_train", lambda df, x, y, blocks, loss, steps, *args, **kwargs: (None, taken.append(steps)))
-    for name in ("fit_flow_history", "net_training_history", "two_head_training_history"):
-        QUERIES[name](spark, sf_dir)
-    assert taken == [20_000, 2_000, 2_000]
+@pytest.mark.parametrize("name", ["net_training_history", "net_training_batches", "two_head_training_history", "fit_flow_history"])
+def test_fits_end_by_themselves(spark, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir).orderBy("step").collect()
+    assert [r["stopped"] for r in rows[:-1]] == [None] * (len(rows) - 1) and rows[-1]["stopped"] == "patience"
+    assert rows[-1]["loss"] < rows[0]["loss"] and len(rows) > 10
