@@ -1,11 +1,12 @@
 """Exact order statistics without gathering a group in one place.
 
-The built-in exact percentile keeps all values of a group in one buffer. Here a sketch
+The built-in exact percentile keeps all values of a group in one buffer. Here a mergeable sketch
 gives, per group and target, two values that enclose the wanted rank; one pass counts the
-rows below and inside. The rows inside (about 6 / accuracy of a group) are counted per value
-and per slice of the enclosed range, and only the slice with the wanted rank is sorted. The
+rows below and inside. The rows inside (a few thousandths of a group) are counted per value
+and per slice, cut at the sketch's quantiles, and only the slice with the wanted rank is sorted. The
 result is exact, and should a sketch miss its rank, the query fails instead of giving a
-near value.
+near value. Sketches are merged in two stages, by group and part first, so that no task merges those of all
+tasks that read a group.
 """
 
 from __future__ import annotations
@@ -15,14 +16,61 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, ShortType
 
 from ..functions.scalars import quoted
+from ..session import materialize
 from .joins import attach_scalars, join_on_keys
 
 Rank = Callable[[Column], Column]
 Target = tuple[float, Sequence[Rank]]
 
-SLICES = 256
+#: Slices of equal width, and slices cut at quantiles.
+SLICES, CUTS = 256, 64
+
+#: Parts in which the sketches of a group are merged before they meet.
+PARTS = 32
+
+
+def sketch_error(accuracy: int) -> float:
+    """Rank error that a sketch of this size keeps with 99 in 100, as a share of the rows (Karnin, Lang and Liberty 2016)."""
+    return 2.296 / accuracy**0.9021
+
+
+def sketches(data: DataFrame, value: str, keys: Sequence[Column], ranks: Sequence[Sequence[float]], accuracy: int) -> DataFrame:
+    """Per group ``_edges``: for each list of ranks the values near them, from sketches merged by part of the rows and then by group."""
+    kind: DataType = data.schema[value].dataType
+    asked = F.array(*(F.lit(float(r)) for rs in ranks for r in rs))
+    v = F.col(quoted(value))
+    if isinstance(kind, ByteType | ShortType | IntegerType | LongType):
+        make, merge, read, count = F.kll_sketch_agg_bigint, F.kll_merge_agg_bigint, F.kll_sketch_get_quantile_bigint, F.kll_sketch_get_n_bigint
+        v = v.cast("bigint")
+    elif isinstance(kind, FloatType | DoubleType):
+        # the sketch knows no NaN: it is sketched as the largest number, and an upper end there is NaN again
+        make, merge, read, count = F.kll_sketch_agg_double, F.kll_merge_agg_double, F.kll_sketch_get_quantile_double, F.kll_sketch_get_n_double
+        v = F.when(F.isnan(v), F.lit(float("inf"))).otherwise(v.cast("double"))
+    else:  # decimals and times
+        flat = data.groupBy(*keys).agg(F.percentile_approx(v, asked, accuracy).alias("_flat"))
+        return _nested(flat, ranks)
+    size = F.lit(max(8, min(accuracy, 65_535)))
+    names = [f"_k{i}" for i in range(len(keys))]
+    parted = data.select(*(k.alias(n) for k, n in zip(keys, names)), v.alias("_v"), F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part"))
+    parts = parted.groupBy(*names, "_part").agg(make("_v", size).alias("_sketch"))
+    whole = parts.groupBy(*names).agg(merge("_sketch", size).alias("_sketch"))
+    out = whole.select(*(F.col(n).alias(k) for n, k in zip(names, _names(data, keys))), F.when(count("_sketch") > 0, read("_sketch", asked)).alias("_flat"))
+    return _nested(out, ranks)
+
+
+def _names(data: DataFrame, keys: Sequence[Column]) -> list[str]:
+    return data.select(*keys).columns if keys else []
+
+
+def _nested(flat: DataFrame, ranks: Sequence[Sequence[float]]) -> DataFrame:
+    at, parts = 1, []
+    for rs in ranks:
+        parts.append(F.slice("_flat", at, len(rs)))
+        at += len(rs)
+    return flat.withColumn("_edges", F.array(*parts)).drop("_flat")
 
 
 def select_ranks(
@@ -37,17 +85,19 @@ def select_ranks(
     keys = [F.col(quoted(b)) for b in by]
     data = df.select(*keys, F.col(quoted(value)).alias("_v")).where(F.col("_v").isNotNull())
     k = len(targets)
-    # The sketch errs by at most 1/accuracy of the ranks; the bracket allows three times that.
-    slack = 3.0 / accuracy
-    edges = [max(p - slack, 0.0) for p, _ in targets] + [min(p + slack, 1.0) for p, _ in targets]
-    sketch = F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), accuracy)
-    if by:
-        framed = join_on_keys(data, data.groupBy(*keys).agg(sketch.alias("_edges")), by)
-    else:
-        framed = attach_scalars(data, data, _edges=sketch)
-    low = [F.col("_edges")[i] for i in range(k)]
-    high = [F.col("_edges")[k + i] for i in range(k)]
-    return pick_ranks(framed, targets, low, high, by)
+    # Three times the sketch's error: a rank outside is all but impossible, and would raise.
+    slack = 3.0 * sketch_error(accuracy)
+    spans = [(max(p - slack, 0.0), min(p + slack, 1.0)) for p, _ in targets]
+    ranks = [[lo + (hi - lo) * i / CUTS for i in range(CUTS + 1)] for lo, hi in spans]
+    table = materialize(sketches(data, "_v", keys, ranks, accuracy))
+    edge = lambda i, j: F.col("_edges")[i][j]
+    top = lambda c: F.when(c == float("inf"), F.lit(float("nan"))).otherwise(c)
+    wide = isinstance(data.schema["_v"].dataType, FloatType | DoubleType)
+    ends = F.array(*(edge(i, 0) for i in range(k)), *((top if wide else lambda c: c)(edge(i, CUTS)) for i in range(k)))
+    framed = join_on_keys(data, table.select(*keys, ends.alias("_ends")), by) if by else attach_scalars(data, table.select(ends.alias("_ends")), _ends=F.first("_ends"))
+    low = [F.col("_ends")[i] for i in range(k)]
+    high = [F.col("_ends")[k + i] for i in range(k)]
+    return pick_ranks(framed, targets, low, high, by, cuts=table.select(*keys, F.col("_edges").alias("_cuts")))
 
 
 def pick_ranks(
@@ -57,10 +107,12 @@ def pick_ranks(
     high: Sequence[Column],
     by: Sequence[str],
     weight: str | None = None,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """The same from rows ``_v`` that already know the ends of each target's bracket.
 
-    ``weight`` names a column that says how many equal rows a row stands for.
+    ``weight`` names a column that says how many equal rows a row stands for. ``cuts`` has per group an array of ascending
+    values for each target, ``_cuts``, at which its bracket is sliced; by default the slices are equally wide.
     """
     keys = [F.col(quoted(b)) for b in by]
     copies = F.lit(1).cast("bigint") if weight is None else F.col(weight)
@@ -98,6 +150,8 @@ def pick_ranks(
 
     # Equal values are counted together first, so a frequent value is one row from here on.
     def slice_of(i: int) -> Column:
+        if cuts is not None:
+            return F.size(F.filter(F.col("_cuts")[i], lambda e: e <= v))
         share = F.try_divide(v.cast("double") - low[i].cast("double"), high[i].cast("double") - low[i].cast("double"))
         return F.least(F.coalesce(F.floor(share * SLICES), F.lit(0)), F.lit(SLICES - 1)).cast("int")
 
@@ -112,14 +166,16 @@ def pick_ranks(
     )
     # The plain condition first: only the few rows in some bracket build arrays.
     near = functools.reduce(Column.__or__, [inside(i) for i in range(len(targets))])
+    sliced = framed.where(near)
+    if cuts is not None:  # the few rows in some bracket learn the cuts
+        sliced = join_on_keys(sliced, cuts, by) if by else attach_scalars(sliced, cuts, _cuts=F.first("_cuts"))
     valued = (
-        framed.where(near)
-        .select(*keys, "_v", copies.alias("_rows"), F.explode(hits).alias("_hit"))
+        sliced.select(*keys, "_v", copies.alias("_rows"), F.explode(hits).alias("_hit"))
         .groupBy(*keys, F.col("_hit.t").alias("t"), F.col("_hit._slice").alias("_slice"), "_v")
         .agg(F.sum("_rows").alias("_rows"))
     )
 
-    # Which slices hold a wanted place? At most SLICES + 1 rows per group and target.
+    # Which slices hold a wanted place? A few hundred rows at most per group and target.
     slices = valued.groupBy(*keys, "t", "_slice").agg(F.sum("_rows").alias("_rows"))
     spine = slices.withColumn("_at", F.lit(None).cast("array<bigint>")).unionByName(
         counts.select(*keys, "t", F.lit(-1).alias("_slice"), F.lit(0).cast("bigint").alias("_rows"), "_at")
@@ -149,7 +205,8 @@ def pick_ranks(
     )
     missed = F.raise_error(F.lit("a rank lies outside its bracket; raise the accuracy"))
     values = [
-        F.when(F.col("_at")[i] == -1, F.col("_before"))
+        F.when(F.col("n").isNull(), F.lit(None))  # no rows at all
+        .when(F.col("_at")[i] == -1, F.col("_before"))
         .when(F.col("_at")[i] == F.col("_inside"), F.col("_after"))
         .otherwise(F.coalesce(F.col(n), missed))
         for i, n in enumerate(names)

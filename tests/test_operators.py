@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curvelake.functions import scalars as s
-from curvelake.operators import aggregates, heat, joins, sampling, sets, smooth, windows
+from curvelake.operators import aggregates, heat, joins, quantiles, sampling, sets, smooth, windows
 from curvelake.operators.quantiles import exact_quantiles
 from curvelake.plans import growth
 from curvelake.session import shared_dir
@@ -289,3 +289,64 @@ def test_bootstrap_does_not_depend_on_partitions(spark):
     df = spark.range(2000).withColumn("v", F.col("id") * 2)
     runs = [sorted(r["id"] for r in sampling.bootstrap_batch(df.repartition(n), 0.5, 42).collect()) for n in (2, 5)]
     assert runs[0] == runs[1] and 900 < len(runs[0]) < 1100 and len(set(runs[0])) < len(runs[0])
+
+
+def _numpy_quantiles(rows, probs):
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    return {g: [float(np.quantile(v, p)) for p in probs] for g, v in groups.items()}
+
+
+def test_quantiles_of_a_hot_group_and_many_small_ones(spark):
+    rng = np.random.default_rng(8)
+    rows = [("hot", float(v)) for v in rng.lognormal(0, 3, 30_000)] + [("same", 4.0)] * 5_000
+    rows += [(f"g{i % 700}", float(v)) for i, v in enumerate(rng.normal(size=2_000))] + [("none", None), (None, 2.0), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(9)
+    probs = {"a": 0.0, "b": 0.001, "c": 0.5, "d": 0.9999, "e": 1.0}
+    got = {r["g"]: [r[c] for c in probs] for r in quantiles.exact_quantiles(df, "v", probs, ["g"], 500).collect()}
+    want = _numpy_quantiles(rows, probs.values())
+    assert set(got) == set(want)
+    assert all(got[g] == pytest.approx(want[g], rel=1e-12) for g in want)
+    at_once = quantiles.exact_quantiles(df, "v", probs).first()
+    everything = _numpy_quantiles([(0, v) for _, v in rows], probs.values())[0]
+    assert [at_once[c] for c in probs] == pytest.approx(everything, rel=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "float", "decimal(20,4)", "date"])
+def test_ranks_of_any_ordered_type(spark, kind):
+    df = spark.range(1, 1_001).select((F.col("id") * 7 % 1_001 + (2**53 if kind == "bigint" else 0)).alias("n"))
+    v = F.date_add(F.lit("2020-01-01"), F.col("n").cast("int")) if kind == "date" else F.col("n").cast(kind)
+    df = df.select(v.alias("v"))
+    ranks = (lambda n: F.lit(0), lambda n: n - 1, lambda n: F.floor(n / 2))
+    got = quantiles.select_ranks(df, "v", [(0.0, ranks[:1]), (1.0, ranks[1:2]), (0.5, ranks[2:])]).orderBy("t").collect()
+    ordered = sorted(r["v"] for r in df.collect())
+    assert [r["values"][0] for r in got] == [ordered[0], ordered[-1], ordered[500]]
+
+
+def test_quantiles_with_nan_infinity_and_no_rows(spark):
+    values = [float(i) for i in range(90)] + [float("nan")] * 5 + [float("inf")] * 3 + [float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ranks = [(p, (lambda n, p=p: F.floor((n - 1) * p),)) for p in (0.0, 0.5, 0.92, 0.93, 0.96, 1.0)]
+    got = [r["values"][0] for r in quantiles.select_ranks(df, "v", ranks).orderBy("t").collect()]
+    ordered = [float("-inf")] + [float(i) for i in range(90)] + [float("inf")] * 3 + [float("nan")] * 5
+    want = [ordered[int(98 * p)] for p in (0.0, 0.5, 0.92, 0.93, 0.96, 1.0)]
+    assert [str(v) for v in got] == [str(v) for v in want]
+    none = df.where(F.lit(False))
+    assert quantiles.exact_quantiles(none, "v", {"m": 0.5}).collect() in ([], [(None,)])
+    assert quantiles.exact_quantiles(none.withColumn("g", F.lit("a")), "v", {"m": 0.5}, ["g"]).count() == 0
+
+
+def test_sketches_meet_in_two_stages_and_cuts_follow_the_values(spark):
+    df = spark.range(20_000, numPartitions=40).select((F.col("id") * 37 % 20_000).cast("double").alias("v"), F.lit("hot").alias("g"))
+    df = df.withColumn("v", F.when(F.col("v") == 19_999, 1e15).otherwise(F.col("v")))  # one far outlier
+    table = quantiles.sketches(df, "v", [F.col("g")], [[0.98 + 0.02 * i / quantiles.CUTS for i in range(quantiles.CUTS + 1)]], 500)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("kll_merge_agg") >= 2 and "_part" in plan and plan.count("Exchange hashpartitioning") == 2
+    edges = table.first()["_edges"][0]
+    inside = [r["v"] for r in df.where(F.col("v") >= edges[0]).collect()]
+    held = np.bincount(np.searchsorted(edges, inside, "right"))
+    assert edges[-1] == 1e15 and held.max() < 0.2 * len(inside)  # equal widths would put all but one into the first slice
+    top = quantiles.exact_quantiles(df, "v", {"m": 1.0, "n": 0.9999}, ["g"]).first()
+    assert top["m"] == 1e15 and top["n"] == pytest.approx(np.quantile([*range(19_999), 1e15], 0.9999), rel=1e-12)
