@@ -149,29 +149,62 @@ def loess_grid(
     return sums.select("grid_id", "grid_x", _local_fit(degree).alias("fit"))
 
 
+#: Moments that a bin of half a bandwidth keeps. What is left out of a row's kernel is below 1.09 * 0.25^12 / sqrt(12!), some 3e-12 of its height
+#: (Cramer's bound on Hermite functions).
+MOMENTS = 12
+
+
+def _kernel_terms() -> np.ndarray:
+    """[k, m]: what the m-th moment of a bin, over m!, adds to the coefficient of z^k (Hermite polynomials He_m)."""
+    terms = np.zeros((MOMENTS, MOMENTS))
+    for m in range(MOMENTS):
+        he = np.polynomial.hermite_e.herme2poly(np.eye(MOMENTS)[m])
+        terms[: len(he), m] = he / math.factorial(m)
+    return terms
+
+
+def _binned_kernel(rows: DataFrame, grid: Sequence[float]) -> DataFrame:
+    """Sums of Gaussian kernels of rows (_x, _bw, _n, _lo) at the grid: rows meet in bins of half a bandwidth, and bins meet the grid.
+
+    exp(-(z - d)^2 / 2) is exp(-z^2 / 2) times the sum of He_m(z) d^m / m!, with d a row's place in its bin and z the bin's distance from the
+    grid point. So the sums of d^m say all that is needed of a bin.
+    """
+    width = F.nullif(F.col("_bw"), F.lit(0.0))
+    slots = rows.withColumn("_at", (F.col("_x") - F.col("_lo")) / width).withColumn("_slot", F.floor(F.col("_at") * 2))
+    placed = slots.withColumn("_d", F.col("_at") - (F.col("_slot") + F.lit(0.5)) / 2)
+    moments = [F.sum(F.pow("_d", F.lit(float(m)))).alias(f"_m{m}") for m in range(MOMENTS)]
+    bins = placed.groupBy("_slot", "_bw", "_n", "_lo").agg(*moments)
+    parts = [
+        sum((F.lit(float(c)) * F.col(f"_m{m}") for m, c in enumerate(line) if c), F.lit(0.0)).alias(f"_c{k}") for k, line in enumerate(_kernel_terms())
+    ]
+    centre = (F.col("_lo") + (F.col("_slot") + F.lit(0.5)) / 2 * F.col("_bw")).alias("_x")
+    met = spread_over_grid(bins.select("_bw", "_n", centre, *parts), grid)
+    z = (F.col("grid_x") - F.col("_x")) / width
+    value = F.lit(0.0)
+    for k in range(MOMENTS - 1, -1, -1):
+        value = value * F.col("_z") + F.col(f"_c{k}")
+    return met.withColumn("_z", z).withColumn("_height", F.exp(F.lit(-0.5) * F.col("_z") * F.col("_z")) * value)
+
+
 def kde_grid(df: DataFrame, x: str, grid: Sequence[float], bw: float | None = None, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density at the points of a small grid.
 
-    Without a bandwidth Scott's rule is used: sample sd times n^(-1/5). Every row meets every
-    grid point inside its task, and a task passes on one number per grid point. ``bins`` first
-    counts the rows in that many equal bins and smooths the bin centres, which makes the cost
-    independent of the grid; the error is of the order (bin width / bandwidth)^2.
+    Without a bandwidth Scott's rule is used: sample sd times n^(-1/5). Rows are summed up in bins of half a bandwidth, by moments that make
+    up the kernel to 3e-12 of its height, and only bins meet the grid. ``bins`` takes that many equal bins instead and puts all
+    rows of a bin at its centre; the error is of the order (bin width / bandwidth)^2. Where all values are equal the density is null.
     """
     data = df.select(F.col(quoted(x)).cast("double").alias("_x")).dropna()
     spread = F.stddev_samp("_x") * F.pow(F.count("_x").cast("double"), F.lit(-0.2))
-    width = F.lit(float(bw)) if bw is not None else spread
+    width = F.max(F.lit(float(bw))) if bw is not None else spread
+    ends = attach_scalars(data, data, _bw=width, _n=F.count("_x"), _lo=F.min("_x"), _hi=F.max("_x"))
+    scale = F.lit(math.sqrt(2 * math.pi)) * F.nullif(F.max("_bw"), F.lit(0.0)) * F.max("_n")
     if bins is None:
-        rows = attach_scalars(data, data, _bw=F.max(width) if bw is not None else width, _n=F.count("_x"))
-        rows = rows.withColumn("_w", F.lit(1.0))
+        met, height = _binned_kernel(ends, grid), F.sum("_height")
     else:
-        ends = attach_scalars(
-            data, data, _bw=F.max(width) if bw is not None else width, _n=F.count("_x"), _lo=F.min("_x"), _hi=F.max("_x")
-        )
         step = F.nullif((F.col("_hi") - F.col("_lo")) / F.lit(float(bins)), F.lit(0.0))
         slot = F.least(F.floor((F.col("_x") - F.col("_lo")) / step), F.lit(bins - 1))
         centre = F.coalesce(F.col("_lo") + (slot + 0.5) * step, F.col("_x"))
         rows = ends.groupBy(centre.alias("_x"), "_bw", "_n").agg(F.count("*").cast("double").alias("_w"))
-    z = (F.col("_x") - F.col("grid_x")) / F.col("_bw")
-    height = F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z))
-    scale = F.lit(math.sqrt(2 * math.pi)) * F.max("_bw") * F.max("_n")
-    return spread_over_grid(rows, grid).groupBy("grid_id", "grid_x").agg((height / scale).alias("density"))
+        z = (F.col("_x") - F.col("grid_x")) / F.col("_bw")
+        met, height = spread_over_grid(rows, grid), F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z))
+    return met.groupBy("grid_id", "grid_x").agg((height / scale).alias("density"))

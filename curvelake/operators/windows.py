@@ -40,8 +40,10 @@ def index_to_base(
     """Value divided by the group's value at the base period.
 
     ``global``: the first period of the whole table; a group without a row there has no base
-    and gets null. ``group``: each group's own first period.
+    and gets null. ``group``: each group's own first period. ``df``, mostly an aggregate, is worked out once and written to the
+    checkpoint folder; the base values are looked up there.
     """
+    df = materialize(df)
     if base == "global":
         dated = attach_scalars(df, df, _first=F.min(quoted(period)))
         at_base = F.max(F.when(F.col(quoted(period)) == F.col("_first"), F.col(quoted(value))))

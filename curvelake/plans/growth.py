@@ -53,10 +53,9 @@ def indexed_growth(
 ) -> DataFrame:
     """Wide table: one row per period with the mean and the mean relative to the base period
     for every group, as ``avg_<value>_<group>`` and ``<value>_to_base_<group>``."""
-    if groups is None:
-        # Columns come from the groups that are left; asking the indexed table would run all of it twice.
-        groups = pivot_values(period_stats(df, period, group, value, min_n), group)
     long = indexed_long(df, period, group, value, min_n, base)
+    if groups is None:
+        groups = pivot_values(long, group)
     return pivot_measures(long, period, group, [f"avg_{value}", f"{value}_to_base"], groups)
 
 

@@ -65,11 +65,13 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def table_detail(spark: SparkSession, name: str) -> DataFrame:
-    """Format, location, partition columns, file count and bytes of a table."""
+    """Format, location, partition columns, file count, bytes and number of partitions of a table."""
     info = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
     location = info["location"]
     # An empty partition list (typed, since a local row of an empty list has no type).
-    columns = F.array(*[F.lit(c) for c in info.get("partition_columns") or []]).cast("array<string>")
+    parted = info.get("partition_columns") or []
+    columns = F.array(*[F.lit(c) for c in parted]).cast("array<string>")
+    partitions = spark.sql(f"SHOW PARTITIONS {name}").count() if parted else 0
     return list_files(spark, location, ".parquet" if info["provider"] == "parquet" else None).agg(
         F.lit(info["table_name"]).alias("name"),
         F.lit(info["provider"]).alias("format"),
@@ -77,6 +79,7 @@ def table_detail(spark: SparkSession, name: str) -> DataFrame:
         columns.alias("partition_columns"),
         F.count("*").alias("files"),
         F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+        F.lit(partitions).cast("long").alias("partitions"),
     )
 
 

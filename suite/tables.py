@@ -230,6 +230,57 @@ def _(spark, d):
     return sinks.table_detail(spark, name)
 
 
+@query(
+    "table_detail_facts",
+    "K6 K3",
+    "SELECT 'parquet' AS format, 'o_orderstatus' AS partition_columns, count(DISTINCT o_orderstatus) AS partitions, true AS stored FROM orders",
+)
+def _(spark, d):
+    """What the detail says of a table, but for its name and place: at least one file per partition, and bytes."""
+    path, name = scratch_path(spark, "facts"), f"facts_{uuid.uuid4().hex}"
+    sinks.write_partitioned(table(spark, d, "orders"), path, ["o_orderstatus"])
+    sinks.register_external(spark, name, path, partitioned=True)
+    stored = ((F.col("files") >= F.col("partitions")) & (F.col("bytes") > 0)).alias("stored")
+    return sinks.table_detail(spark, name).select("format", F.concat_ws(",", "partition_columns").alias("partition_columns"), "partitions", stored)
+
+
+@query("managed_table", "K2", STATUS_SQL)
+def _(spark, d):
+    name = f"managed_{uuid.uuid4().hex}"
+    sinks.save_managed(table(spark, d, "orders"), name)
+    return _status(spark.table(name))
+
+
+@query("dropped_table_keeps_files", "K4 K3 K10", f"SELECT *, true AS dropped FROM ({STATUS_SQL})")
+def _(spark, d):
+    """An external table is listed, dropped and no longer listed; its files can still be read."""
+    path, name = scratch_path(spark, "dropped"), f"dropped_{uuid.uuid4().hex}"
+    sinks.write_parquet(table(spark, d, "orders"), path)
+    sinks.register_external(spark, name, path)
+    listed = lambda: sinks.list_tables(spark).where(F.col("name") == name).count()
+    before = listed()
+    sinks.drop_table(spark, name)
+    return _status(spark.read.parquet(path)).withColumn("dropped", F.lit(before == 1 and listed() == 0))
+
+
+HEAD_BYTES = 300
+
+
+@query(
+    "head_of_text",
+    "S2",
+    f"""WITH t AS (SELECT n_nationkey, n_nationkey || ',' || n_name || ',' || r_name AS line FROM nation JOIN region ON n_regionkey = r_regionkey),
+        l AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS line_no, line, sum(strlen(line) + 1) OVER (ORDER BY n_nationkey) AS used FROM t)
+        SELECT line_no::INTEGER AS line_no, line FROM l WHERE used <= {HEAD_BYTES}""",
+)
+def _(spark, d):
+    """The first lines of a file of nations with their regions."""
+    nations, path = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")), scratch_path(spark, "head")
+    lines = nations.orderBy("n_nationkey").select(F.concat_ws(",", "n_nationkey", "n_name", "r_name").alias("value"))
+    lines.coalesce(1).write.text(path)
+    return readers.head_text(spark, path, HEAD_BYTES)
+
+
 @query("compact_small_files", "K7", STATUS_SQL)
 def _(spark, d):
     path, out = scratch_path(spark, "small"), scratch_path(spark, "compact")

@@ -350,3 +350,29 @@ def test_sketches_meet_in_two_stages_and_cuts_follow_the_values(spark):
     assert edges[-1] == 1e15 and held.max() < 0.2 * len(inside)  # equal widths would put all but one into the first slice
     top = quantiles.exact_quantiles(df, "v", {"m": 1.0, "n": 0.9999}, ["g"]).first()
     assert top["m"] == 1e15 and top["n"] == pytest.approx(np.quantile([*range(19_999), 1e15], 0.9999), rel=1e-12)
+
+
+def test_kernel_density_by_moments(spark):
+    rng = np.random.default_rng(3)
+    x = [*map(float, rng.normal(size=500)), 5.0, 5.0, 1e6]  # and one far outlier: most bins in between are empty
+    df = spark.createDataFrame([(v,) for v in [*x, None]], "x double")
+    grid = [-3.0, -0.5, 0.0, 0.123, 4.9, 1e6]
+    for bw in (0.3, 0.01, 50.0, None):
+        h = bw if bw is not None else np.std(x, ddof=1) * len(x) ** -0.2
+        want = [np.exp(-0.5 * ((g - np.array(x)) / h) ** 2).sum() / (h * len(x) * math.sqrt(2 * math.pi)) for g in grid]
+        got = smooth.kde_grid(df, "x", grid, bw)
+        assert [r["density"] for r in got.orderBy("grid_id").collect()] == pytest.approx(want, rel=1e-9, abs=1e-11 / h)
+    plan = smooth.kde_grid(df, "x", grid)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.index("generate") < plan.index("sum(pow")  # only bins meet the grid: the explode stands above the sums
+    same = smooth.kde_grid(spark.createDataFrame([(1.0,), (1.0,)], "x double"), "x", [1.0]).collect()
+    assert [r["density"] for r in same] in ([], [None])
+    assert smooth.kde_grid(df.where("x IS NULL"), "x", grid).count() in (0, len(grid))
+
+
+def test_growth_reads_its_table_once(spark, tmp_path):
+    rows = [("a", 2000, 2.0), ("a", 2001, 4.0), ("b", 2000, 5.0), ("b", 2001, 5.0), ("c", 2001, 1.0)]
+    spark.createDataFrame(rows, "g string, year int, v double").write.parquet(str(tmp_path / "t"))
+    out = growth.indexed_growth(spark.read.parquet(str(tmp_path / "t")), "year", "g", "v")
+    assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()  # all that is left reads the one aggregate
+    got = {r["year"]: (r["v_to_base_a"], r["v_to_base_b"], r["v_to_base_c"]) for r in out.collect()}
+    assert got == {2000: (1.0, 1.0, None), 2001: (2.0, 1.0, None)}
