@@ -16,15 +16,16 @@ from curvelake.session import materialize
 BROADCAST_ROWS = 500_000
 
 
-#: A place is one number, (document * 2^24 + bits of the text's hash) * 2^32 + line: its minimum is the earliest, and
-#: it fits a hash aggregate's buffer.
-PLACE = "decimal(38,0)"
+#: A place is one number, (document * HASHED + bits of the text's hash) * LINES + line: its minimum is the earliest, and
+#: it fits a hash aggregate's buffer. No text has more lines.
+PLACE, HASHED, LINES = "decimal(38,0)", 1 << 30, 1 << 31
 
 
 def _key(id_col: Column, text: Column) -> Column:
-    """Document part of a place; the text's bits tell rows apart even if an id repeats. Null ids come first."""
-    d = F.coalesce(id_col.cast("long").cast(PLACE), F.lit("-9223372036854775809").cast(PLACE))
-    return (d * F.lit(1 << 24) + F.pmod(F.xxhash64(text), F.lit(1 << 24))).cast(PLACE)
+    """Document part of a place. Null ids come first; such rows are told apart by 93 bits of two hashes of the text, rows that share an id by 30."""
+    without = F.lit("-9223372036854775809").cast(PLACE) - F.shiftrightunsigned(F.xxhash64(F.lit(1), text), 1).cast(PLACE)
+    d = F.coalesce(id_col.cast("long").cast(PLACE), without.cast(PLACE))
+    return (d * F.lit(HASHED) + F.pmod(F.xxhash64(text), F.lit(HASHED))).cast(PLACE)
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,7 +45,7 @@ def _small(side: DataFrame) -> DataFrame:
 
 
 def _place() -> Column:
-    return (F.col("key") * F.lit(1 << 32) + F.col("l")).cast(PLACE)
+    return (F.col("key") * F.lit(LINES) + F.col("l")).cast(PLACE)
 
 
 def _split(keyed: DataFrame) -> DataFrame:
@@ -148,8 +149,8 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = _near_candidates(keyed, lines)
     gone = _replaced(near).unionByName(_inserted(near)).distinct()
     stay = lines.select("place").join(gone, "place", "left_anti")
-    l = F.pmod(F.col("place"), F.lit(1 << 32).cast(PLACE))  # noqa: E741
-    parts = stay.select(((F.col("place") - l) / F.lit(1 << 32)).cast(PLACE).alias("key"), l.cast("int").alias("l"))
+    l = F.pmod(F.col("place"), F.lit(LINES).cast(PLACE))  # noqa: E741
+    parts = stay.select(((F.col("place") - l) / F.lit(LINES)).cast(PLACE).alias("key"), l.cast("int").alias("l"))
     return parts.groupBy("key").agg(F.collect_list("l").alias("stay"))
 
 
@@ -159,7 +160,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines are what newlines separate; words lie between runs of ASCII white space, and white space is
     no difference. Lines under ``min_words`` words always stay. The earliest line, by id, then
     place in the text, stays; ids are whole numbers. Null texts come back null; repeated rows (same id and text) count as
-    one and come back alike; null ids come first. Other columns pass untouched.
+    one and come back alike; null ids come first. Of n different texts under one id some n^2 / 2^31 pairs count as one document. Texts of any
+    length are cut whole; an empty table gives no rows. Other columns pass untouched, but given ones with the three added names are replaced.
     """
     stay = kept_lines(docs, id_col, text_col, min_words)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -172,5 +174,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     chosen = lines.select("_row", "_cut", F.sort_array(F.concat("_stay", short)).alias("_places"))
     text = bound(F.col("_cut"), lambda cut: F.array_join(F.transform(F.col("_places"), lambda i: F.get(cut, i)), "\n"))
-    out = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns]
+    out = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns if c not in ("_lines", "_kept", "_changed")]
     return chosen.select(*out, F.size("_cut").alias("_lines"), F.size("_places").alias("_kept"), (F.size("_places") < F.size("_cut")).alias("_changed"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from curvelake.llm.common import match_spans
 from curvelake.llm.secrets import redacted
+from curvelake.operators.joins import fresh
 from curvelake.session import materialize
 
 # A match may begin where the last one ended or where a run of its first characters begins: no other place can be
@@ -173,10 +174,11 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         return F.when(touching, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(own)))
 
     spans = F.aggregate(both, F.array().cast("array<struct<start:int,end:int,mark:string>>"), join)
-    keyed = found.select(F.col("doc_id").alias("_d"), F.col("x").alias("_x"), spans.alias("_spans"))
+    d, x, cut = fresh("d"), fresh("x"), fresh("spans")
+    keyed = found.select(F.col("doc_id").alias(d), F.col("x").alias(x), spans.alias(cut))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    met = docs.join(keyed, F.col(id_col).eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_x")), "left")
-    out = F.when(F.col("_spans").isNotNull(), redacted(F.col(text_col), F.col("_spans"), None)).otherwise(F.col(text_col))
+    met = docs.join(keyed, F.col(id_col).eqNullSafe(F.col(d)) & (F.xxhash64(text) == F.col(x)), "left")
+    out = F.when(F.col(cut).isNotNull(), redacted(F.col(text_col), F.col(cut), None)).otherwise(F.col(text_col))
     return met.select(*(out.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
 
 

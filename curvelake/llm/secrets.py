@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvelake.llm.common import match_spans
+from curvelake.operators.joins import fresh
 from curvelake.session import materialize
 
 #: A run of key characters, 16 or more, with a digit in it, not part of a longer run.
@@ -163,9 +164,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     """
     found = scan(docs, id_col, text_col, model, threshold).where("secret")
     spans = found.groupBy("doc_id", "x").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_d"), F.col("x").alias("_x"), "_spans")
+    d, x, cut = fresh("d"), fresh("x"), fresh("spans")
+    spans = spans.select(F.col("doc_id").alias(d), F.col("x").alias(x), F.col("_spans").alias(cut))
     suspect = F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False))
     some = docs.where(suspect)
-    met = some.join(spans, F.col(id_col).eqNullSafe(F.col("_d")) & (F.xxhash64(text_col) == F.col("_x")), "left")
-    text = F.when(F.col("_spans").isNotNull(), redacted(F.col(text_col), F.col("_spans"), mark)).otherwise(F.col(text_col))
+    met = some.join(spans, F.col(id_col).eqNullSafe(F.col(d)) & (F.xxhash64(text_col) == F.col(x)), "left")
+    text = F.when(F.col(cut).isNotNull(), redacted(F.col(text_col), F.col(cut), mark)).otherwise(F.col(text_col))
     return docs.where(~suspect).unionByName(met.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns)))

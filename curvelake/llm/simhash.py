@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from curvelake.llm.components import connected_components
+from curvelake.operators.joins import fresh
 from curvelake.session import materialize
 
 #: Fingerprints in a sample that places the trees' upper nodes. It steers the work, never the result.
@@ -270,10 +271,11 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups of their own. Of a group's rows with the smallest id one stays; a group whose rows have no id keeps one of them.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    marks = {"_x": F.xxhash64(text), "_y": F.xxhash64(F.lit(1), text)}
+    x, y, kept, kx, ky = (fresh(n) for n in ("x", "y", "keep", "kx", "ky"))
+    marks = {x: F.xxhash64(text), y: F.xxhash64(F.lit(1), text)}
     prints = materialize(docs.select(F.col(id_col).alias("doc_id"), *(c.alias(k) for k, c in marks.items()), _fingerprints(F.col(text_col)).alias("fp")))
     first = prints.join(_roots(prints, bound), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = first.groupBy("root", "doc_id").agg(F.min(F.struct("_x", "_y")).alias("_m"))
-    keep = keep.select(F.col("doc_id").alias("_keep"), F.col("_m._x").alias("_kx"), F.col("_m._y").alias("_ky"))
-    same = F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_x") == F.col("_kx")) & (F.col("_y") == F.col("_ky"))
-    return docs.withColumns(marks).join(keep, same, "left_semi").dropDuplicates([id_col, "_x", "_y"]).drop("_x", "_y")
+    keep = first.groupBy("root", "doc_id").agg(F.min(F.struct(x, y)).alias("_m"))
+    keep = keep.select(F.col("doc_id").alias(kept), F.col("_m")[x].alias(kx), F.col("_m")[y].alias(ky))
+    same = F.col(id_col).eqNullSafe(F.col(kept)) & (F.col(x) == F.col(kx)) & (F.col(y) == F.col(ky))
+    return docs.withColumns(marks).join(keep, same, "left_semi").dropDuplicates([id_col, x, y]).drop(x, y)

@@ -373,3 +373,26 @@ def test_pieces_in_one_pass(odd, empty, monkeypatch):
     texts = [f"w{i * 7 % 50} longer{i % 13}é end" for i in range(200)]
     once = [t.encode([x])[0].tolist() for x in texts]
     assert once == [x.tolist() for x in pieces.Transducer(pieces.default_path()).encode(texts)]
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ("_x", "_y", "_kept", "_lines", "_changed", "_spans", "_row", "_d", "_keep", "_kx", "_ky", "_t", "_cut", "_stay", "_places")
+    texts = ["one line of five words\nand another line of six words", "one line of five words", None, "key = 0123456789abcdef0123456789abcdef01234567 a@b.co"]
+    df = spark.createDataFrame([(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)], ["doc_id", "text", *names])
+    given = {r["doc_id"]: r.asDict() for r in df.collect()}
+    for run in (simhash.representatives, secrets.redact, pii.sanitise, lines.dedup_lines):
+        out = run(df)
+        added = {"_lines", "_kept", "_changed"} if run is lines.dedup_lines else set()
+        assert sorted(out.columns) == sorted(df.columns), run
+        for r in out.collect():
+            assert all(r[n] == given[r["doc_id"]][n] for n in names if n not in added), run
+
+
+def test_lines_of_many_rows_without_an_id(spark):
+    """Rows are told apart by their texts: with few bits of a hash some of these would count as one, and keep a repeated line or lose their own."""
+    n = 30_000
+    own = F.concat_ws(" ", F.lit("own"), F.md5(F.col("id").cast("string")), F.lit("words"), F.lit("of"), F.sha1(F.col("id").cast("string")))
+    for key, off in (("cast(null as long)", 0), ("id", 0)):
+        df = spark.range(n).select(F.expr(key).alias("doc_id"), F.concat(own, F.lit("\nthe same line in all of them")).alias("text"))
+        out = lines.dedup_lines(df).agg(F.count("*"), F.sum("_kept"), F.count_if(F.col("text").contains("\n"))).first()
+        assert tuple(out) == (n, n + 1, 1)
