@@ -1,4 +1,9 @@
-"""Secret scan: candidate tokens by pattern, false positives removed by a random forest on their features."""
+"""Secret scan: a wide net of candidates, false positives removed by a random forest on their features.
+
+Candidates are long tokens with a digit, whatever is assigned to a name like password or api_key, what stands behind bearer or basic, passwords in front of
+an @ in addresses, and blocks of private keys. Not seen are secrets that none of these shapes shows: a short or letters-only
+one in running text without a name before it.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +13,25 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvelake.llm.common import match_spans
+from curvelake.llm.common import SPAN, bound, match_spans
 from curvelake.operators.joins import fresh
 from curvelake.session import materialize
 
 #: A run of key characters, 16 or more, with a digit in it, not part of a longer run.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}+"
 
+NAMES = r"(?:token|secret|passw(?:or)?d|passphrase|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?|credentials?)"
+
+#: Further shapes: the pattern, then the pattern whose last group, at the end of the match but for ``tail`` characters, is the value.
+ASSIGNED = rf"""(?i){NAMES}[\w-]{{0,12}}["']?\s{{0,3}}(?::=|=>|[=:])\s{{0,3}}(?:"[^"\n]{{4,512}}"|'[^'\n]{{4,512}}'|[^\s"'<>,;]{{6,512}})"""
+BEARER = r"(?i)\b(?:bearer|basic)\s{1,3}[A-Za-z0-9._~+/=-]{12,2048}"
+ADDRESS = r"""[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@"'<>]{0,64}:[^\s/@"'<>]{3,256}@"""
+LOGIN = r"""(?<![A-Za-z0-9._/:-])[A-Za-z0-9._-]{2,32}:[^\s/@:"'<>]{4,64}@(?=[A-Za-z0-9])"""
+BLOCK = (
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY[A-Z ]{0,10}-----(?:\s++[A-Za-z0-9+/=]{20,}+)*+"
+    r"(?:(?:\s++[A-Za-z0-9+/=]{1,19}+)?+\s*+-----END [A-Z0-9 ]{0,40}-----)?"
+)
+
 #: Characters looked at before and after a candidate.
 BEFORE, AFTER = 40, 12
 
@@ -28,11 +45,15 @@ WORDS = (
 KEYWORDS = r"(token|secret|passw(or)?d|pwd|api.?key|auth(orization)?|credentials?|private.?key|access.?key|bearer|client.?id)"
 DIGESTS = r"(sha-?1|sha-?256|sha-?512|md5|crc|commit|checksum|digest|etag|revision|rev|uuid|guid|hash|integrity|isbn|order|invoice|phone|card|id)"
 PREFIXES = r"^(AKIA|ASIA|gh[pousr]_|github_pat_|xox[baprs]-|sk_live_|rk_live_|sk-|AIza|glpat-|eyJ|SG\.|npm_)"
+LITERALS = (
+    r"^[\[({*$%#@!.\"']*(none|null|nil|true|false|undefined|required|optional|string|redacted|removed|hidden|masked|unknown|default|empty|missing|invalid|expired|"
+    r"os\.|process\.|env|get|config|settings|self\.|this\.|input|prompt|argv|request\.|params|vault|\$|%|\{\{|x+$|\*+$|\.+$)"
+)
 PLACEHOLDERS = r"(example|sample|dummy|your|change|placeholder|test|xxxx|0{6}|1234567|abcdef)"
 
 FEATURES = (
     "length digit_share upper_share mark_share distinct_share transitions hex_only covered vowel_share slashes "
-    "in_path prefixed placeholder keyword assigned quoted digest"
+    "in_path prefixed placeholder keyword assigned quoted digest login block literal other_marks blanks has_digit called"
 ).split()
 
 
@@ -61,6 +82,13 @@ def _features(c: DataFrame) -> DataFrame:
             "keyword": flag(before.rlike(KEYWORDS + r"[^a-z]{0,4}\w{0,8}[^a-z0-9]{0,6}$")),
             "assigned": flag(before.rlike(r"[=:]\s{0,3}[\"']?$")),
             "quoted": flag(before.rlike("[\"']$") & F.col("after").rlike("^[\"']")),
+            "login": flag(before.rlike(r"[^\s:@]{0,64}:$") & F.col("after").startswith("@")),
+            "block": flag(v.startswith("-----BEGIN")),
+            "literal": flag(low.rlike(LITERALS)),
+            "other_marks": share(r"[^A-Za-z0-9+/_=\s-]"),
+            "blanks": share(r"\s"),
+            "has_digit": flag(v.rlike("[0-9]")),
+            "called": flag(v.rlike(r"[(\[{]") | F.col("after").rlike(r"^[(\[{]")),
             "digest": flag(before.rlike(r"\b" + DIGESTS + r"\b[^a-z]{0,8}$")),
         }
     )
@@ -118,6 +146,53 @@ def labelled_findings(spark: SparkSession, n: int = 6_000, seed: int = 7) -> Dat
     )
 
 
+def assigned_findings(spark: SparkSession, n: int = 3_000, seed: int = 11) -> DataFrame:
+    """``n`` labelled findings of the further shapes: passwords, phrases, keys of letters, logins and key blocks, against words, literals and code."""
+    rows = spark.range(0, n, 1, 4)
+    draw = lambda k, m: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(k)), F.lit(m))
+    choice = lambda k, values: F.element_at(F.array(*values), (draw(k, len(values)) + 1).cast("int"))
+    pick = lambda k, values: choice(k, [F.lit(v) for v in values])
+    raw = F.sha2(F.concat_ws("/", "id", F.lit(seed)).cast("binary"), 512)
+    b64 = F.translate(F.base64(F.unhex(raw)), "\r\n", "")
+    digits, letters = F.translate(raw, "abcdef", "012345"), F.translate(raw, "0123456789", "ghijklmnop")
+    word, mark = lambda k: pick(k, WORDS), lambda k: pick(k, ["!", "$", "#", "@", "%", "&", "*", "-", "_", ".", "?"])
+    length = lambda k, least, most: (draw(k, most - least + 1) + least).cast("int")
+    part = lambda c, k, least, most: F.substr(c, F.lit(1), length(k, least, most))
+    passwords = [
+        F.concat(word(1), part(digits, 2, 1, 4), mark(3), word(4)),
+        F.concat(F.initcap(word(1)), mark(2), part(digits, 3, 2, 5), mark(4)),
+        F.concat(part(letters, 1, 3, 8), mark(2), F.upper(part(letters, 3, 2, 5)), part(digits, 4, 1, 4)),
+        F.concat(part(b64, 1, 8, 14), mark(2)),
+        F.concat(F.initcap(part(letters, 1, 4, 9)), part(digits, 2, 1, 3), mark(3)),
+        part(raw, 1, 12, 20),
+    ]
+    password = choice(5, passwords)
+    keys = [password, password, part(letters, 6, 18, 40), part(F.regexp_replace(b64, "[^A-Za-z]", ""), 6, 20, 40), F.concat_ws(".", part(b64, 6, 20, 36), part(raw, 7, 20, 60)), F.concat_ws(" ", word(8), word(9), word(10), word(11))]
+    others = [
+        pick(6, ["required", "optional", "undefined", "redacted", "[hidden]", "********", "xxxxxxxx", "string", "expired", "invalid", "missing", "removed"]),
+        pick(7, ["os.environ", "os.getenv(", "process.env.KEY", "config.get(", "settings.KEY", "self.value", "this.value", "request.args", "${VALUE}", "{{value}}", "$VALUE", "%VALUE%", "getpass(", "input("]),
+        F.concat(word(8), word(9)), F.concat(F.initcap(word(10)), word(11)), part(letters, 12, 6, 10),
+        F.concat(pick(8, ["your_", "my-", "example-", "the_", "changeme_"]), word(9)), F.concat_ws(" ", word(8), word(9), F.lit("is"), word(10)), F.concat(word(8), F.lit("_"), word(9), F.lit("()")),
+    ]
+    name = pick(20, ["password", "Password", "passwd", "pwd", "secret", "client_secret", "token", "api_key", "API-KEY", "auth_token", "passphrase", "credentials"])
+    before = F.concat(pick(21, ["", "set ", "the ", "\n", "my ", "DB_"]), name, pick(22, [" = ", "=", ": ", ' = "', "='", '": "', " := "]))
+    shape, secret = draw(23, 10), draw(24, 2) == 1
+    block = F.concat(F.lit("-----BEGIN "), pick(25, ["RSA ", "EC ", "OPENSSH ", ""]), F.lit("PRIVATE KEY-----\n"), b64)
+    login = pick(26, ["postgres://admin:", "https://user:", "mysql://root:", "ftp://anna:", "ssh deploy:", "curl -u bot:"])
+    mail = pick(27, ["mail:", "write to:", "contact:", "see:", "from:"])
+    value = F.when(shape == 0, F.when(secret, block).otherwise(choice(28, others))).when(shape <= 2, F.when(secret, password).otherwise(part(letters, 29, 4, 9)))
+    lead = F.when((shape == 0) & secret, pick(30, ["", "\n", "key: "])).when((shape > 0) & (shape <= 2), F.when(secret, login).otherwise(mail)).otherwise(before)
+    after = F.when((shape > 0) & (shape <= 2), pick(31, ["@db.host", "@example.org", "@10.0.0.1"])).otherwise(pick(32, ['"', "'", "\n", " ", "", ". ", ")"]))
+    return rows.select(
+        value.otherwise(F.when(secret, choice(33, keys)).otherwise(choice(34, others))).alias("value"),
+        lead.alias("before"), after.alias("after"), secret.cast("double").alias("label"),
+    )
+
+
+def default_model(spark: SparkSession) -> RandomForestClassificationModel:
+    return train(labelled_findings(spark).unionByName(assigned_findings(spark)))
+
+
 def train(findings: DataFrame, trees: int = 24, depth: int = 7, seed: int = 7) -> RandomForestClassificationModel:
     """A forest on labelled findings (value, before, after, label)."""
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(materialize(_features(materialize(findings))))
@@ -125,10 +200,45 @@ def train(findings: DataFrame, trees: int = 24, depth: int = 7, seed: int = 7) -
     return forest.fit(materialize(rows.select("features", "label")))
 
 
+def suspect(text: Column) -> Column:
+    """Whether a text has any candidate; null texts have none."""
+    shapes = [text.contains(gate) & text.rlike(p) for gate, p in (("://", ADDRESS), ("@", LOGIN), ("-----BEGIN", BLOCK))]
+    return F.coalesce(text.rlike(CANDIDATE) | text.rlike(ASSIGNED) | text.rlike(BEARER) | shapes[0] | shapes[1] | shapes[2], F.lit(False))
+
+
+def _spans(text: Column) -> Column:
+    """Candidates of a text; one that lies in a longer one of the further shapes is left out, as it is a part of that."""
+    none = F.array().cast(f"array<{SPAN}>")
+    found = lambda p: F.coalesce(match_spans(text, p), none)
+
+    def values(pattern: str, group: str, tail) -> Column:
+        def one(s: Column) -> Column:
+            cut = F.regexp_extract(s["value"], group, 1)
+            end = s["end"] - tail(s["value"])
+            return F.struct((end - F.length(cut)).alias("start"), end.alias("end"), cut.alias("value"))
+
+        return F.transform(found(pattern), one)
+
+    closed = lambda m: m.rlike("[\"']$").cast("int")
+    further = F.concat(
+        values(ASSIGNED, r"""(?::=|=>|[=:])\s{0,3}["']?((?<=["'])[^"']+|[^\s"'<>,;]+)["']?$""", closed),
+        values(BEARER, r"\s(\S+)$", lambda m: F.lit(0)),
+        values(ADDRESS, r":([^\s/@]+)@$", lambda m: F.lit(1)),
+        values(LOGIN, r":([^\s/@:]+)@$", lambda m: F.lit(1)),
+        found(BLOCK),
+    )
+
+    def alone(some: Column) -> Column:
+        inside = lambda s: F.exists(some, lambda e: (e["start"] <= s["start"]) & (e["end"] >= s["end"]) & (e["end"] - e["start"] > s["end"] - s["start"]))
+        return F.filter(F.array_distinct(F.concat(found(CANDIDATE), some)), lambda s: (F.length(s["value"]) > 0) & ~inside(s))
+
+    return bound(further, alone)
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per candidate token: doc_id, x (hash of the text), start, end, value, before, after."""
+    """One row per candidate: doc_id, x (hash of the text), start, end, value, before, after."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"))
-    found = rows.where(F.col("_t").rlike(CANDIDATE)).select("doc_id", "_t", F.explode(match_spans(F.col("_t"), CANDIDATE)).alias("s"))
+    found = rows.where(suspect(F.col("_t"))).select("doc_id", "_t", F.explode(_spans(F.col("_t"))).alias("s"))
     cut = lambda a, b: F.substring("_t", a, b)
     first = F.greatest(F.col("s.start") - BEFORE, F.lit(0))
     return found.select(
@@ -141,10 +251,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model=
     """One row per candidate: doc_id, x, start, end (code points, end exclusive), value, score, secret.
 
     Candidates are found in whole texts. Null and empty texts have none. Repeated rows are scanned each, a null id stays null.
-    Without a model one is trained on :func:`labelled_findings`.
+    An empty table has none. Without a model one is trained on :func:`labelled_findings` and :func:`assigned_findings`.
     """
     if model is None:
-        model = train(labelled_findings(docs.sparkSession))
+        model = default_model(docs.sparkSession)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(_features(candidates(docs, id_col, text_col)))
     score = vector_to_array("probability")[1]
     return model.transform(rows).select("doc_id", "x", "start", "end", "value", score.alias("score"), (score >= threshold).alias("secret"))
@@ -157,6 +267,18 @@ def redacted(text: Column, spans: Column, mark: str | None) -> Column:
     return F.concat(F.array_join(heads, ""), F.substr(text, F.element_at(spans, -1)["end"] + 1))
 
 
+def _apart(spans: Column) -> Column:
+    """Sorted spans, those that overlap joined into one."""
+
+    def add(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        touching = (F.size(acc) > 0) & F.coalesce(last["end"] > s["start"], F.lit(False))
+        return F.when(touching, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:int,end:int>>"), add)
+
+
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model=None, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
     """The input rows, all columns, with every secret in ``text_col`` replaced by ``mark``.
 
@@ -164,10 +286,11 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     """
     found = scan(docs, id_col, text_col, model, threshold).where("secret")
     spans = found.groupBy("doc_id", "x").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
+    spans = spans.withColumn("_spans", _apart(F.col("_spans")))
     d, x, cut = fresh("d"), fresh("x"), fresh("spans")
     spans = spans.select(F.col("doc_id").alias(d), F.col("x").alias(x), F.col("_spans").alias(cut))
-    suspect = F.coalesce(F.col(text_col).rlike(CANDIDATE), F.lit(False))
-    some = docs.where(suspect)
+    has = suspect(F.col(text_col))
+    some = docs.where(has)
     met = some.join(spans, F.col(id_col).eqNullSafe(F.col(d)) & (F.xxhash64(text_col) == F.col(x)), "left")
     text = F.when(F.col(cut).isNotNull(), redacted(F.col(text_col), F.col(cut), mark)).otherwise(F.col(text_col))
-    return docs.where(~suspect).unionByName(met.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns)))
+    return docs.where(~has).unionByName(met.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns)))
