@@ -94,7 +94,7 @@ def roundtrip_error(df: DataFrame, x: str, chain: Chain) -> DataFrame:
 
 def flow_sample_over(df: DataFrame, key: str, chain: Chain, seed: int = 0, name: str = "x") -> DataFrame:
     """One draw from the density per key."""
-    return flow_forward(df.select(key, draws.normal(key, seed=seed).alias("_z")), "_z", chain, name).drop("_z")
+    return flow_forward(df.select(key, draws.normal(draws.whole(df, key), seed=seed).alias("_z")), "_z", chain, name).drop("_z")
 
 
 def flow_sample(spark: SparkSession, chain: Chain, n: int, seed: int = 0) -> DataFrame:

@@ -23,7 +23,7 @@ def predictive_draws(
     """One draw from N(mu, sigma) per grid row and run."""
     spread = repeat_runs(grid, runs)
     return spread.withColumn(
-        name, F.col(mu) + F.col(sigma) * draws.normal(F.col(quoted(key)), F.col("run"), seed=seed)
+        name, F.col(mu) + F.col(sigma) * draws.normal(draws.whole(grid, key), F.col("run"), seed=seed)
     )
 
 
@@ -60,20 +60,10 @@ def weight_draws(
     return repeat_runs(grid, runs).withColumn(name, total)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    """Finaliser of the splitmix64 generator (public domain), on unsigned 64-bit integers."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def unit_mask(keys: np.ndarray, units: int, layer: int, rate: float, seed: int) -> np.ndarray:
-    """Kept units of a layer per key, scaled by 1 / (1 - rate)."""
-    with np.errstate(over="ignore"):
-        base = _mix(keys.astype(np.int64).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(seed + 1))
-        base = _mix(base + np.uint64(layer + 1) * np.uint64(0xD1B54A32D192ED03))
-        cell = _mix(base[:, None] + np.arange(1, units + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15))
-    u = (cell >> np.uint64(11)).astype(float) * 2.0**-53
+def unit_mask(keys: np.ndarray | tuple[np.ndarray, ...], units: int, layer: int, rate: float, seed: int) -> np.ndarray:
+    """Kept units of a layer per key (or combination of keys), scaled by 1 / (1 - rate)."""
+    keys = keys if isinstance(keys, tuple) else (keys,)
+    u = draws.uniform_array(*(np.asarray(k)[:, None] for k in keys), layer, np.arange(units)[None, :], seed=seed)
     return (u >= rate) / (1.0 - rate)
 
 
@@ -91,16 +81,16 @@ def dropout_draws(
 
     Units drop independently per grid row and run; kept units are scaled by 1 / (1 - rate).
     """
-    spread = repeat_runs(grid, runs).withColumn("_hash", F.xxhash64(F.col(quoted(key)), F.col("run")))
+    spread = repeat_runs(grid, runs)
     fixed = list(layers)
 
-    def score(hashes: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    def score(keys: np.ndarray, run: np.ndarray, *columns: np.ndarray) -> np.ndarray:
         values = np.stack(columns, axis=1).astype(float)
         for i, layer in enumerate(fixed):
             values = ACTIVATIONS[layer.act][0](values @ layer.weights + layer.bias)
             if i < len(fixed) - 1:
-                values = values * unit_mask(hashes, values.shape[1], i, rate, seed)
+                values = values * unit_mask((keys, run), values.shape[1], i, rate, seed)
         return values
 
-    inputs = [F.col("_hash"), *(F.col(quoted(c)).cast("double") for c in x)]
-    return through_arrays(spread, inputs, score, outputs).drop("_hash")
+    inputs = [draws.whole(grid, key), F.col("run"), *(F.col(quoted(c)).cast("double") for c in x)]
+    return through_arrays(spread, inputs, score, outputs)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.scalars import ColumnLike, as_col
+from ..session import materialize
 from .joins import attach_scalars
 
 # Radius, blur and least opacity of the map's heat layer, and its zoom.
@@ -17,6 +18,10 @@ HEAT_BLUR = 20
 HEAT_MIN_OPACITY = 0.5
 MAP_ZOOM = 10
 
+#: Farthest latitude of the square map, and how many zooms one aggregation of a pyramid gives.
+MAP_LATITUDE = 85.0511287798066
+ZOOMS_A_PASS = 6
+
 
 def extent(df: DataFrame, lat: ColumnLike, lon: ColumnLike) -> DataFrame:
     """Bounding box, number of points and centroid."""
@@ -57,6 +62,43 @@ def heat_cells(df: DataFrame, lat: str, lon: str, zoom: int = MAP_ZOOM, cell_px:
     return placed.groupBy("cx", "cy").agg(F.count("*").alias("points"))
 
 
+def heat_pyramid(
+    df: DataFrame, lat: str, lon: str, finest: int = 18, coarsest: int = 0, cell_px: int = geo.TILE_PIXELS
+) -> DataFrame:
+    """Points per cell at every zoom from ``finest`` to ``coarsest``: zoom, cx, cy, points.
+
+    The points are read once, for the finest zoom. Coarser zooms are sums of finer cells, which are halved per zoom: each
+    pass copies the cells it starts from, not the points, once for each of its ZOOMS_A_PASS zooms, and the last of these starts the
+    next pass. Cells are tiles unless ``cell_px`` says otherwise. Points off the map count in the cell at its border; null coordinates are left out.
+    """
+    if not 0 <= coarsest <= finest:
+        raise ValueError("zooms go from finest down to coarsest, at least 0")
+
+    def cell(c: Column) -> Column:
+        last = F.floor(F.lit((geo.TILE_PIXELS * 2**finest - 1) / cell_px))
+        return F.greatest(F.least(F.floor(c / cell_px), last), F.lit(0).cast("bigint"))
+
+    within = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
+        F.greatest(F.least(F.col(lat), F.lit(MAP_LATITUDE)), F.lit(-MAP_LATITUDE)).alias("lat"),
+        F.greatest(F.least(F.col(lon), F.lit(180.0)), F.lit(-180.0)).alias("lon"),
+    )
+    placed = within.select(cell(geo.pixel_x("lon", finest)).alias("cx"), cell(geo.pixel_y("lat", finest)).alias("cy"))
+    top = materialize(placed.groupBy("cx", "cy").agg(F.count("*").alias("points")))
+    levels, zoom = top.select(F.lit(finest).alias("zoom"), "cx", "cy", "points"), finest
+    while zoom > coarsest:
+        down = min(ZOOMS_A_PASS, zoom - coarsest)
+        copies = top.select("cx", "cy", "points", F.explode(F.sequence(F.lit(1), F.lit(down))).alias("down"))
+        halved = copies.groupBy(
+            (F.lit(zoom) - F.col("down")).alias("zoom"),
+            F.call_function("shiftright", F.col("cx"), F.col("down")).alias("cx"),
+            F.call_function("shiftright", F.col("cy"), F.col("down")).alias("cy"),
+        ).agg(F.sum("points").alias("points"))
+        halved = materialize(halved)
+        levels, zoom = levels.unionByName(halved), zoom - down
+        top = halved.where(F.col("zoom") == zoom)
+    return levels
+
+
 def kernel_offsets(radius: float, blur: float, cell_px: int) -> list[tuple[int, int, float]]:
     """Neighbour cells within radius + blur pixels: full weight up to the radius, then a
     linear fall to 0."""

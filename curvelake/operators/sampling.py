@@ -28,20 +28,30 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.orderBy(h, F.col(quoted(key)))
 
 
+def _poisson_steps(mean: float) -> list[float]:
+    """Distribution function of a Poisson variable at 0, 1, ... up to the last value a draw can exceed."""
+    below, term, k, steps = 0.0, math.exp(-mean), 0, []
+    while below < 1 - 2.0**-52 and k < 50 + 10 * mean:
+        below += term
+        steps.append(below)
+        k += 1
+        term *= mean / k
+    return steps
+
+
 def bootstrap_batch(df: DataFrame, fraction: float, seed: int, key: str | None = None) -> DataFrame:
     """Rows drawn with replacement; each row comes a Poisson(fraction) number of times.
 
     The number follows from the seed and the key (without one, from all columns, so equal rows are drawn alike), whatever
-    the partitioning.
+    the partitioning. Fractions over 100 are drawn as a sum of equal shares of at most 100.
     """
-    u = draws.uniform(*([key] if key else [F.col(quoted(c)) for c in df.columns]), seed=seed)
-    below, term, k, steps = 0.0, math.exp(-fraction), 0, []
-    while below < 1 - 2.0**-52 and k < 50 + 10 * fraction:
-        below += term
-        steps.append(below)
-        k += 1
-        term *= fraction / k
-    times = F.size(F.filter(F.array(*(F.lit(p) for p in steps)), lambda p: u > p))
+    k = draws.whole(df, key) if key else F.xxhash64(*(F.col(quoted(c)) for c in df.columns))
+    shares = max(1, math.ceil(fraction / 100))
+    steps = F.array(*(F.lit(p) for p in _poisson_steps(fraction / shares)))
+    # each draw is bound to an array element, so that it is computed once, not once per step
+    drawn = F.array(*(draws.uniform(k, F.lit(share), seed=seed) for share in range(shares)))
+    counts = F.transform(drawn, lambda u: F.size(F.filter(steps, lambda p: u > p)))
+    times = F.aggregate(counts, F.lit(0), lambda total, n: total + n)
     return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).drop("_copy")
 
 
@@ -68,5 +78,5 @@ def tail_split(df: DataFrame, key: str, held_out: float, name: str = "part") ->
 
 def hash_split(df: DataFrame, key: str, held_out: float, seed: int = 0, name: str = "part") -> DataFrame:
     """Random split by the hash of a key: no pass over the data, stable when rows are added."""
-    u = draws.uniform(key, seed=seed)
+    u = draws.uniform(draws.whole(df, key), seed=seed)
     return df.withColumn(name, F.when(u < held_out, F.lit("validation")).otherwise(F.lit("train")))

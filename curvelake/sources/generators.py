@@ -47,7 +47,7 @@ def sine_over(df: DataFrame, key: str, x: ColumnLike, noise: float = 1.0, seed:
     return df.select(
         F.col(key),
         as_col(x).alias("x"),
-        (sine_curve(x) + F.lit(noise) * draws.normal(key, seed=seed)).alias("y"),
+        (sine_curve(x) + F.lit(noise) * draws.normal(draws.whole(df, key), seed=seed)).alias("y"),
     )
 
 
@@ -77,10 +77,11 @@ def polynomial_data(
 
 
 def two_moons_over(df: DataFrame, key: str, noise: float = 0.05, seed: int = 0) -> DataFrame:
-    """Two interleaved half circles; each key lands on a moon and an angle by its hash."""
-    upper = draws.uniform(key, F.lit("moon"), seed=seed) < 0.5
-    angle = F.lit(math.pi) * draws.uniform(key, F.lit("place"), seed=seed)
-    wobble = [F.lit(noise) * draws.normal(key, F.lit(axis), seed=seed) for axis in ("x1", "x2")]
+    """Two interleaved half circles; each key lands on a moon (draw 0) and an angle (draw 1), then moves by draws 2 and 3."""
+    k = draws.whole(df, key)
+    upper = draws.uniform(k, F.lit(0), seed=seed) < 0.5
+    angle = F.lit(math.pi) * draws.uniform(k, F.lit(1), seed=seed)
+    wobble = [F.lit(noise) * draws.normal(k, F.lit(draw), seed=seed) for draw in (2, 3)]
     return df.select(
         F.col(key),
         (F.when(upper, F.cos(angle)).otherwise(1.0 - F.cos(angle)) + wobble[0]).alias("x1"),
@@ -95,10 +96,11 @@ def two_moons(spark: SparkSession, n: int = 3000, noise: float = 0.05, seed: int
 
 def banana_over(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """x2 ~ N(0, 4), x1 ~ N(x2^2 / 4, 1), both divided by 40."""
-    x2 = F.lit(4.0) * draws.normal(key, F.lit("x2"), seed=seed)
-    return df.select(F.col(key), x2.alias("_x2")).select(
+    k = draws.whole(df, key)
+    x2 = F.lit(4.0) * draws.normal(k, F.lit(2), seed=seed)
+    return df.select(F.col(key), x2.alias("_x2"), draws.normal(k, F.lit(1), seed=seed).alias("_x1")).select(
         F.col(key),
-        ((F.col("_x2") * F.col("_x2") / 4 + draws.normal(key, F.lit("x1"), seed=seed)) / 40).alias("x1"),
+        ((F.col("_x2") * F.col("_x2") / 4 + F.col("_x1")) / 40).alias("x1"),
         (F.col("_x2") / 40).alias("x2"),
     )
 
@@ -110,14 +112,14 @@ def banana_data(spark: SparkSession, n: int = 1500, seed: int = 0) -> DataFrame:
 def uniform_box_over(df: DataFrame, key: str, d: int = 2, seed: int = 0) -> DataFrame:
     """d independent uniform(-1, 1) columns per key."""
     return df.select(
-        F.col(key), *[(draws.uniform(key, F.lit(i), seed=seed) * 2 - 1).alias(f"x{i + 1}") for i in range(d)]
+        F.col(key), *[(draws.uniform(draws.whole(df, key), F.lit(i), seed=seed) * 2 - 1).alias(f"x{i + 1}") for i in range(d)]
     )
 
 
 def normal_box_over(df: DataFrame, key: str, d: int = 2, seed: int = 0) -> DataFrame:
     """d independent N(0, 1) columns per key."""
     return df.select(
-        F.col(key), *[draws.normal(key, F.lit(i), seed=seed).alias(f"x{i + 1}") for i in range(d)]
+        F.col(key), *[draws.normal(draws.whole(df, key), F.lit(i), seed=seed).alias(f"x{i + 1}") for i in range(d)]
     )
 
 

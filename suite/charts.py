@@ -207,6 +207,17 @@ def _(spark, d):
     return heat.heat_cells(points(spark, d), "lat", "lon", cell_px=10)
 
 
+@query(
+    "heat_pyramid",
+    "G3 G4",
+    f"""WITH {POINTS_SQL}, w AS (SELECT 0.5 + lon / 360 AS x, 0.5 - ln(tan(pi() / 4 + radians(lat) / 2)) / (2 * pi()) AS y FROM points)
+        SELECT z::INTEGER AS zoom, floor(x * pow(2, z))::BIGINT AS cx, floor(y * pow(2, z))::BIGINT AS cy, count(*) AS points
+        FROM w, range(19) t(z) GROUP BY ALL""",
+)
+def _(spark, d):
+    return heat.heat_pyramid(points(spark, d), "lat", "lon")
+
+
 @query("heat_surface", "G5", f"WITH {SURFACE_SQL} SELECT cx, cy, {R('weight')} AS weight FROM surface")
 def _(spark, d):
     cells = heat.heat_cells(points(spark, d), "lat", "lon", cell_px=10)

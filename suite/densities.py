@@ -11,6 +11,7 @@ from curvelake.models.regression import standardize
 from curvelake.operators.joins import attach_scalars
 from curvelake.sources import generators
 
+from .draws_sql import normal_sql
 from .registry import R, query, r, table
 
 # A given chain; the values are near those of a fit to the scaled event values.
@@ -177,9 +178,14 @@ def _(spark, d):
     return out.select(r("sum_error", 6).alias("sum_error"), r("max_error", 9).alias("max_error"))
 
 
-@query("flow_sample", "N8")
+@query(
+    "flow_sample",
+    "N8",
+    f"""WITH base AS (SELECT event_id, {normal_sql('event_id', seed=42)} AS z FROM events),
+        {forward_sql('base', 'z', 'event_id')} SELECT event_id, {R('v')} AS x FROM fwd""",
+)
 def _(spark, d):
-    return flows.flow_sample_over(table(spark, d, "events"), "event_id", CHAIN, 42)
+    return flows.flow_sample_over(table(spark, d, "events"), "event_id", CHAIN, 42).withColumn("x", r("x"))
 
 
 @query(

@@ -10,6 +10,7 @@ from curvelake.models import regression as m
 from curvelake.operators import aggregates, joins, sampling
 from curvelake.sources.generators import linspace_over
 
+from .draws_sql import normal_sql, uniform_sql
 from .registry import R, query, r, table
 
 
@@ -406,11 +407,29 @@ def _(spark, d):
 POINTS, RUNS = 1_000, 200
 
 
-@query("predictive_draws", "M18 J5")
+GRID_SQL = f"""{ITEMS_SQL}, e AS (SELECT min(x) AS lo, max(x) AS hi FROM i),
+    g AS (SELECT k AS grid_id, lo + k * (hi - lo) / {POINTS - 1} AS x FROM e, range({POINTS}) t(k))"""
+
+
+def _summary_sql(source: str) -> str:
+    quantiles = ", ".join(f"{R(f'quantile_cont(y, {p})')} AS {name}" for p, name in ((0.025, "lower"), (0.975, "upper")))
+    return f"SELECT grid_id, {R('avg(y)')} AS mean, {quantiles} FROM {source} GROUP BY grid_id"
+
+
+def _rounded(df, *names):
+    return df.withColumns({n: r(n) for n in names})
+
+
+@query(
+    "predictive_draws",
+    "M18 J5",
+    f"""WITH {GRID_SQL} SELECT grid_id, {R('x')} AS x, {R('1.5 * x')} AS mu, {R('1 + x / 10')} AS sigma, run::INTEGER AS run,
+        {R(f"1.5 * x + (1 + x / 10) * {normal_sql('grid_id', 'run', seed=1)}")} AS y_draw FROM g, range({RUNS}) t(run)""",
+)
 def _(spark, d):
     grid = linspace_over(items(spark, d), "x", POINTS)
     model = grid.withColumns({"mu": 1.5 * F.col("x"), "sigma": 1 + F.col("x") / 10})
-    return predictive.predictive_draws(model, "grid_id", "mu", "sigma", RUNS, 1)
+    return _rounded(predictive.predictive_draws(model, "grid_id", "mu", "sigma", RUNS, 1), "x", "mu", "sigma", "y_draw")
 
 
 @query(
@@ -424,21 +443,40 @@ def _(spark, d):
     return out.select("c_custkey", *[r(c).alias(c) for c in ("mean", "lower", "upper")])
 
 
-@query("weight_draws", "M20 M19")
+@query(
+    "weight_draws",
+    "M20 M19",
+    f"""WITH {GRID_SQL}, w AS (SELECT run, 0.5 + 0.3 * {normal_sql('run', 0, seed=3)} AS a, 1.4 + 0.05 * {normal_sql('run', 1, seed=3)} AS b
+            FROM range({RUNS}) t(run)), d AS (SELECT grid_id, a + b * x AS y FROM g, w) {_summary_sql('d')}""",
+)
 def _(spark, d):
     grid = linspace_over(items(spark, d), "x", POINTS)
     drawn = predictive.weight_draws(grid, ["x"], [0.5, 1.4], [0.3, 0.05], RUNS, 3)
-    return predictive.draw_summary(drawn, ["grid_id"])
+    return _rounded(predictive.draw_summary(drawn, ["grid_id"]), "mean", "lower", "upper")
 
 
 DROPOUT_NET = nets.new_net(1, [10, 20, 6, 2], ["sigmoid", "sigmoid", "sigmoid", "linear"], seed=4)
 
 
-@query("dropout_draws", "M21 M19")
+def _dropout_sql() -> str:
+    """The net layer by layer: lists of kept units, weights as lists of lists."""
+    ctes, before = [f"h0 AS (SELECT grid_id, run, [x / 50] AS h FROM g, range({RUNS}) t(run))"], "h0"
+    for n, layer in enumerate(DROPOUT_NET):
+        rows = "[" + ", ".join("[" + ", ".join(f"{v!r}::DOUBLE" for v in map(float, column)) + "]" for column in layer.weights.T) + "]"
+        z = f"list_dot_product({rows}[u + 1], h)"
+        if n < len(DROPOUT_NET) - 1:
+            keep = f"CASE WHEN {uniform_sql('grid_id', 'run', n, 'u', seed=5)} >= 0.2 THEN 1 / (1 - 0.2::DOUBLE) ELSE 0 END"
+            z = f"1 / (1 + exp(-{z})) * {keep}"
+        ctes.append(f"h{n + 1} AS (SELECT grid_id, run, list_transform(range({layer.weights.shape[1]}), lambda u: {z}) AS h FROM {before})")
+        before = f"h{n + 1}"
+    return f"WITH {GRID_SQL}, {', '.join(ctes)}, d AS (SELECT grid_id, h[1] AS y FROM {before}) {_summary_sql('d')}"
+
+
+@query("dropout_draws", "M21 M19", _dropout_sql())
 def _(spark, d):
     grid = linspace_over(items(spark, d), "x", POINTS).withColumn("x", F.col("x") / 50)
     drawn = predictive.dropout_draws(grid, "grid_id", ["x"], DROPOUT_NET, 0.2, RUNS, 5)
-    return predictive.draw_summary(drawn, ["grid_id"], "mu")
+    return _rounded(predictive.draw_summary(drawn, ["grid_id"], "mu"), "mean", "lower", "upper")
 
 
 # --- nets -----------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from curvelake.operators import sampling
 from curvelake.session import scratch_path
 from curvelake.sources import generators, readers, sinks
 
+from .draws_sql import normal_sql, uniform_sql
 from .registry import CARS_SQL, R, cars, query, r, table
 
 
@@ -166,24 +167,50 @@ def _(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", r(y).alias("y"))
 
 
-@query("two_moons_sample", "S15")
+def _rounded(df, *names):
+    return df.withColumns({n: r(n) for n in names})
+
+
+@query(
+    "two_moons_sample",
+    "S15",
+    f"""WITH u AS (SELECT event_id, {uniform_sql('event_id', 0, seed=1)} AS side, pi() * {uniform_sql('event_id', 1, seed=1)} AS t,
+            0.05 * {normal_sql('event_id', 2, seed=1)} AS w1, 0.05 * {normal_sql('event_id', 3, seed=1)} AS w2 FROM events)
+        SELECT event_id, {R('CASE WHEN side < 0.5 THEN cos(t) ELSE 1 - cos(t) END + w1')} AS x1,
+            {R('CASE WHEN side < 0.5 THEN sin(t) ELSE 0.5 - sin(t) END + w2')} AS x2,
+            CASE WHEN side < 0.5 THEN 0 ELSE 1 END AS moon FROM u""",
+)
 def _(spark, d):
-    return generators.two_moons_over(table(spark, d, "events"), "event_id", 0.05, 1)
+    return _rounded(generators.two_moons_over(table(spark, d, "events"), "event_id", 0.05, 1), "x1", "x2")
 
 
-@query("banana_sample", "S16")
+@query(
+    "banana_sample",
+    "S16",
+    f"""WITH u AS (SELECT event_id, 4 * {normal_sql('event_id', 2, seed=1)} AS b, {normal_sql('event_id', 1, seed=1)} AS a FROM events)
+        SELECT event_id, {R('(b * b / 4 + a) / 40')} AS x1, {R('b / 40')} AS x2 FROM u""",
+)
 def _(spark, d):
-    return generators.banana_over(table(spark, d, "events"), "event_id", 1)
+    return _rounded(generators.banana_over(table(spark, d, "events"), "event_id", 1), "x1", "x2")
 
 
-@query("uniform_box_sample", "S17")
+@query(
+    "uniform_box_sample",
+    "S17",
+    f"""SELECT event_id, {R(uniform_sql('event_id', 0, seed=1) + ' * 2 - 1')} AS x1,
+        {R(uniform_sql('event_id', 1, seed=1) + ' * 2 - 1')} AS x2 FROM events""",
+)
 def _(spark, d):
-    return generators.uniform_box_over(table(spark, d, "events"), "event_id", 2, 1)
+    return _rounded(generators.uniform_box_over(table(spark, d, "events"), "event_id", 2, 1), "x1", "x2")
 
 
-@query("normal_box_sample", "S17")
+@query(
+    "normal_box_sample",
+    "S17",
+    f"""SELECT event_id, {R(normal_sql('event_id', 0, seed=1))} AS x1, {R(normal_sql('event_id', 1, seed=1))} AS x2 FROM events""",
+)
 def _(spark, d):
-    return generators.normal_box_over(table(spark, d, "events"), "event_id", 2, 1)
+    return _rounded(generators.normal_box_over(table(spark, d, "events"), "event_id", 2, 1), "x1", "x2")
 
 
 # --- writers and catalog --------------------------------------------------------------
@@ -620,9 +647,17 @@ def _(spark, d):
     return sampling.seeded_shuffle(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 1234)
 
 
-@query("bootstrap_batch", "L5")
+@query(
+    "bootstrap_batch",
+    "L5",
+    f"""WITH RECURSIVE p AS (SELECT 0 AS k, exp(-0.5::DOUBLE) AS term, exp(-0.5::DOUBLE) AS below
+            UNION ALL SELECT k + 1, term * 0.5 / (k + 1), below + term * 0.5 / (k + 1) FROM p WHERE k < 25),
+        u AS (SELECT o_orderkey, o_totalprice, {uniform_sql('o_orderkey', 0, seed=42)} AS u FROM orders)
+        SELECT o_orderkey, o_totalprice FROM u JOIN p ON u.u > p.below""",
+)
 def _(spark, d):
-    return sampling.bootstrap_batch(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), 0.5, 42)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return sampling.bootstrap_batch(orders, 0.5, 42, "o_orderkey")
 
 
 @query(
@@ -635,7 +670,11 @@ def _(spark, d):
     return sampling.tail_split(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 0.4)
 
 
-@query("hash_split", "L6")
+@query(
+    "hash_split",
+    "L6",
+    f"SELECT o_orderkey, CASE WHEN {uniform_sql('o_orderkey', seed=3)} < 0.2 THEN 'validation' ELSE 'train' END AS part FROM orders",
+)
 def _(spark, d):
     return sampling.hash_split(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 0.2, 3)
 

@@ -376,3 +376,23 @@ def test_growth_reads_its_table_once(spark, tmp_path):
     assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()  # all that is left reads the one aggregate
     got = {r["year"]: (r["v_to_base_a"], r["v_to_base_b"], r["v_to_base_c"]) for r in out.collect()}
     assert got == {2000: (1.0, 1.0, None), 2001: (2.0, 1.0, None)}
+
+
+def test_heat_pyramid_counts_every_point_at_every_zoom(spark):
+    given = [(41.7, -87.8), (41.7, -87.8), (-33.9, 151.2), (90.0, 180.0), (-90.0, -180.0), (None, 1.0), (1.0, None)]
+    df = spark.createDataFrame(given, "lat double, lon double")
+    got = heat.heat_pyramid(df, "lat", "lon").collect()
+    assert {r["zoom"] for r in got} == set(range(19))
+    for z in range(19):
+        cells = {(r["cx"], r["cy"]): r["points"] for r in got if r["zoom"] == z}
+        assert sum(cells.values()) == 5 and all(0 <= c < 2**z for at in cells for c in at)
+        assert cells[(2**z - 1, 0)] >= 1 and cells[(0, 2**z - 1)] >= 1  # points off the map count at its border
+    assert heat.heat_pyramid(df.limit(0), "lat", "lon").count() == 0
+    plain = {(r["cx"], r["cy"], r["points"]) for r in heat.heat_cells(df.limit(3), "lat", "lon", 7, 16).collect()}
+    assert plain == {(r["cx"], r["cy"], r["points"]) for r in heat.heat_pyramid(df.limit(3), "lat", "lon", 7, 3, 16).collect() if r["zoom"] == 7}
+
+
+def test_bootstrap_with_large_fractions(spark):
+    drawn = sampling.bootstrap_batch(spark.range(200), 1000.0, 3, "id").groupBy("id").count()
+    n, mean, sd = drawn.agg(F.count("*"), F.avg("count"), F.stddev("count")).first()
+    assert n == 200 and abs(mean - 1000) < 10 and 25 < sd < 40

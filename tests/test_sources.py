@@ -1,8 +1,10 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from curvelake.functions import draws
 from curvelake.sources import generators, readers, sinks
 
 
@@ -99,6 +101,28 @@ def test_generators_moments(spark):
     assert sd2 == pytest.approx(4, abs=0.1) and abs(mean) < 0.03 and sd == pytest.approx(1, abs=0.03)
 
 
+def test_draws_are_uniform_and_equal_in_arrays(spark):
+    keys = [0, 1, -1, 7, 2**31 - 1, 2**31, 2**62, -(2**62), *range(100, 5100)]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    got = [r["u"] for r in df.select(draws.uniform("k", F.lit(3), seed=5).alias("u")).collect()]
+    assert got == draws.uniform_array(np.array(keys), 3, seed=5).tolist()
+    assert 0 < min(got) and max(got) < 1 and len(set(got)) == len(got)
+    u = draws.uniform_array(np.arange(200_000)[:, None], np.arange(4)[None, :])
+    for column in u.T:
+        assert np.abs(np.histogram(column, 100, (0, 1))[0] - 2000).max() < 250  # over five deviations
+    assert np.abs(np.corrcoef(u.T) - np.eye(4)).max() < 0.01
+    assert abs(np.corrcoef(u[:-1, 0], u[1:, 0])[0, 1]) < 0.01
+    low = np.floor(u[:, 0] * 2**40) % 2**8  # bits 33 to 40
+    assert np.abs(np.bincount(low.astype(int), minlength=256) - 200_000 / 256).max() < 170
+
+
+def test_keys_of_draws_of_any_type(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, 2)], "s string, n int")
+    for key in ("s", "n"):
+        drawn = generators.uniform_box_over(df, key, 1).collect()
+        assert len({r["x1"] for r in drawn}) == 3 and all(-1 < r["x1"] < 1 for r in drawn)
+
+
 def test_draws_do_not_depend_on_partitioning(spark):
     ids = spark.range(1000)
     a = generators.normal_box_over(ids.repartition(7), "id").orderBy("id").collect()
