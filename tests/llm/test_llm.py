@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 from oracle import connect, differences
 from pyspark.sql import functions as F
 
@@ -284,6 +285,76 @@ def test_license_base_by_definition(spark):
     assert 200 <= len(licenses.signature_rules()) <= 400
 
 
+LICENSE_TEXTS = {
+    "License: MIT": "mit", "Licensed under MIT": "mit", "Licensed under Apache 2.0": "apache-2", "License: Apache-2.0": "apache-2",
+    "licensed under the GPL": "gpl", "MPL-2.0": "mpl-2", "Permission is hereby granted, free of charge": "mit",
+    "# SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2,mit", "under ASL 2.0": "apache-2",
+    "* you may not use this file except\n * in compliance with the License.": "apache-2",
+    "GNU General Public License as published by\n# the Free Software Foundation; either version 3 of the License": "gpl-3",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted": "bsd",
+    "see https://creativecommons.org/licenses/by-sa/4.0/": "cc-by-sa", "we submit text on python 2.0 in the apache region under mitigation": "",
+}
+
+
+def _all_labels(text):
+    """All rules on all words, without keywords and stems; every pair of detections compared."""
+    words = " " + " ".join(w for w in regex.split(licenses.BETWEEN, text or "") if w).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")) + " "
+    found = sorted(
+        (m.start(), -m.end(), tier, order, weight, label)
+        for order, tier, weight, label, _, pattern in licenses.signature_rules()
+        for m in regex.finditer(pattern, words)
+    )
+    stand = [d for i, d in enumerate(found) if not any(e[0] <= d[0] and e[1] <= d[1] and e[2] <= d[2] for e in found[:i])]
+    base = {label for phrase, label in licenses.BASE if f" {phrase} " in words}
+    return ",".join(sorted(base | {d[5] for d in stand})), max([d[4] for d in stand] + [1.0] * bool(base), default=0.0)
+
+
+def test_license_texts_and_brute_force(spark):
+    given = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts = [*LICENSE_TEXTS, None, "", " \n", *given]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(rows(spark, texts)).collect()}
+    for i, (text, labels) in enumerate(LICENSE_TEXTS.items()):
+        assert got[i][0] == labels, text
+    assert got == {i: _all_labels(text) for i, text in enumerate(texts)}
+
+
+def _matches(parsed, random):
+    """A random string of a parsed regex (lookarounds: nothing)."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = random.choice(arg)
+            out += chr(value) if str(kind) == "LITERAL" else chr(random.randint(*value))
+        elif op == "BRANCH":
+            out += _matches(random.choice(arg[1]), random)
+        elif op == "SUBPATTERN":
+            out += _matches(arg[-1], random)
+        elif op == "MAX_REPEAT":
+            out += "".join(_matches(arg[2], random) for _ in range(random.randint(arg[0], min(int(arg[1]), arg[0] + 3))))
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT"), op
+    return out
+
+
+def test_license_keywords_and_stems_reject_no_match():
+    import random
+    from re import _parser
+
+    draw = random.Random(1)
+    for _, _, _, label, keywords, pattern in licenses.signature_rules():
+        # behind an "or" of an expression there is "spdx" before the match, a stem of its own
+        plain = pattern.replace("|(?<= spdx (?:license identifier )?[a-z0-9 ]{0,80}(?:or|and) )", "")
+        parsed = _parser.parse(plain)
+        for _ in range(60):
+            text = f" {_matches(parsed, draw)} "
+            assert regex.search(pattern, text), (pattern, text)
+            assert any(k in text for k in keywords), (label, text)
+            assert any(stem in text for stem in licenses.STEMS), (label, text)
+
+
 def test_secrets_on_unseen_findings(spark):
     model = secrets.train(secrets.labelled_findings(spark, 2_000))
     key = hashlib.sha1(b"k").hexdigest()
