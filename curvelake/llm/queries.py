@@ -146,7 +146,7 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality_classifier")
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return quality.classify(docs, table(spark, sf_dir, "labels"))
 
 
 @query("op7_sentencepiece")

@@ -375,6 +375,36 @@ def test_quality_on_held_out_labels(spark):
     assert quality.train(d.limit(0), labels.limit(0)).prior == 0.5
 
 
+def test_quality_sums_over_the_cluster_equal_those_of_arrays(spark):
+    x = np.random.default_rng(2).uniform(size=(500, len(quality.FEATURES)))
+    p, w = x[:100] * 0.5, np.linspace(-2, 2, len(quality.FEATURES) + 1)
+    spread = quality.Spread(spark.createDataFrame(x.tolist(), list(quality.FEATURES)).repartition(5))
+    held = quality.Held(np.hstack([x, np.ones((500, 1))]))
+    for of, given in ((quality._sums, (w,)), (quality._above, (w, np.array([-1.0, 0.0, 1.0])))):
+        assert np.allclose(spread.total(of, *given), held.total(of, *given))
+    a, b = quality.fit(p, spread, 0.4), quality.fit(p, x, 0.4)
+    assert np.allclose(a.weights, b.weights, atol=1e-5) and quality.fit(p, x).prior == pytest.approx(quality.fit(p, spread).prior)
+
+
+def test_quality_fit_is_the_least_risk(spark):
+    """Against plain gradient steps on the same risk; no unlabelled row is left out."""
+    rng = np.random.default_rng(3)
+    k = len(quality.FEATURES)
+    p, u = rng.normal(0.3, 0.2, (400, k)), np.vstack([rng.normal(0.3, 0.2, (600, k)), rng.normal(0.5, 0.2, (400, k))])
+    model = quality.fit(p, u, 0.6)
+    ones = lambda x: np.hstack([x, np.ones((len(x), 1))])
+
+    def risk(w):
+        zp, zu = ones(p) @ w, ones(u) @ w
+        return 0.6 * np.logaddexp(0, -zp).mean() + max(0, np.logaddexp(0, zu).mean() - 0.6 * np.logaddexp(0, zp).mean()) + 5e-5 * w @ w
+
+    w = np.zeros(k + 1)
+    for _ in range(20_000):
+        s = 1 / (1 + np.exp(-(ones(u) @ w)))
+        w -= 0.5 * (ones(u).T @ s / len(u) - 0.6 * ones(p).mean(axis=0) + 1e-4 * w)
+    assert risk(np.array([*model.weights, model.bias])) <= risk(w) + 1e-4
+
+
 def test_quality_prior():
     rng = np.random.default_rng(0)
     good = rng.normal(0, 1, (4000, 2)) + [2, 0]
