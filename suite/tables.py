@@ -128,10 +128,16 @@ def _(spark, d):
     return readers.extract_points(pages, "html", ["c_custkey"])
 
 
-@query("sine_noisy", "S12")
+@query(
+    "sine_noisy",
+    "S12",
+    f"""SELECT event_id, {R('value * 2 * pi() / 500')} AS x,
+        {R(f"3 * sin(value * 2 * pi() / 500) + {normal_sql('event_id', seed=7)}")} AS y FROM events""",
+)
 def _(spark, d):
     x = F.col("value") * F.lit(2 * 3.141592653589793 / 500)
-    return generators.sine_over(table(spark, d, "events"), "event_id", x, 1.0, 7)
+    out = generators.sine_over(table(spark, d, "events"), "event_id", x, 1.0, 7)
+    return out.select("event_id", r("x").alias("x"), r("y").alias("y"))
 
 
 @query(
