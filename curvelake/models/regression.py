@@ -172,66 +172,74 @@ def solve_ridge(mo: Moments, m: int, alpha: float) -> np.ndarray:
     return _times(np.linalg.pinv(design / size[:, None, :]), wanted) / size
 
 
-def _sparse_minimum(cov: np.ndarray, pull: np.ndarray, cost: np.ndarray, tol: float = 1e-10) -> np.ndarray:
-    """Least w'Cw / 2 - p'w + cost'|w| by feature-sign search (Lee et al. 2006).
+def _sparse_minimum(root: np.ndarray, target: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Least |Rw - t|^2 / 2 + cost'|w| by an active set (Lawson and Hanson 1974, for coefficients of either sign).
 
     Coefficients enter one at a time with a fixed sign; the smooth problem of the present signs
-    is solved, and the move stops where a coefficient reaches 0. Ends after finitely many steps
-    also where coordinate descent crawls because powers of x are almost collinear.
+    is solved from the singular values of R, and the move stops where a coefficient reaches 0, which then leaves. No move is
+    judged by the value it gains: powers of x are almost collinear, and moves far along them gain less than rounding shows.
+    What leaves at once waits until others have moved.
     """
-    w, sign = np.zeros(len(pull)), np.zeros(len(pull))
-    value = lambda v: v @ cov @ v / 2 - pull @ v + cost @ np.abs(v)
-    for _ in range(200):
-        slope = cov @ w - pull
-        excess = np.where(sign == 0, np.abs(slope) - cost, -np.inf)
-        j = int(np.argmax(excess))
+    w, sign, waits = np.zeros(len(cost)), np.zeros(len(cost)), np.zeros(len(cost), bool)
+    tol = 1e-11 * np.linalg.norm(target)
+    for _ in range(100 * (len(cost) + 1)):
+        slope = root.T @ (root @ w - target)
+        excess = np.where((sign != 0) | waits, -np.inf, np.abs(slope) - cost)
+        j, moved = int(np.argmax(excess)), False
         if excess[j] <= tol:
             break
         sign[j] = -np.sign(slope[j])
-        while True:
+        while sign.any():
             active = np.flatnonzero(sign)
-            goal = np.zeros_like(w)
-            goal[active] = np.linalg.lstsq(
-                cov[np.ix_(active, active)], pull[active] - cost[active] * sign[active], rcond=1e-14
-            )[0]
-            # Points where a coefficient changes sign on the way, and the end of the way.
-            tries = [(value(goal), 1.0, goal)]
-            for i in active:
-                if w[i] * goal[i] < 0:
-                    step = w[i] / (w[i] - goal[i])
-                    point = w + step * (goal - w)
-                    point[i] = 0.0
-                    tries.append((value(point), step, point))
-            best, step, point = min(tries, key=lambda x: x[0])
-            stuck = best >= value(w) - 1e-15 * (1 + abs(best))
-            if not stuck:
-                w = point
-            settled = stuck or (step == 1.0 and (np.sign(w) == sign).all())
-            sign = np.sign(w)
-            if settled:
+            left, size, right = np.linalg.svd(root[:, active])
+            way = np.zeros_like(w)
+            tied = len(size) < len(active) or size[-1] <= 1e-13 * size[0]
+            if tied:  # a way along which only the cost changes: down it until a coefficient reaches 0
+                way[active] = right[-1] * (-1.0 if cost[active] * sign[active] @ right[-1] > 0 else 1.0)
+                leaving = active[way[active] * sign[active] < 0]
+            else:
+                right = right / size[:, None]
+                way[active] = right.T @ (left.T[: len(active)] @ target - right @ (cost[active] * sign[active])) - w[active]
+                leaving = active[(w + way)[active] * sign[active] <= 0]
+            # The share of the way after which each of these reaches 0.
+            shares = np.minimum(np.abs(w[leaving]) / np.maximum(np.abs(way[leaving]), 1e-300), np.inf if tied else 1.0)
+            if tied and not len(leaving):
+                leaving, shares = np.array([j]), np.zeros(1)
+            step = shares.min(initial=np.inf if tied else 1.0)
+            moved |= step > 0
+            w = w + step * way
+            if not len(leaving):
                 break
-        if stuck:
-            break
-    slope = cov @ w - pull
+            gone = leaving[shares <= step]
+            w[gone] = sign[gone] = 0.0
+        if moved:
+            waits[:] = False
+        waits[j] = sign[j] == 0
+    slope = root.T @ (root @ w - target)
     off = np.where(w == 0, np.maximum(np.abs(slope) - cost, 0), np.abs(slope + cost * np.sign(w)))
-    if off.max(initial=0.0) > 1e-6 * (1 + np.abs(pull).max(initial=0.0)):
+    if off.max(initial=0.0) > 1e-6 * (1 + np.abs(root.T @ target).max(initial=0.0)) + 1e-14 * np.abs(w).sum():
         raise ValueError(f"the lasso search ended {off.max():.3g} away from its optimality conditions")
     return w
 
 
 def solve_lasso(mo: Moments, m: int, alpha: float) -> np.ndarray:
-    """Least |y - Xw - b|^2 / 2n + alpha |w|_1 from the moments."""
-    basis = mo.bases(_power_basis, m)
-    turned = basis.swapaxes(1, 2)
-    gram, xy, n = turned @ mo.gram(m) @ basis, _times(turned, mo.ty[:, : m + 1]), mo.n[:, None]
-    mean, mean_y = gram[:, 0, 1:] / n, xy[:, :1] / n
-    cov = gram[:, 1:, 1:] / n[:, :, None] - mean[:, :, None] * mean[:, None, :]
-    cxy = xy[:, 1:] / n - mean * mean_y
-    sd = np.sqrt(np.clip(np.einsum("gii->gi", cov), 0, None))
+    """Least |y - Xw - b|^2 / 2n + alpha |w|_1 from the moments.
+
+    The centred normal matrix is rooted in Chebyshev polynomials, where it is well conditioned, and only its root is rewritten in powers.
+    """
+    basis, n = mo.bases(_power_basis, m), mo.n[:, None]
+    gram, ty = mo.gram(m) / n[:, :, None], mo.ty[:, : m + 1] / n
+    mean, mean_y = gram[:, 0, :], ty[:, :1]
+    values, vectors = np.linalg.eigh(gram[:, 1:, 1:] - mean[:, 1:, None] * mean[:, None, 1:])
+    known = values > RANK_CUT * np.einsum("gii->g", gram)[:, None]
+    size = np.sqrt(np.where(known, values, 0.0))
+    root = size[:, :, None] * vectors.swapaxes(1, 2) @ basis[:, 1:, 1:]
+    along = np.einsum("gji,gj->gi", vectors, ty[:, 1:] - mean[:, 1:] * mean_y)
+    target = np.where(known, along / np.where(known, size, 1.0), 0.0)
+    sd = np.linalg.norm(root, axis=1)
     sd[sd == 0] = 1.0
-    scaled = cov / (sd[:, :, None] * sd[:, None, :])
-    w = np.stack([_sparse_minimum(c, p, k) for c, p, k in zip(scaled, cxy / sd, alpha / sd)]) / sd
-    return np.concatenate([mean_y - np.sum(mean * w, axis=1, keepdims=True), w], axis=1)
+    w = np.stack([_sparse_minimum(r, t, k) for r, t, k in zip(root / sd[:, None, :], target, alpha / sd)]) / sd
+    return np.concatenate([mean_y - np.sum(_times(basis.swapaxes(1, 2), mean)[:, 1:] * w, axis=1, keepdims=True), w], axis=1)
 
 
 # --- fits -----------------------------------------------------------------------------

@@ -413,3 +413,29 @@ def test_keys_stay_in_the_jvm(spark):
     df = spark.createDataFrame([(big, 0.5, 0.25), (None, 0.1, 0.2)], "id long, x double, z double")
     out = nets.through_arrays(df, ["x", "z"], lambda a, b: np.column_stack([a + b]), ["s"])
     assert {(r["id"], round(r["s"], 6)) for r in out.collect()} == {(big, 0.75), (None, 0.3)}
+
+
+@pytest.mark.parametrize("degree, alpha", [(6, 0.2), (9, 0.02)])
+def test_lasso_over_collinear_powers_reaches_its_optimum(spark, degree, alpha):
+    """The search by values ended 0.004 and 0.0005 away, with an error."""
+    i = F.col("id")
+    df = spark.range(3000).select((i % 50 + 1.0).alias("x"), ((i % 50 + 1.0) * (0.9 + i * 7919 % 1000 / 1000.0 * 1.2)).alias("y"))
+    w = np.array([r["value"] for r in m.fit_lasso(df, "x", "y", degree, alpha).orderBy("term").collect()])
+    rows = df.toPandas()
+    powers = np.stack([rows.x.to_numpy() ** k for k in range(1, degree + 1)], axis=1)
+    left = rows.y.to_numpy() - w[0] - powers @ w[1:]
+    sd = powers.std(axis=0)
+    slope = -(powers - powers.mean(axis=0)).T @ left / len(rows) / sd
+    off = np.where(w[1:] == 0, np.maximum(np.abs(slope) - alpha / sd, 0), np.abs(slope + np.sign(w[1:]) * alpha / sd))
+    assert off.max() < 1e-7 and abs(left.mean()) < 1e-7
+
+
+def test_lasso_with_fewer_points_than_powers(spark):
+    rows = [(float(x), float(x * x % 7)) for x in (1, 4, 9, 12, 17)]
+    w = np.array([r["value"] for r in m.fit_lasso(spark.createDataFrame(rows, "x double, y double"), "x", "y", 7, 0.0056).orderBy("term").collect()])
+    x, y = np.array(rows).T
+    left = y - w[0] - sum(w[k] * x**k for k in range(1, 8))
+    powers = np.stack([x**k for k in range(1, 8)], axis=1)
+    sd = powers.std(axis=0)
+    slope = -(powers - powers.mean(axis=0)).T @ left / 5 / sd
+    assert np.where(w[1:] == 0, np.maximum(np.abs(slope) - 0.0056 / sd, 0), np.abs(slope + np.sign(w[1:]) * 0.0056 / sd)).max() < 1e-7
