@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.draws import uniform
+from ..functions.draws import uniform, whole
 from ..functions.likelihood import LOG_2PI, rate_at
 from ..functions.scalars import quoted
 
@@ -122,7 +122,7 @@ def _summed(data: DataFrame, xs: Sequence[str], of: Callable[[np.ndarray, np.nda
 def _prepare(df: DataFrame, x: Sequence[str], y: str, key: str | None, held: bool) -> DataFrame:
     """Inputs, target, key and whether the row is held out; rows without an input or the target are left out."""
     numbers = [F.col(quoted(c)).cast("double").alias(c) for c in x]
-    keyed = (F.col(quoted(key)) if key else F.lit(None).cast("string")).alias("_key")
+    keyed = (whole(df, key) if key else F.lit(None).cast("bigint")).alias("_key")
     rows = df.select(*numbers, F.col(quoted(y)).cast("double").alias("_y"), keyed, F.lit(held).alias("_held"))
     return rows.dropna(subset=[*(quoted(c) for c in x), "_y"])
 

@@ -439,3 +439,14 @@ def test_lasso_with_fewer_points_than_powers(spark):
     sd = powers.std(axis=0)
     slope = -(powers - powers.mean(axis=0)).T @ left / 5 / sd
     assert np.where(w[1:] == 0, np.maximum(np.abs(slope) - 0.0056 / sd, 0), np.abs(slope + np.sign(w[1:]) * 0.0056 / sd)).max() < 1e-7
+
+
+def test_batches_by_text_keys(spark):
+    """Texts are drawn by their hash; they were cast to whole numbers, which raised."""
+    df = spark.range(500).selectExpr("concat_ws('-', id, id % 7) AS k", "id / 250.0 - 1 AS x", "sin(id / 80.0) AS y")
+    net = nets.new_net(1, [3, 1], ["tanh", "linear"], seed=2)
+    runs = []
+    for parts in (2, 5):
+        trained, history = nets.fit_net(df.repartition(parts), ["x"], "y", net, steps=4, batches=nets.Batches("k", 0.3, 9))
+        runs.append([*nets.pack(trained), *(r["loss"] for r in history.orderBy("step").collect())])
+    assert runs[0] == pytest.approx(runs[1], abs=1e-10)
