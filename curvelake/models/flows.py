@@ -20,6 +20,7 @@ from ..functions.likelihood import LOG_2PI, rate_at
 from ..functions.scalars import ColumnLike, as_col, asinh, log_cosh, quoted
 from ..operators.joins import fresh
 from ..sources.generators import linspace
+from .blocks import Arrays, blocks as in_blocks, summed
 
 
 @dataclass(frozen=True)
@@ -133,33 +134,38 @@ HISTORY = "model string, step int, loss double"
 CONVERGED = f"{HISTORY}, gradient double, passes int, stopped string"
 
 
-def flow_slopes(data: DataFrame, x: str, params: np.ndarray) -> np.ndarray:
-    """Mean log density and its slopes by (shift, scale, skew, tail) of each block, in one aggregation over ``data``.
-
-    The chain rule is written out in Columns, one projection per block: forward through the blocks, then back.
-    """
-    log_p, sums = F.lit(0.0), []
-    out = data.select(F.col(quoted(x)).alias("v0"))
-    at = lambda i, k: F.lit(float(params[i][k]))
-    for i in range(len(params)):
-        # what is repeated within a projection is computed once
-        u = (F.col(f"v{i}") - at(i, 0)) / at(i, 1)
-        a = asinh(u)
-        t = a / at(i, 3) - at(i, 2)
-        out = out.withColumns({f"u{i}": u, f"a{i}": a, f"t{i}": t, f"v{i + 1}": F.sinh(t)})
-        log_p = log_p + log_cosh(F.col(f"t{i}")) - F.lit(0.5) * F.log1p(F.col(f"u{i}") * F.col(f"u{i}"))
-    last = F.col(f"v{len(params)}")
-    sums.append(F.avg(log_p - F.lit(0.5) * last * last))
-    down = -last
-    for i in range(len(params) - 1, -1, -1):
-        u, t = F.col(f"u{i}"), F.col(f"t{i}")
-        d = down * F.cosh(t) + F.tanh(t)
-        out = out.withColumns({f"d{i}": d, f"w{i}": d / (at(i, 3) * F.sqrt(F.lit(1.0) + u * u)) - u / (F.lit(1.0) + u * u)})
-        down = F.col(f"w{i}") / at(i, 1)
-    for i in range(len(params)):
-        u, a, d, w = (F.col(f"{k}{i}") for k in "uadw")
-        sums += [F.avg(w), F.avg(w * u), F.avg(d), F.avg(d * a)]
-    means = np.array([np.nan if s is None else s for s in out.agg(*(s.alias(f"s{k}") for k, s in enumerate(sums))).first()])
+def _block_sums(x: np.ndarray, params: np.ndarray) -> np.ndarray:
+    """Rows, then sums of the log density and its slopes that :func:`_slopes` makes means of; the chain rule forward through the blocks and back."""
+    log_p, v, trace = np.zeros(len(x)), x, []
+    for shift, scale, skew, tail in params:
+        u = (v - shift) / scale
+        root = np.sqrt(1.0 + u * u)
+        a = np.copysign(np.log(np.abs(u) + root), u)
+        t = a / tail - skew
+        size = np.abs(t)
+        low = np.exp(-size)
+        high, square = 1.0 / low, low * low
+        v = np.copysign(0.5 * (high - low), t)
+        log_p += size + np.log1p(square) - math.log(2.0) - np.log(root)
+        trace.append((u, a, root, 0.5 * (high + low), np.copysign((1.0 - square) / (1.0 + square), t)))
+    sums, down = [], -v
+    for (_, scale, _, tail), (u, a, root, cosh, tanh) in zip(params[::-1], trace[::-1]):
+        d = down * cosh + tanh
+        w = (d / tail - u / root) / root
+        sums.append([w.sum(), (w * u).sum(), d.sum(), (d * a).sum()])
+        down = w / scale
+    return np.concatenate([[len(x), (log_p - 0.5 * v * v).sum()], *sums[::-1]])
+
+
+def _slopes(table: DataFrame, params: np.ndarray) -> np.ndarray:
+    """Mean log density and its slopes from the blocks of the values; NaN without rows."""
+
+    def sums(block: Arrays) -> np.ndarray:
+        with np.errstate(all="ignore"):  # a step too far gives values that are not finite
+            return _block_sums(block["_x"], params)
+
+    total = summed(table, {"_x": float}, sums)
+    means = total[1:] / total[0] if len(total) else np.full(1 + params.size, np.nan)
     _, scale, _, tail = params.T
     mean = means[0] - 0.5 * LOG_2PI - np.log(np.abs(scale)).sum() - np.log(np.abs(tail)).sum()
     slope = means[1:].reshape(params.shape)
@@ -167,6 +173,11 @@ def flow_slopes(data: DataFrame, x: str, params: np.ndarray) -> np.ndarray:
     return np.concatenate([[mean], by_block.ravel()])
 
 
+def flow_slopes(data: DataFrame, x: str, params: np.ndarray) -> np.ndarray:
+    """Mean log density and its slopes by (shift, scale, skew, tail) of each block, in one aggregation over ``data``."""
+    return _slopes(in_blocks(_values(data, x)), params)
+
+
 def _values(df: DataFrame, x: str) -> DataFrame:
     return df.select(F.col(quoted(x)).cast("double").alias("_x")).dropna()
 
@@ -187,10 +198,10 @@ def fit_flow(
     """
     schedule = schedule or {"kind": "constant", "rate": 0.01}
     params = np.array([astuple(b) for b in (start or [Block()] * blocks)], dtype=float)
-    data, history = _values(df, x).persist(), []
+    data, history = in_blocks(_values(df, x)).persist(), []
     try:
         for step in range(steps):
-            total = flow_slopes(data, "_x", params)
+            total = _slopes(data, params)
             history.append((model, step, float(-total[0])))
             params = params + rate_at(step, schedule) * total[1:].reshape(params.shape)
     finally:
@@ -222,7 +233,7 @@ def fit_flow_converged(
     first = np.array([astuple(b) for b in (start or [Block()] * blocks)], dtype=float)
     at = np.column_stack([first[:, 0], np.log(first[:, 1]), first[:, 2], np.log(first[:, 3])]).ravel()
     used = 0
-    data, history = _values(df, x).persist(), []
+    data, history = in_blocks(_values(df, x)).persist(), []
 
     def block_params(flat: np.ndarray) -> np.ndarray:
         shift, scale, skew, tail = flat.reshape(-1, 4).T
@@ -232,7 +243,7 @@ def fit_flow_converged(
         nonlocal used
         used += 1
         params = block_params(flat)
-        total = flow_slopes(data, "_x", params)
+        total = _slopes(data, params)
         slope = -total[1:].reshape(params.shape) * np.column_stack([np.ones(len(params)), params[:, 1], np.ones(len(params)), params[:, 3]])
         return (float(-total[0]), slope.ravel()) if np.isfinite(total).all() else (math.inf, slope.ravel())
 
