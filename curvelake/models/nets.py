@@ -1,13 +1,13 @@
 """Training of small dense nets, with the rows spread over the cluster.
 
-Each step sends the present weights to the tasks; a task adds up the gradient of its own
+The rows are packed into blocks of arrays once. Each step sends the present weights to the tasks; a task adds up the gradient of its own
 rows and the loss of those held out, Spark adds the tasks' sums, and the driver moves the weights. What comes to
 the driver has the size of the net.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.draws import uniform, whole
+from ..functions.draws import uniform_array, whole
 from ..functions.likelihood import LOG_2PI, rate_at
 from ..functions.scalars import quoted
+from .blocks import Arrays, blocks as in_blocks, summed
 
 # Function and derivative (the latter from the function's value).
 ACTIVATIONS = {
@@ -100,31 +101,12 @@ def hetero_loss(out: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
 LOSSES = {"mse": mse_loss, "hetero": hetero_loss}
 
 
-def _summed(data: DataFrame, xs: Sequence[str], of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum over all rows of a vector that ``of`` (inputs, target, held out) gives per batch; the sum is made by Spark."""
-    names = list(xs)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for pdf in batches:
-            part = of(pdf[names].to_numpy(float), pdf["_y"].to_numpy(float), pdf["_held"].to_numpy(bool))
-            total = part if total is None else total + part
-        if total is not None:
-            yield pd.DataFrame({"k": np.arange(len(total)), "v": total})
-
-    rows = data.mapInPandas(partial, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(len(rows))
-    for r in rows:
-        out[r["k"]] = r["v"]
-    return out
-
-
 def _prepare(df: DataFrame, x: Sequence[str], y: str, key: str | None, held: bool) -> DataFrame:
-    """Inputs, target, key and whether the row is held out; rows without an input or the target are left out."""
-    numbers = [F.col(quoted(c)).cast("double").alias(c) for c in x]
-    keyed = (whole(df, key) if key else F.lit(None).cast("bigint")).alias("_key")
-    rows = df.select(*numbers, F.col(quoted(y)).cast("double").alias("_y"), keyed, F.lit(held).alias("_held"))
-    return rows.dropna(subset=[*(quoted(c) for c in x), "_y"])
+    """Inputs, target, whether the row is held out, and its key, if one is named; rows without an input or the target are left out."""
+    numbers = [F.col(quoted(c)).cast("double").alias(f"x{i}") for i, c in enumerate(x)]
+    keyed = [whole(df, key).alias("key")] if key else []
+    rows = df.select(*numbers, F.col(quoted(y)).cast("double").alias("y"), F.lit(held).alias("held"), *keyed)
+    return rows.dropna(subset=[*(f"x{i}" for i in range(len(x))), "y"])
 
 
 @dataclass(frozen=True)
@@ -200,17 +182,22 @@ def _train(df, x, y, blocks, loss_fn, steps, l2, validation, model, merge, join,
     data = _prepare(df, x, y, key, False)
     if validation is not None:
         data = data.unionByName(_prepare(validation, x, y, key, True))
-    data = data.persist()
+    data = in_blocks(data).persist()
+    kinds = {**{f"x{i}": float for i in range(len(x))}, "y": float, "held": bool, **({"key": np.int64} if batches else {})}
     decay = [np.concatenate([np.r_[np.ones(la.weights.size), np.zeros(la.bias.size)] for la in net]) for net in nets]
     history, best, waited, why = [], (np.inf, flats), 0, "steps"
     try:
         for step in range(steps):
             now = [unpack(net, flat) for net, flat in zip(nets, flats)]
 
-            def sums(xs, ys, held, now=now):
+            def sums(block: Arrays, now=now, step=step):
                 """Held-out rows and their loss, then rows in training, their loss and its slopes."""
+                xs, ys, held = np.column_stack([block[f"x{i}"] for i in range(len(x))]), block["y"], block["held"]
                 value = loss_fn(merge([forward(net, xs[held])[-1] for net in now]), ys[held])[0]
-                xs, ys = xs[~held], ys[~held]
+                taken = ~held
+                if batches:
+                    taken &= uniform_array(block["key"], np.int64(step), seed=batches.seed) < batches.share
+                xs, ys = xs[taken], ys[taken]
                 traces = [forward(net, xs) for net in now]
                 outs = [t[-1] for t in traces]
                 loss, slope = loss_fn(merge(outs), ys)
@@ -220,10 +207,7 @@ def _train(df, x, y, blocks, loss_fn, steps, l2, validation, model, merge, join,
                     at += out.shape[1]
                 return np.concatenate([[held.sum(), value, len(ys), loss], *parts])
 
-            rows = data
-            if batches:
-                rows = data.where(F.col("_held") | (uniform("_key", F.lit(step), seed=batches.seed) < batches.share))
-            total = _summed(rows, x, sums)
+            total = summed(data, kinds, sums)
             n_held, held_loss, n = total[:3] if len(total) else (0, 0.0, 0)
             val_loss = float(held_loss / n_held) if n_held else None
             if not n:  # nothing to learn from in this batch, or at all
