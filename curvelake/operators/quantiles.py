@@ -31,6 +31,9 @@ SLICES, CUTS = 256, 64
 #: Parts in which the sketches of a group are merged before they meet.
 PARTS = 32
 
+#: Numbers in the table of sketches up to which it is sent to all tasks that read rows (8 MB).
+SENT = 1 << 20
+
 
 def sketch_error(accuracy: int) -> float:
     """Rank error that a sketch of this size keeps with 99 in 100, as a share of the rows (Karnin, Lang and Liberty 2016)."""
@@ -90,14 +93,21 @@ def select_ranks(
     spans = [(max(p - slack, 0.0), min(p + slack, 1.0)) for p, _ in targets]
     ranks = [[lo + (hi - lo) * i / CUTS for i in range(CUTS + 1)] for lo, hi in spans]
     table = materialize(sketches(data, "_v", keys, ranks, accuracy))
+    send = lambda t: t
+    if by:
+        # Spark guesses the table's size from the rows it was made of, and would sort all rows of a group in one task to join it
+        few = table.count() * k * (CUTS + 1) <= SENT
+        # dealt anew, a large one is measured and hot groups are split
+        table = table if few else table.repartition(max(1, table.rdd.getNumPartitions()))
+        send = F.broadcast if few else send
     edge = lambda i, j: F.col("_edges")[i][j]
     top = lambda c: F.when(c == float("inf"), F.lit(float("nan"))).otherwise(c)
     wide = isinstance(data.schema["_v"].dataType, FloatType | DoubleType)
     ends = F.array(*(edge(i, 0) for i in range(k)), *((top if wide else lambda c: c)(edge(i, CUTS)) for i in range(k)))
-    framed = join_on_keys(data, table.select(*keys, ends.alias("_ends")), by) if by else attach_scalars(data, table.select(ends.alias("_ends")), _ends=F.first("_ends"))
+    framed = join_on_keys(data, send(table.select(*keys, ends.alias("_ends"))), by) if by else attach_scalars(data, table.select(ends.alias("_ends")), _ends=F.first("_ends"))
     low = [F.col("_ends")[i] for i in range(k)]
     high = [F.col("_ends")[k + i] for i in range(k)]
-    return pick_ranks(framed, targets, low, high, by, cuts=table.select(*keys, F.col("_edges").alias("_cuts")))
+    return pick_ranks(framed, targets, low, high, by, cuts=send(table.select(*keys, F.col("_edges").alias("_cuts"))))
 
 
 def pick_ranks(

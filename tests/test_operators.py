@@ -396,3 +396,21 @@ def test_bootstrap_with_large_fractions(spark):
     drawn = sampling.bootstrap_batch(spark.range(200), 1000.0, 3, "id").groupBy("id").count()
     n, mean, sd = drawn.agg(F.count("*"), F.avg("count"), F.stddev("count")).first()
     assert n == 200 and abs(mean - 1000) < 10 and 25 < sd < 40
+
+
+def test_quantiles_by_group_do_not_sort_whole_groups(spark):
+    """Rows met the sketches by a sort of each group in one task, as Spark had only a guess of the sketches' size."""
+    df = spark.range(40_000).select((F.col("id") % 3).alias("g"), F.sin("id").alias("v"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = [(0.5, (lambda n: F.floor(n / 2),))]
+        plan = quantiles.select_ranks(df, "v", asked, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+        sent = quantiles.SENT
+        quantiles.SENT = 0
+        large = {r["g"]: r["values"] for r in quantiles.select_ranks(df, "v", asked, ["g"]).collect()}
+        quantiles.SENT = sent
+        small = {r["g"]: r["values"] for r in quantiles.select_ranks(df, "v", asked, ["g"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("strategy=broadcast") >= 2 and large == small and len(small) == 3
